@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadmill import constants as K
-from leadmill.functions.expr import any_of, cut, ladder, lookup
+from leadmill.functions.expr import cut, ladder, lookup
 from leadmill.functions.text import leading_number
 
 Rules = Sequence[tuple[str, Sequence[str]]]
@@ -20,27 +21,38 @@ def categorise(text: Column, rules: Rules, mode: str = "first_match", default: s
     """Category of the first (or last) rule with a keyword in the text, ignoring case.
 
     ``whole_words`` asks for word boundaries around a keyword, so that ``cto``
-    does not hit "director".
+    does not hit "director".  One pattern per rule keeps the generated code small
+    enough to be compiled.
     """
     if mode not in ("first_match", "last_match"):
         raise ValueError(f"unknown mode {mode}")
-    low = F.lower(text)
     result = None
     for category, words in (rules if mode == "first_match" else list(rules)[::-1]):
-        if whole_words:
-            hit = low.rlike("|".join(rf"\b\Q{w.lower()}\E\b" for w in words))
-        else:
-            # a keyword that contains another keyword of its rule adds nothing
-            needed = sorted({w.lower() for w in words}, key=len)
-            needed = [w for i, w in enumerate(needed) if not any(o in w for o in needed[:i])]
-            hit = any_of(low, needed)
+        hit = text.rlike(_pattern(words, whole_words))
         result = F.when(hit, F.lit(category)) if result is None else result.when(hit, F.lit(category))
-    return result.otherwise(F.lit(default))
+    return result if default is None else result.otherwise(F.lit(default))
 
 
-def fallback(category: Column, other: Column, unset: str = "Other") -> Column:
-    """The second category where the first one is unset."""
-    return F.when(category == unset, F.coalesce(other, F.lit(unset))).otherwise(category)
+def _pattern(words: Sequence[str], whole_words: bool) -> str:
+    """Alternation of the literal words; a word that holds another word of the list adds nothing."""
+    shortest_first = sorted({w.lower() for w in words}, key=len)
+    needed = [w for i, w in enumerate(shortest_first) if not any(o in w for o in shortest_first[:i])]
+    edge = r"\b" if whole_words else ""
+    return "(?i)" + "|".join(edge + re.sub(r"([^\w\s&/,-])", r"\\\1", w) + edge
+                             for w in (shortest_first if whole_words else needed))
+
+
+def first_category(steps: Sequence[tuple], unset: str = "Other") -> Column:
+    """Category of the first (text, rules, mode, whole words) step that gives one other than ``unset``.
+
+    The unset category is a null inside each step, so that every step is
+    evaluated at most once per row.
+    """
+    known = []
+    for text, rules, mode, whole_words in steps:
+        open_rules = [(None if name == unset else name, words) for name, words in rules]
+        known.append(categorise(text, open_rules, mode, None, whole_words))
+    return F.coalesce(*known, F.lit(unset))
 
 
 def json_industries(document: Column) -> Column:
@@ -52,30 +64,32 @@ def json_industries(document: Column) -> Column:
 
 def industry_category(industry: Column, document: Column | None = None, domain: Column | None = None) -> Column:
     """Industry by name, then by organisation document, then by web domain."""
-    category = categorise(industry, K.INDUSTRY_RULES, "last_match")
+    steps = [(industry, K.INDUSTRY_RULES, "last_match", False)]
     if document is not None:
-        category = fallback(category, categorise(json_industries(document), K.JSON_INDUSTRY_RULES))
+        steps.append((json_industries(document), K.JSON_INDUSTRY_RULES, "first_match", False))
     if domain is not None:
-        category = fallback(category, categorise(domain, K.DOMAIN_INDUSTRY_RULES))
-    return category
+        steps.append((domain, K.DOMAIN_INDUSTRY_RULES, "first_match", False))
+    return first_category(steps)
 
 
 def seniority_category(seniority: Column, title: Column | None = None, whole_words: bool = False) -> Column:
-    category = categorise(seniority, K.SENIORITY_RULES, "last_match")
+    """Seniority by its own text, then by the title."""
+    steps = [(seniority, K.SENIORITY_RULES, "last_match", False)]
     if title is not None:
-        category = fallback(category, categorise(title, K.TITLE_SENIORITY_RULES, whole_words=whole_words))
-    return category
+        steps.append((title, K.TITLE_SENIORITY_RULES, "first_match", whole_words))
+    return first_category(steps)
 
 
 def title_category(title: Column, seniority: Column | None = None) -> Column:
-    category = categorise(title, K.TITLE_RULES, "last_match")
+    """Job family by title, then by seniority."""
+    steps = [(title, K.TITLE_RULES, "last_match", False)]
     if seniority is not None:
-        category = fallback(category, categorise(seniority, K.SENIORITY_TITLE_RULES))
-    return category
+        steps.append((seniority, K.SENIORITY_TITLE_RULES, "first_match", False))
+    return first_category(steps)
 
 
 def company_size_band(employees: Column) -> Column:
-    """Head-count band, ``Unknown`` for missing or non-positive counts."""
+    """Head-count band: ``Unknown`` for a count of zero, null for a missing count."""
     return cut(F.coalesce(employees, F.lit(-1)), *K.SIZE_BINS, lowest=False)
 
 

@@ -21,8 +21,9 @@ def segment_kpis(df: DataFrame, keys: Sequence[str], min_contacts: int = 0, min_
 
     Needs 0/1 columns ``opened``, ``clicked`` and ``replied``.  The thresholds
     apply to the rounded rates; ``top_n`` keeps the best open rates, ties by key.
+    A missing key is no segment.
     """
-    out = df.groupBy(*keys).agg(
+    out = df.dropna(subset=list(keys)).groupBy(*keys).agg(
         F.count("opened").alias("contact_count"),
         F.sum("opened").alias("total_opens"), half_even(F.avg("opened"), places).alias("open_rate"),
         F.sum("clicked").alias("total_clicks"), half_even(F.avg("clicked"), places).alias("click_rate"),
@@ -84,7 +85,7 @@ def share_of_total(df: DataFrame, key: str, name: str = "percentage", places: in
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: list | None = None) -> DataFrame:
     """Contingency table; give ``values`` to spare the pass that finds them."""
-    return df.groupBy(rows).pivot(columns, values).agg(F.count("*")).na.fill(0)
+    return df.dropna(subset=[rows]).groupBy(rows).pivot(columns, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def top_per_group(counts: DataFrame, group: str, measure: str, value: str, k: int) -> DataFrame:

@@ -11,6 +11,8 @@ share, and are kept as text so that a checker can build the same input table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,6 +192,11 @@ CONTACT_COLUMNS: dict[str, str] = {
     "api_response_raw": _API_JSON,
 }
 
+#: list columns, split from their text form
+ARRAY_COLUMNS: dict[str, str] = {
+    name: f"split({CONTACT_COLUMNS[name + '_text']}, ',')" for name in ("departments", "functions")
+}
+
 
 def contact_days(events: DataFrame) -> DataFrame:
     """Engagement counts per (user, day): opens, clicks, replies, bounces and time marks."""
@@ -206,17 +213,20 @@ def contact_days(events: DataFrame) -> DataFrame:
         last("purchase").alias("last_reply_ts"))
 
 
-def contacts(customer: DataFrame, nation: DataFrame, region: DataFrame, events: DataFrame) -> DataFrame:
-    """Customers with their contact days and place, projected to the contact columns."""
+def contacts(customer: DataFrame, nation: DataFrame, region: DataFrame, events: DataFrame,
+             columns: Sequence[str] = ()) -> DataFrame:
+    """Customers with their contact days and place; all contact columns, or just ``columns``.
+
+    Naming the columns keeps the plan small; which columns are read is the same
+    either way.
+    """
     base = (customer
             .join(contact_days(events), F.col("c_custkey") == F.col("user_id"), "left")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .withColumn("day_number", F.coalesce(F.unix_date("day"), F.lit(0)).cast("bigint")))
-    return base.selectExpr(*[f"{sql} AS {name}" for name, sql in CONTACT_COLUMNS.items()]).withColumns({
-        "departments": F.split("departments_text", ","),
-        "functions": F.split("functions_text", ","),
-    })
+    wanted = list(dict.fromkeys(columns)) or [*CONTACT_COLUMNS, *ARRAY_COLUMNS]
+    return base.selectExpr(*[f"{ARRAY_COLUMNS.get(c) or CONTACT_COLUMNS[c]} AS {c}" for c in wanted])
 
 
 def sql_cte() -> str:

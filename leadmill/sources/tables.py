@@ -32,6 +32,6 @@ class Tables:
     def contact_days(self) -> DataFrame:
         return contacts.contact_days(self.events)
 
-    def contacts(self) -> DataFrame:
-        """The wide bronze contact table derived from customers and their events."""
-        return contacts.contacts(self.customer, self.nation, self.region, self.events)
+    def contacts(self, *columns: str) -> DataFrame:
+        """The bronze contact table derived from customers and their events; all columns or those named."""
+        return contacts.contacts(self.customer, self.nation, self.region, self.events, columns)
