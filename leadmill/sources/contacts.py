@@ -19,15 +19,11 @@ from pyspark.sql import functions as F
 
 def _pick(expr: str, values: list) -> str:
     """SQL that cycles through ``values`` by ``expr`` modulo their count."""
-    def lit(v):
-        if v is None:
-            return "NULL"
-        if isinstance(v, str):
-            return "'" + v.replace("'", "''") + "'"
-        return str(v)
-
-    whens = " ".join(f"WHEN {i} THEN {lit(v)}" for i, v in enumerate(values))
-    return f"CASE ({expr}) % {len(values)} {whens} END"
+    words = "|".join("~" if v is None else str(v) for v in values).replace("'", "''")
+    part = f"split_part('{words}', '|', CAST(({expr}) % {len(values)} AS INT) + 1)"
+    if None in values:
+        part = f"NULLIF({part}, '~')"
+    return part if any(isinstance(v, str) for v in values) else f"CAST({part} AS INT)"
 
 
 _INDUSTRIES = [
@@ -153,7 +149,7 @@ CONTACT_COLUMNS: dict[str, str] = {
     "region": "r_name",
     "organization_name": f"CASE WHEN {_K} % 9 = 0 THEN NULL ELSE 'Company ' || CAST({_K} % 200 AS STRING) END",
     "organization_industry": _pick(_K, _INDUSTRIES),
-    "organization_employees": f"CASE WHEN {_K} % 23 = 0 THEN NULL ELSE CAST(FLOOR(ABS(c_acctbal)) AS BIGINT) % {_pick(_K, [10000, 12, 60, 250, 1200])} END",
+    "organization_employees": f"CASE WHEN {_K} % 23 = 0 THEN NULL ELSE CAST(FLOOR(ABS(c_acctbal)) AS BIGINT) % CAST({_pick(_K, [10000, 12, 60, 250, 1200])} AS BIGINT) END",
     "organization_founded_year": f"CASE WHEN {_K} % 17 = 0 THEN NULL ELSE 1950 + {_K} % 75 END",
     "credits_consumed": f"{_K} % 5",
     "company_revenue": _pick(_K, ["$5 million", "50 Million USD", "250 million", "0 million", "unknown", None, "2 billion"]),
