@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill import constants as K
@@ -65,7 +65,9 @@ in_top AS (SELECT * FROM segments WHERE country IN (SELECT country FROM top_coun
 @query("agg_07_campaign_country", on_segments(kpi_sql(["campaign", "country"], 20, 0.05, source="in_top"),
                                               _TOP_COUNTRIES.format(n=10)))
 def campaign_country(t: Tables) -> DataFrame:
-    return kpi.segment_kpis(kpi.within_top(segments(t, "campaign", "country"), "country", 10), ["campaign", "country"], 20, 0.05)
+    keys = ["campaign", "country"]
+    totals = kpi.segment_totals(segments(t, *keys), keys)
+    return kpi.segment_rates(kpi.within_largest(totals, "country", 10), keys, 20, 0.05)
 
 
 _BEST = """best AS (SELECT campaign FROM segments GROUP BY campaign HAVING count(*) >= 50
@@ -77,8 +79,10 @@ def _targeting(dimension: str, n: int):
     @query(f"agg_09_targeting_{dimension}",
            on_segments(kpi_sql(["campaign", dimension], 10, None, 20, "in_best"), _BEST.format(n=n)))
     def build(t: Tables) -> DataFrame:
-        chosen = kpi.within_best_segments(segments(t, "campaign", dimension), "campaign", n, 50)
-        return kpi.segment_kpis(chosen, ["campaign", dimension], 10, top_n=20)
+        keys = ["campaign", dimension]
+        totals = kpi.segment_totals(segments(t, *keys), keys)
+        best = kpi.segment_rates(kpi.roll_up(totals, ["campaign"]), ["campaign"], 50, top_n=n).select("campaign")
+        return kpi.segment_rates(totals.join(F.broadcast(best), "campaign", "left_semi"), keys, 10, top_n=20)
     return build
 
 
@@ -103,26 +107,21 @@ _DIMS = [("company_size", 50), ("industry_category", 100), ("seniority_category"
     f"SELECT '{d}' AS dimension, {d} AS value, count(*) AS contact_count, round_even(avg(opened), 4) AS open_rate "
     f"FROM segments WHERE {d} IS NOT NULL GROUP BY {d} HAVING count(*) >= {n}" for d, n in _DIMS)))
 def single_dimension(t: Tables) -> DataFrame:
-    df = segments(t, *[d for d, _ in _DIMS])
-    # one pass over the contacts for all three dimensions
-    long = df.select("opened", F.posexplode(F.array(*[F.col(d) for d, _ in _DIMS])).alias("place", "value")).dropna()
-    counts = long.groupBy("place", "value").agg(F.count("*").alias("contact_count"),
-                                                half_even(F.avg("opened"), 4).alias("open_rate"))
-    least = lookup(F.col("place"), {i: n for i, (_, n) in enumerate(_DIMS)})
-    return (counts.filter(F.col("contact_count") >= least)
-            .select(lookup(F.col("place"), {i: d for i, (d, _) in enumerate(_DIMS)}).alias("dimension"),
-                    "value", "contact_count", "open_rate"))
-
-
-def engagement_table(df: DataFrame, keys: list[str]) -> DataFrame:
+    dims = [d for d, _ in _DIMS]
+    counts = kpi.long_form(segments(t, *dims), dims, ["opened"]).groupBy("dimension", "value").agg(
+        F.count("*").alias("contact_count"), half_even(F.avg("opened"), 4).alias("open_rate"))
+    return counts.filter(F.col("contact_count") >= lookup(F.col("dimension"), dict(_DIMS)))
+
+
+def engagement_table(df: DataFrame, keys: list[str], *keep: str) -> DataFrame:
     """Counts with per-contact rates in percent (opens, clicks and replies may exceed the contacts)."""
     out = df.dropna(subset=keys).groupBy(*keys).agg(
-        F.count("email_open_count").alias("contact_count"),
+        F.count("*").alias("rows"), F.count("email_open_count").alias("contact_count"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (
             ("email_open_count", "total_opens"), ("email_click_count", "total_clicks"),
             ("email_reply_count", "total_replies"))])
     return out.withColumns({f"{n}_rate": half_even(safe_ratio(F.col(f"total_{p}"), F.col("contact_count")) * 100, 2)
-                            for n, p in (("open", "opens"), ("click", "clicks"), ("reply", "replies"))})
+                            for n, p in (("open", "opens"), ("click", "clicks"), ("reply", "replies"))}).drop(*{"rows"} - {*keep})
 
 
 def engagement_sql(keys: str, source: str) -> str:
@@ -138,7 +137,9 @@ def engagement_sql(keys: str, source: str) -> str:
 
 @query("agg_15_country_engagement", on_segments(engagement_sql("country", "in_top"), _TOP_COUNTRIES.format(n=20)))
 def country_engagement(t: Tables) -> DataFrame:
-    return engagement_table(kpi.within_top(t.contacts("country", *K.ENGAGEMENT_COUNTS), "country", 20), ["country"])
+    # the table itself holds one row per country, so the largest ones are picked from it
+    return kpi.top(engagement_table(t.contacts("country", *K.ENGAGEMENT_COUNTS), ["country"], "rows"), "rows", 20,
+                   ["country"]).drop("rows")
 
 
 @query("agg_16_seniority_engagement", on_contacts(engagement_sql("seniority", "contacts")))
@@ -166,13 +167,17 @@ _IN_TOP = "{d} IN (SELECT {d} FROM segments WHERE {d} IS NOT NULL GROUP BY {d} O
     [_VOLUME.format(d=d, w=f"{d} IS NOT NULL") for d in ("company_size", "seniority", "status")]
     + [_VOLUME.format(d=d, w=_IN_TOP.format(d=d)) for d in ("country", "organization_industry", "esp_code")])))
 def volume_performance(t: Tables) -> DataFrame:
-    df = segments(t, "company_size", "seniority", "status", "country", "organization_industry", "esp_code")
-    tables = [kpi.volume_table(df, d) for d in ("company_size", "seniority", "status")]
-    tables += [kpi.volume_table(kpi.within_top(df, d, 10), d) for d in ("country", "organization_industry", "esp_code")]
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+    every, largest = ["company_size", "seniority", "status"], ["country", "organization_industry", "esp_code"]
+    table = kpi.long_form(segments(t, *every, *largest), every + largest, ["email_open_count"]).groupBy(
+        "dimension", "value").agg(
+        F.count("*").alias("rows"), F.count("email_open_count").alias("volume"),
+        F.coalesce(F.sum("email_open_count"), F.lit(0)).alias("total_opens"),
+        half_even(F.avg("email_open_count"), 3).alias("avg_opens"))
+    # codes rank as numbers, names as text
+    order = Window.partitionBy("dimension").orderBy(
+        F.desc("rows"), F.col("value").try_cast("bigint").asc_nulls_last(), "value")
+    return (table.withColumn("place", F.row_number().over(order))
+            .filter(F.col("dimension").isin(every) | (F.col("place") <= 10)).drop("rows", "place"))
 
 
 _METHOD = """SELECT upload_method, count(email_open_count) AS contacts,
@@ -262,23 +267,20 @@ def daily_limit_values(t: Tables) -> DataFrame:
 
 _BY_SQL = """SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, count(daily_limit) AS contacts,
   round_even(avg(daily_limit), 3) AS avg_limit, round_even(stddev(daily_limit), 3) AS limit_std,
-  round_even(avg(email_open_count), 3) AS avg_opens FROM segments WHERE daily_limit IS NOT NULL
+  round_even(avg(email_open_count), 3) AS avg_opens FROM segments WHERE daily_limit IS NOT NULL AND {d} IS NOT NULL
   GROUP BY {d} HAVING count(daily_limit) >= {n}"""
 
 
 @query("agg_23_daily_limit_by_setting", on_segments(" UNION ALL ".join(
     _BY_SQL.format(d=d, n=n) for d, n in (("upload_method", 0), ("esp_code", 100), ("company_size", 0)))))
 def daily_limit_by_setting(t: Tables) -> DataFrame:
-    df = segments(t, "daily_limit", "upload_method", "esp_code", "company_size").filter("daily_limit IS NOT NULL")
-
-    def by(d: str, least: int) -> DataFrame:
-        return (df.groupBy(F.col(d).cast("string").alias("value"))
-                .agg(F.count("daily_limit").alias("contacts"), half_even(F.avg("daily_limit"), 3).alias("avg_limit"),
-                     half_even(F.stddev("daily_limit"), 3).alias("limit_std"),
-                     half_even(F.avg("email_open_count"), 3).alias("avg_opens"))
-                .filter(F.col("contacts") >= least).withColumn("dimension", F.lit(d)))
-
-    return by("upload_method", 0).unionByName(by("esp_code", 100)).unionByName(by("company_size", 0))
+    least = {"upload_method": 0, "esp_code": 100, "company_size": 0}
+    df = segments(t, "daily_limit", *least).filter("daily_limit IS NOT NULL")
+    return (kpi.long_form(df, [*least], ["daily_limit", "email_open_count"]).groupBy("dimension", "value")
+            .agg(F.count("daily_limit").alias("contacts"), half_even(F.avg("daily_limit"), 3).alias("avg_limit"),
+                 half_even(F.stddev("daily_limit"), 3).alias("limit_std"),
+                 half_even(F.avg("email_open_count"), 3).alias("avg_opens"))
+            .filter(F.col("contacts") >= lookup(F.col("dimension"), least)))
 
 
 # --- company age and size -------------------------------------------------------
@@ -432,9 +434,10 @@ def seniority_roi(t: Tables) -> DataFrame:
     for c in ("status", "campaign_status"))))
 def status(t: Tables) -> DataFrame:
     df = t.contacts("status", "campaign_status", "email_open_count")
-    tables = [kpi.opens_by(df, [F.col(c).cast("bigint").alias("value")], 3).withColumn("field", F.lit(c))
-              for c in ("status", "campaign_status")]
-    return tables[0].unionByName(tables[1])
+    table = kpi.opens_by(kpi.long_form(df, ["status", "campaign_status"], ["email_open_count"]),
+                         ["dimension", "value"], 3)
+    return table.select(F.col("dimension").alias("field"), F.col("value").cast("bigint").alias("value"), "contacts",
+                        "total_opens", "avg_opens")
 
 
 _CROSS = ", ".join(f"count(*) FILTER (WHERE campaign_status = {v}) AS \"{v}\"" for v in range(4))
@@ -505,10 +508,7 @@ LIST_SIZE_SQL = (f"CASE WHEN {_LIST_COUNT_SQL} BETWEEN 1 AND 3 THEN 'Small Lists
 def click_distribution(t: Tables) -> DataFrame:
     count = T.address_list_features(F.col("email_list"))["email_count"]
     df = t.contacts("email_list", *_CLICK_COLS[:-1]).withColumn("list_size", C.list_size_category(count))
-    # all dimensions in one pass over the contacts
-    pairs = F.filter(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"))
-                               for c in _CLICK_COLS]), lambda p: p.value.isNotNull())
-    long = df.select("email_click_count", F.explode(pairs).alias("p")).select("email_click_count", "p.*")
+    long = kpi.long_form(df, _CLICK_COLS, ["email_click_count"])
     counts = long.groupBy("dimension", "value").agg(
         F.count("*").alias("contacts"), half_even(F.avg("email_click_count"), 3).alias("avg_clicks"),
         F.round(F.avg(flag(F.col("email_click_count") > 0)), 6).alias("click_rate"))
