@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["segments"]
+MODULES = ["segments", "lists", "quality"]
 
 
 def _load():
