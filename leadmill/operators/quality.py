@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadmill import constants as K
@@ -244,13 +246,10 @@ def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100
                      seed: int = 42) -> DataFrame:
     """Isolation score of every row for one column; near one means easy to separate.
 
-    Every tree is grown from at most ``sample`` rows, chosen by hash, in its own
-    task; what goes back to the rows is the path length per interval of each
-    tree, at most ``sample`` intervals, joined by range position.
+    Every tree is grown from about ``sample`` rows, chosen by hash, in its own
+    task.  The grown forest is a bounded model (the number of leaves depends on
+    the settings, not on the table) that is handed to the scoring tasks.
     """
-    import numpy as np
-    import pandas as pd
-
     # disjoint samples of about the wanted size; small tables are dealt out several times
     total = df.filter(F.col(column).isNotNull()).count()
     decks = max(1, total // sample)
@@ -281,13 +280,18 @@ def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100
               .withColumn("tree", (F.col("r") * decks + F.pmod(F.xxhash64("i", "r", F.lit(seed)), F.lit(decks))).cast("int"))
               .filter(F.col("tree") < trees).select("v", "tree"))
     leaves = picked.groupBy("tree").applyInPandas(grow, "tree int, size int, lo double, hi double, path double")
-    forest = leaves.groupBy("tree").agg(F.max("size").alias("size"), F.array_sort(F.collect_list(
-        F.struct("lo", "hi", "path"))).alias("leaves")).agg(
-        F.collect_list("leaves").alias("forest"), F.avg("size").alias("size"))
-    held = with_row(df, forest, ["forest", "size"], "")
-    value = F.col(column).cast("double")
-    paths = F.transform("forest", lambda leaves: F.aggregate(
-        leaves, F.lit(0.0), lambda a, leaf: F.when((value >= leaf.lo) & (value < leaf.hi), leaf.path).otherwise(a)))
-    mean = F.aggregate(paths, F.lit(0.0), lambda a, p: a + p) / F.size("forest")
-    norm = 2 * (F.log(F.col("size") - 1) + 0.5772156649015329) - 2 * (F.col("size") - 1) / F.col("size")
-    return held.withColumn("isolation_score", F.when(value.isNotNull(), F.pow(F.lit(2.0), -mean / norm))).drop("forest", "size")
+    # the model: at most trees * 2 * sample leaves, merged into one ascending step function
+    forest = leaves.toPandas()
+    steps = np.unique(forest["lo"].to_numpy())
+    total_path = np.zeros(len(steps))
+    for lo, hi, path in forest[["lo", "hi", "path"]].itertuples(index=False):
+        total_path[np.searchsorted(steps, lo):np.searchsorted(steps, hi) if np.isfinite(hi) else None] += path
+    size = forest.groupby("tree")["size"].max().mean()
+    score = 2.0 ** (-(total_path / forest["tree"].nunique()) / harmonic(max(int(size), 3)))
+
+    @F.pandas_udf("double")
+    def lookup_score(value: pd.Series) -> pd.Series:
+        found = pd.Series(score[np.clip(np.searchsorted(steps, value.to_numpy(dtype=float), "right") - 1, 0, None)])
+        return found.where(value.notna().to_numpy())
+
+    return df.withColumn("isolation_score", lookup_score(F.col(column).cast("double")))

@@ -30,8 +30,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     counts = value_counts(df, columns, by)
     grid = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
     edges = counts.groupBy(*key).agg(F.percentile_approx("value", grid, F.lit(4 * BUCKETS)).alias("edges"))
-    placed = counts.join(edges, key).withColumn(
-        "bucket", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges")
+    # two steps of 16 comparisons find the bucket among 256
+    coarse = F.transform(F.sequence(F.lit(16), F.lit(BUCKETS - 16), F.lit(16)), lambda i: F.element_at("edges", i))
+    placed = (counts.join(edges.withColumn("coarse", coarse), key)
+              .withColumn("k", F.size(F.filter("coarse", lambda e: e < F.col("value"))) * 16)
+              .withColumn("bucket", F.col("k") + F.size(F.filter(
+                  F.slice("edges", F.col("k") + 1, F.lit(16)), lambda e: e < F.col("value"))))
+              .drop("edges", "coarse", "k"))
 
     in_order = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*key)
