@@ -6,6 +6,7 @@ features from that column, so that a document is parsed once per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -161,9 +162,11 @@ def response_features(df: DataFrame, column: str = "api_response_raw") -> DataFr
     }).drop("_doc")
 
 
-def add_missing(df: DataFrame, featured: DataFrame) -> DataFrame:
-    """Columns of ``featured`` that ``df`` lacks, without overwriting existing ones."""
-    return featured.select(*df.columns, *[c for c in featured.columns if c not in df.columns])
+def keeping_existing(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Result of a feature block in which columns that were already there keep their values."""
+    kept = {f"_kept_{c}": F.col(c) for c in df.columns}
+    built = build(df.withColumns(kept))
+    return built.withColumns({c: F.col(f"_kept_{c}") for c in df.columns}).drop(*kept)
 
 
 def presence(columns: list[str]) -> dict[str, Column]:
@@ -202,7 +205,7 @@ def social_presence(document: Column) -> Column:
 def key_profile(df: DataFrame, column: str) -> DataFrame:
     """Every key found in the documents of a column, with its number of rows and the value types seen."""
     keys = df.select(F.col(column).alias("_doc"), F.explode(F.json_object_keys(column)).alias("key"))
-    value = F.get_json_object(F.col("_doc"), F.concat(F.lit("$."), F.col("key")))
+    value = F.call_function("get_json_object", F.col("_doc"), F.concat(F.lit("$."), F.col("key")))
     kind = (F.when(value.isNull(), "null").when(F.json_array_length(value).isNotNull(), "array")
             .when(F.json_object_keys(value).isNotNull(), "object")
             .when(value.try_cast("double").isNotNull(), "number")

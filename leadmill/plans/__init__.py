@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["segments", "lists", "quality"]
+MODULES = ["segments", "lists", "quality", "functions"]
 
 
 def _load():

@@ -154,6 +154,9 @@ CONTACT_COLUMNS: dict[str, str] = {
     "credits_consumed": f"{_K} % 5",
     "company_revenue": _pick(_K, ["$5 million", "50 Million USD", "250 million", "0 million", "unknown", None, "2 billion"]),
     "company_size_text": _pick(_K, ["Startup", "11-50 people", "medium", "251-1000", "1000+", None, "n/a"]),
+    "technologies": _pick(_K, ['["spark", "sql"]', "[]", '{"crm": "x"}', None, "{}"]),
+    "social_profiles": _pick(_K, ['{"twitter": "t", "linkedin": "l", "facebook": "", "xing": "x"}', '{"twitter": "t"}', "{}", None,
+                                  '{"a": "1", "b": "2", "c": "3", "d": "4"}']),
     "email_list": f"CASE WHEN {_K} % 31 = 0 THEN NULL ELSE 'list ' || CAST({_K} % 60 AS STRING) || ': ' || "
                   + " || ".join(f"CASE WHEN {_K} % 60 % 14 >= {i} THEN 'a{i}@dom' || CAST(({_K} % 60 * {i} + {i}) % 5 AS STRING) || '.example;' ELSE '' END" for i in range(14))
                   + " END",
