@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["segments", "lists", "quality", "functions"]
+MODULES = ["segments", "lists", "quality", "functions", "layers"]
 
 
 def _load():
