@@ -37,8 +37,9 @@ def with_frequency(df: DataFrame, columns: Sequence[str], normalise: bool = Fals
     Count and join, so that a hot value is combined before the exchange; the
     counts join as a broadcast while they are small and are split on skew beyond.
     """
+    base = df  # every count reads the given frame, never the joined one
     for c in columns:
-        counts = df.dropna(subset=[c]).groupBy(c).agg(F.count("*").alias(f"{c}_frequency"))
+        counts = base.dropna(subset=[c]).groupBy(c).agg(F.count("*").alias(f"{c}_frequency"))
         df = df.join(counts, c, "left").withColumn(f"{c}_frequency", F.coalesce(f"{c}_frequency", F.lit(0)))
         if normalise:
             most = counts.agg(F.max(f"{c}_frequency")).scalar()
@@ -51,9 +52,10 @@ def label_codes(df: DataFrame, columns: Sequence[str], missing: str = "Unknown")
 
     The order is taken over the distinct values only.
     """
+    base = df
     for c in columns:
         text = F.coalesce(F.col(c).cast("string"), F.lit(missing))
-        values = df.select(text.alias("_v")).distinct()
+        values = base.select(text.alias("_v")).distinct()
         codes = values.withColumn(f"{c}_code", F.row_number().over(Window.orderBy("_v")) - 1)
         df = df.withColumn("_v", text).join(codes, "_v", "left").drop("_v")
     return df
@@ -66,10 +68,10 @@ def quantile_codes(df: DataFrame, specs: dict[str, int], missing: float | None =
     """
     columns = list(specs)
     filled = df.withColumns({f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(missing).cast("double")) for c in columns})
-    marks = None
+    base = filled
     for c in columns:
         probs = [i / specs[c] for i in range(specs[c] + 1)]
-        row = (bounded_quantiles if bounded else wide_quantiles)(filled, [f"_{c}"], probs)
+        row = (bounded_quantiles if bounded else wide_quantiles)(base, [f"_{c}"], probs)
         row = row.select(F.array_distinct(f"_{c}").alias(f"_{c}"))
         filled = with_row(filled, row, [f"_{c}"], "_edges")
     return filled.withColumns({f"{c}_quantile": cut_by_edges(F.col(f"_{c}"), F.col(f"_{c}_edges")) for c in columns}

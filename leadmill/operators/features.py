@@ -124,8 +124,17 @@ def document_features(df: DataFrame, as_of: datetime) -> DataFrame:
     return J.response_features(df)
 
 
+def with_campaign_facts(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Size and duration of the campaign, counted on ``source``, and the part of the day of creation."""
+    facts = (source.filter(F.col("campaign").isNotNull() & F.col("timestamp_created").isNotNull()).groupBy("campaign")
+             .agg(F.count("id").alias("campaign_size"), days_between(
+                 F.max("timestamp_created"), F.min("timestamp_created")).alias("campaign_duration_days")))
+    return df.join(facts, "campaign", "left").withColumn(
+        "created_hour_category", D.hour_category(F.col("timestamp_created")))
+
+
 def engagement_features(df: DataFrame) -> DataFrame:
-    """Size and duration of the campaign and the part of the day of creation."""
+    """Campaign facts of the frame itself."""
     facts = df.dropna(subset=["campaign"]).groupBy("campaign").agg(
         F.count("id").alias("campaign_size"),
         days_between(F.max("timestamp_created"), F.min("timestamp_created")).alias("campaign_duration_days"))

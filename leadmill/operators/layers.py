@@ -12,6 +12,7 @@ from leadmill import constants as K
 from leadmill.functions import categories as C
 from leadmill.functions import json_features as J
 from leadmill.functions import scores as S
+from leadmill.functions.dates import last_november
 from leadmill.functions.expr import days_between, flag
 from leadmill.operators import features as FE
 from leadmill.operators import quality as Q
@@ -51,6 +52,20 @@ def recent(df: DataFrame, as_of: datetime, lookback_days: int) -> DataFrame:
     return df.filter((F.col("timestamp_created") >= since) | (F.col("timestamp_updated") >= since))
 
 
+def realistic_window(df: DataFrame, candidates: Sequence[str], as_of: datetime, min_rows: int = 1000) -> DataFrame:
+    """Rows since last November by the first time column with more than ``min_rows`` such rows; none if there is no such column.
+
+    One aggregate counts all candidates; the choice stays inside the plan.
+    """
+    inside = {c: F.coalesce(F.col(c).between(last_november(as_of), F.lit(as_of)), F.lit(False)) for c in candidates}
+    counts = df.agg(*[(F.count_if(cond) > min_rows).alias(c) for c, cond in inside.items()])
+    held = df.withColumn("_use", counts.select(F.struct(*candidates)).scalar())
+    chosen = F.lit(False)
+    for c in reversed(candidates):
+        chosen = F.when(F.col("_use")[c], inside[c]).otherwise(chosen)
+    return held.filter(chosen).drop("_use")
+
+
 def bronze_to_silver(df: DataFrame, as_of: datetime, version: str = "1.0") -> DataFrame:
     """All feature blocks, duplicates removed, quality scored, projected to the silver columns.
 
@@ -62,7 +77,7 @@ def bronze_to_silver(df: DataFrame, as_of: datetime, version: str = "1.0") -> Da
     built = FE.categorical_features(built)
     built = FE.enrichment_features(built, as_of)
     built = FE.document_features(built, as_of)
-    built = FE.engagement_features(built)
+    built = FE.with_campaign_facts(built, df)
     clean = built.withColumn("data_quality_score", Q.record_score(F.col("text_quality_score"))).withColumns({
         "processed_timestamp": F.lit(as_of), "pipeline_version": F.lit(version)})
     return Q.latest_per_key(project_existing(clean), ["email", "campaign"], [F.col("timestamp_created"), F.col("id")])

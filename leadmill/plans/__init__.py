@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["segments", "lists", "quality", "functions", "layers"]
+MODULES = ["segments", "lists", "quality", "functions", "layers", "blocks"]
 
 
 def _load():

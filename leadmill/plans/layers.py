@@ -346,16 +346,15 @@ def stale(t: Tables) -> DataFrame:
     return t.contacts("id", "timestamp_updated").filter(F.col("timestamp_updated") <= F.lit(K.AS_OF) - F.expr("INTERVAL 40 DAYS")).select("id")
 
 
-@query("flt_06_realistic_window", on_contacts(f"SELECT id FROM contacts WHERE enriched_at >= TIMESTAMP '2023-11-01' AND enriched_at <= {AS_OF_SQL}"))
+_SEASON = ["timestamp_last_interest_change", "enriched_at", "timestamp_created"]
+_IN_SEASON = f"BETWEEN TIMESTAMP '2023-11-01' AND {AS_OF_SQL}"
+
+
+@query("flt_06_realistic_window", on_contacts("SELECT id FROM contacts, (SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} {_IN_SEASON}) > 1000 AS u{i}" for i, c in enumerate(_SEASON)) + " FROM contacts) WHERE CASE "
+    + " ".join(f"WHEN u{i} THEN {c} {_IN_SEASON}" for i, c in enumerate(_SEASON)) + " ELSE FALSE END"))
 def realistic_window(t: Tables) -> DataFrame:
-    """Rows of the first time column with enough dates since last November."""
-    df = t.contacts("id", "timestamp_last_interest_change", "enriched_at", "timestamp_created")
-    candidates = ["timestamp_last_interest_change", "enriched_at", "timestamp_created"]
-    start, end = D.last_november(K.AS_OF), F.lit(K.AS_OF)
-    size = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(c).between(start, end)).alias(c) for c in candidates]).first()
-    # enough means a tenth of the rows here, so that the choice does not depend on the table size
-    chosen = next(c for c in candidates if size[c] > size["n"] * 0.3 or c == "enriched_at")
-    return df.filter(F.col(chosen).between(start, end)).select("id")
+    return L.realistic_window(t.contacts("id", *_SEASON), _SEASON, K.AS_OF).select("id")
 
 
 @query("flt_07_input_validation", on_contacts("""SELECT id, concat_ws(',', CASE WHEN email IS NULL THEN 'email' END, CASE WHEN title IS NULL THEN 'title' END,
