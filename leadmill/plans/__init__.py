@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["segments", "lists", "quality", "functions", "layers", "blocks", "learning"]
+MODULES = ["segments", "lists", "quality", "functions", "layers", "blocks", "learning", "streams"]
 
 
 def _load():
