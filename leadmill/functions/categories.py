@@ -62,11 +62,15 @@ def json_industries(document: Column) -> Column:
     return F.nullif(F.lower(joined), F.lit(""))
 
 
-def industry_category(industry: Column, document: Column | None = None, domain: Column | None = None) -> Column:
-    """Industry by name, then by organisation document, then by web domain."""
+def industry_category(industry: Column, document_names: Column | None = None, domain: Column | None = None) -> Column:
+    """Industry by name, then by the names in the organisation document, then by web domain.
+
+    ``document_names`` is a column made with ``json_industries`` beforehand, so
+    that the document is parsed once and not once per rule.
+    """
     steps = [(industry, K.INDUSTRY_RULES, "last_match", False)]
-    if document is not None:
-        steps.append((json_industries(document), K.JSON_INDUSTRY_RULES, "first_match", False))
+    if document_names is not None:
+        steps.append((document_names, K.JSON_INDUSTRY_RULES, "first_match", False))
     if domain is not None:
         steps.append((domain, K.DOMAIN_INDUSTRY_RULES, "first_match", False))
     return first_category(steps)

@@ -12,13 +12,14 @@ from leadmill.operators.kpi import long_form
 from leadmill.operators.quantiles import bounded_quantiles, wide_quantiles, with_row
 
 
-def group_rare(df: DataFrame, columns: Sequence[str], keep: int = 20, other: str = "Other") -> DataFrame:
+def group_rare(df: DataFrame, columns: Sequence[str], keep: int = 20, other: str = "Other",
+               source: DataFrame | None = None) -> DataFrame:
     """Adds ``<column>_grouped``: the ``keep`` most frequent values (ties by value), everything else ``other``.
 
-    One pass counts all columns; what reaches the rows is one array of at most
+    One pass over ``source`` (by default the frame itself) counts all columns; what reaches the rows is one array of at most
     ``keep`` values per column.
     """
-    counts = long_form(df, columns).groupBy("dimension", "value").agg(F.count("*").alias("n"))
+    counts = long_form(df if source is None else source, columns).groupBy("dimension", "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy("dimension").orderBy(F.desc("n"), "value")
     best = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= keep)
     row = best.agg(*[F.collect_list(F.when(F.col("dimension") == c, F.col("value"))).alias(c) for c in columns])

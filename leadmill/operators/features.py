@@ -80,9 +80,10 @@ def interaction_features(df: DataFrame) -> DataFrame:
                            if a in df.columns and b in df.columns})
 
 
-def categorical_features(df: DataFrame, keep: int = 20) -> DataFrame:
-    """Interactions and the grouped categories."""
-    return E.group_rare(interaction_features(df), having(df, K.CATEGORICAL_COLUMNS), keep)
+def categorical_features(df: DataFrame, keep: int = 20, source: DataFrame | None = None) -> DataFrame:
+    """Interactions and the grouped categories, ranked on ``source``."""
+    base = df if source is None else source
+    return E.group_rare(interaction_features(df), having(df, K.CATEGORICAL_COLUMNS), keep, source=base)
 
 
 def enrichment_features(df: DataFrame, as_of: datetime) -> DataFrame:

@@ -67,20 +67,25 @@ def realistic_window(df: DataFrame, candidates: Sequence[str], as_of: datetime,
 
 
 def bronze_to_silver(df: DataFrame, as_of: datetime, version: str = "1.0") -> DataFrame:
-    """All feature blocks, duplicates removed, quality scored, projected to the silver columns.
+    """The newest row per (email, campaign) with all feature blocks and its quality score.
 
-    The target is made before counts are clipped.
+    Which row of a key survives depends on four columns only, so duplicates go
+    before the wide features are built; category ranks and campaign facts still
+    count every processable row.  The target is made before counts are clipped.
     """
-    built = FE.target(df.filter("timestamp_created IS NOT NULL"))
+    every = df.filter("timestamp_created IS NOT NULL")
+    newest = Q.latest_per_key(every.select("email", "campaign", "timestamp_created", "id"), ["email", "campaign"],
+                              [F.col("timestamp_created"), F.col("id")]).select("id")
+    built = FE.target(every.join(newest, "id", "left_semi"))
     built = FE.time_features(built, as_of)
     built = FE.text_features(built)
-    built = FE.categorical_features(built)
+    built = FE.categorical_features(built, source=every)
     built = FE.enrichment_features(built, as_of)
     built = FE.document_features(built, as_of)
-    built = FE.with_campaign_facts(built, df)
+    built = FE.with_campaign_facts(built, every)
     clean = built.withColumn("data_quality_score", Q.record_score(F.col("text_quality_score"))).withColumns({
         "processed_timestamp": F.lit(as_of), "pipeline_version": F.lit(version)})
-    return Q.latest_per_key(project_existing(clean), ["email", "campaign"], [F.col("timestamp_created"), F.col("id")])
+    return project_existing(clean)
 
 
 def mature(df: DataFrame, as_of: datetime, days: int = K.MATURITY_DAYS) -> DataFrame:

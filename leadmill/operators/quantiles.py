@@ -1,10 +1,11 @@
 """Exact quantiles and ranks of columns without a bound on their distinct values.
 
 ``percentile`` keeps one counter per distinct value in a single task, which is
-right for counts and day numbers but not for prices or scores.  Here the values
-are first counted, the counted values are split into buckets by a bounded
-sketch, and only the buckets that hold a wanted rank are sorted, each in its own
-task.  The sketch decides where the buckets end, never what the answer is.
+right for counts and day numbers but not for prices or scores.  Here a bounded
+sketch first brackets every wanted rank between two values, with the error bound
+of the sketch to spare; a second pass counts the rows below each bracket and
+orders only the few values inside it.  The sketch narrows the search, the answer
+is exact, and a bracket that missed its rank is an error, never a result.
 """
 
 from __future__ import annotations
@@ -14,54 +15,56 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-
-
-def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows per (group, column, value) of the non-null values, combined before the exchange."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    known = F.filter(pairs, lambda p: p["value"].isNotNull() & ~F.isnan(p["value"]))
-    return df.select(*by, F.inline(known)).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
+ACCURACY = 20000  # sketch error is one row in this many
+MARGIN = 4 / ACCURACY  # half width of a bracket, four times the error
+SMALL = 50_000  # up to here every value is inside the bracket
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles ``q0, q1, ...`` per group and column, with the number of values."""
-    key = [*by, "column"]
-    counts = value_counts(df, columns, by)
-    grid = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    edges = counts.groupBy(*key).agg(F.percentile_approx("value", grid, F.lit(4 * BUCKETS)).alias("edges"))
-    # two steps of 16 comparisons find the bucket among 256
-    coarse = F.transform(F.sequence(F.lit(16), F.lit(BUCKETS - 16), F.lit(16)), lambda i: F.element_at("edges", i))
-    placed = (counts.join(edges.withColumn("coarse", coarse), key)
-              .withColumn("k", F.size(F.filter("coarse", lambda e: e < F.col("value"))) * 16)
-              .withColumn("bucket", F.col("k") + F.size(F.filter(
-                  F.slice("edges", F.col("k") + 1, F.lit(16)), lambda e: e < F.col("value"))))
-              .drop("edges", "coarse", "k"))
-
-    in_order = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*key)
-    buckets = placed.groupBy(*key, "bucket").agg(F.sum("n").alias("size")).withColumns({
-        "before": F.sum("size").over(in_order) - F.col("size"), "total": F.sum("size").over(whole)})
-
-    def rank(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("total") - 1)
-
-    wanted = F.lit(False)
-    for p in probs:
-        for r in (F.floor(rank(p)), F.ceil(rank(p))):
-            wanted |= (r >= F.col("before")) & (r < F.col("before") + F.col("size"))
-    inside = Window.partitionBy(*key, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(buckets.filter(wanted), [*key, "bucket"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(inside))
-
-    aggs = []
-    for i, p in enumerate(probs):
-        aggs += [F.min(F.when(F.col("upto") > F.floor(rank(p)), F.col("value"))).alias(f"_lo{i}"),
-                 F.min(F.when(F.col("upto") > F.ceil(rank(p)), F.col("value"))).alias(f"_hi{i}")]
-    found = ranked.groupBy(*key).agg(F.max("total").alias("total"), *aggs)
-    return found.select(*key, F.col("total").alias("n"), *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (rank(p) - F.floor(rank(p)))).alias(f"q{i}")
-        for i, p in enumerate(probs)])
+    numbers = df.select(*by, *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
+    marks = F.array(*[F.lit(min(max(p + side, 0.0), 1.0)) for p in probs for side in (-MARGIN, MARGIN)])
+    brackets = numbers.groupBy(*by).agg(*[F.struct(
+        F.count(c).alias("n"), F.percentile_approx(c, marks, F.lit(ACCURACY)).alias("marks")).alias(f"_{c}") for c in columns])
+    if by:
+        held = numbers.join(brackets, list(by))
+    else:
+        packed = brackets.select(F.struct(*[f"_{c}" for c in columns]).alias("s")).scalar()
+        held = numbers.withColumn("_s", packed).select("*", "_s.*").drop("_s")
+
+    def edge(c: str, i: int, side: int) -> Column:
+        """Lower (0) or upper (1) end of the bracket of the i-th rank; open for small columns and at the ends."""
+        p = probs[i] + (MARGIN if side else -MARGIN)
+        infinite = F.lit(float("inf") if side else float("-inf"))
+        if not 0 < p < 1:
+            return infinite
+        return F.when(F.col(f"_{c}.n") <= SMALL, infinite).otherwise(F.col(f"_{c}.marks")[2 * i + side])
+
+    tagged = []
+    for c in columns:
+        for i in range(len(probs)):
+            low, high, v = edge(c, i, 0), edge(c, i, 1), F.col(c)
+            tagged.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(f"_{c}.n").alias("total"),
+                                   F.when(v.between(low, high), v).alias("value"), (v < low).alias("below")))
+    # rows below a bracket are only counted, so they share one null value
+    counts = (held.select(*by, F.inline(F.array(*tagged))).filter("below OR value IS NOT NULL")
+              .groupBy(*by, "column", "i", "total", "value").agg(F.count("*").alias("n")))
+    key = [*by, "column", "i"]
+    upto = F.sum("n").over(Window.partitionBy(*key).orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", upto)
+    p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("i"))
+    rank = p * (F.col("total") - 1)
+
+    def at(r: Column) -> Column:
+        # the first value that reaches the rank; null if that is still below the bracket
+        return F.min_by("value", F.when(F.col("upto") > r, F.col("upto")))
+
+    found = ranked.groupBy(*key, "total").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi"))
+    checked = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.raise_error(F.lit("a quantile bracket missed its rank"))).otherwise(
+        F.col("lo") + (F.col("hi") - F.col("lo")) * (rank - F.floor(rank)))
+    values = found.select(*key, "total", checked.alias("q"))
+    return values.groupBy(*by, "column").agg(F.max("total").alias("n"), *[
+        F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
 
 
 def wide_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:

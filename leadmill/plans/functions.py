@@ -212,8 +212,8 @@ def industry(t: Tables) -> DataFrame:
   CASE WHEN {sql_fallback('c1', 'c2')} = 'Other' THEN c3 ELSE {sql_fallback('c1', 'c2')} END AS with_domain FROM (
   SELECT id, {INDUSTRY_SQL} AS c1, {_JSON_CATEGORY} AS c2, {sql_rules('company_domain', K.DOMAIN_INDUSTRY_RULES)} AS c3 FROM contacts)"""))
 def industry_fallbacks(t: Tables) -> DataFrame:
-    df = t.contacts("id", "organization_industry", "industry_json", "company_domain")
-    name, document, domain = F.col("organization_industry"), F.col("industry_json"), F.col("company_domain")
+    df = t.contacts("id", "organization_industry", "industry_json", "company_domain").withColumn("names", C.json_industries(F.col("industry_json")))
+    name, document, domain = F.col("organization_industry"), F.col("names"), F.col("company_domain")
     return df.select("id", C.industry_category(name).alias("by_name"), C.industry_category(name, document).alias("with_document"),
                      C.industry_category(name, document, domain).alias("with_domain"))
 
