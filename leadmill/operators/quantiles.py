@@ -40,27 +40,35 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             return infinite
         return F.when(F.col(f"_{c}.n") <= SMALL, infinite).otherwise(F.col(f"_{c}.marks")[2 * i + side])
 
-    tagged = []
-    for c in columns:
-        for i in range(len(probs)):
-            low, high, v = edge(c, i, 0), edge(c, i, 1), F.col(c)
-            tagged.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(f"_{c}.n").alias("total"),
-                                   F.when(v.between(low, high), v).alias("value"), (v < low).alias("below")))
-    # rows below a bracket are only counted, so they share one null value
-    counts = (held.select(*by, F.inline(F.array(*tagged))).filter("below OR value IS NOT NULL")
-              .groupBy(*by, "column", "i", "total", "value").agg(F.count("*").alias("n")))
+    spots = [(c, i, edge(c, i, 0), edge(c, i, 1)) for c in columns for i in range(len(probs))]
+    # one row per group: how many values lie below each bracket
+    below = held.groupBy(*by).agg(
+        *[F.count_if(F.col(c) < low).alias(f"b{n}") for n, (c, _, low, _) in enumerate(spots)],
+        *[F.first(f"_{c}.n").alias(f"n_{c}") for c in columns])
+    start = below.select(*by, F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(i).alias("i"), F.col(f"n_{c}").alias("total"), F.col(f"b{n}").alias("below"))
+        for n, (c, i, _, _) in enumerate(spots)])))
+    # the few values inside a bracket, counted
+    within = F.lit(False)
+    for c, _, low, high in spots:
+        within |= F.col(c).between(low, high)
+    tagged = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("i"), F.when(F.col(c).between(low, high), F.col(c)).alias("value"))
+                       for c, i, low, high in spots])
+    counts = (held.filter(within).select(*by, F.inline(tagged)).filter("value IS NOT NULL")
+              .groupBy(*by, "column", "i", "value").agg(F.count("*").alias("n")))
     key = [*by, "column", "i"]
-    upto = F.sum("n").over(Window.partitionBy(*key).orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("upto", upto)
+    upto = F.sum("n").over(Window.partitionBy(*key).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("inside", upto).join(start, key).withColumn("upto", F.col("below") + F.col("inside"))
     p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("i"))
     rank = p * (F.col("total") - 1)
 
     def at(r: Column) -> Column:
-        # the first value that reaches the rank; null if that is still below the bracket
+        # the first value that reaches the rank; null if the bracket ends before it
         return F.min_by("value", F.when(F.col("upto") > r, F.col("upto")))
 
-    found = ranked.groupBy(*key, "total").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi"))
-    checked = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.raise_error(F.lit("a quantile bracket missed its rank"))).otherwise(
+    found = ranked.groupBy(*key, "total").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi"), F.max("below").alias("below"))
+    missed = F.col("lo").isNull() | F.col("hi").isNull() | (F.col("below") > F.floor(rank))
+    checked = F.when(missed, F.raise_error(F.lit("a quantile bracket missed its rank"))).otherwise(
         F.col("lo") + (F.col("hi") - F.col("lo")) * (rank - F.floor(rank)))
     values = found.select(*key, "total", checked.alias("q"))
     return values.groupBy(*by, "column").agg(F.max("total").alias("n"), *[
