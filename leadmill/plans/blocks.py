@@ -420,3 +420,31 @@ def training_frame(t: Tables) -> DataFrame:
   CAST(dense_rank() OVER (ORDER BY coalesce(title, 'Unknown')) - 1 AS DOUBLE) AS title_code, CAST(dense_rank() OVER (ORDER BY coalesce(seniority, 'Unknown')) - 1 AS DOUBLE) AS seniority_code FROM contacts"""))
 def label_codes(t: Tables) -> DataFrame:
     return FE.numeric_frame(t.contacts("id", "title", "seniority", "email_gap", "daily_limit"), ["title", "seniority"], "none", ["id"])
+
+
+# --- whole runs -----------------------------------------------------------------------------------
+_FENCED = f"""marks AS (SELECT quantile_cont(organization_employees, 0.25) AS a, quantile_cont(organization_employees, 0.75) AS b FROM contacts),
+fenced AS (SELECT *, CASE WHEN organization_employees IS NOT NULL THEN least(greatest(organization_employees, a - 1.5 * (b - a)), b + 1.5 * (b - a)) END AS fenced_employees FROM contacts, marks)"""
+_MODE = "(SELECT seniority FROM contacts WHERE seniority IS NOT NULL GROUP BY seniority ORDER BY count(*) DESC, seniority LIMIT 1)"
+
+
+@query("f_19_three_phase_run", on_contacts(f"""SELECT id, round(CAST(coalesce(fenced_employees, (SELECT quantile_cont(fenced_employees, 0.5) FROM fenced)) AS DOUBLE), 6) AS organization_employees,
+  coalesce(seniority, {_MODE}) AS seniority, hour(timestamp_created) AS timestamp_created_hour, coalesce(country, 'Unknown') || '_' || coalesce(seniority, {_MODE}) AS country_seniority_interaction,
+  CASE WHEN email_click_count > 0 THEN 2 WHEN email_open_count > 0 AND email_click_count = 0 THEN 1 ELSE 0 END AS engagement_level FROM fenced""", _FENCED))
+def three_phase_run(t: Tables) -> DataFrame:
+    from leadmill.operators.runs import three_phase
+
+    df = t.contacts("id", "organization_employees", "seniority", "country", "timestamp_created", "email_open_count", "email_click_count")
+    return rounded(three_phase(df, ["organization_employees"], ["seniority"])).select(
+        "id", "organization_employees", "seniority", "timestamp_created_hour", "country_seniority_interaction", "engagement_level")
+
+
+@query("f_20_daily_run", on_contacts(f"""SELECT 'health' AS step, CAST(NULL AS BIGINT) AS rows, (epoch_us({AS_OF_SQL}) - epoch_us(max(timestamp_created))) / 3.6e9 <= 24 AS ok FROM contacts UNION ALL
+  SELECT 'gold', count(*), TRUE FROM silver WHERE timestamp_last_contact <= {AS_OF_SQL} - INTERVAL 30 DAY AND email IS NOT NULL AND data_quality_score >= 0.3 AND contact_key % 3 <> 0 UNION ALL
+  SELECT 'retrain', NULL, (epoch_us({AS_OF_SQL}) - epoch_us(max(ts))) / 8.64e10 >= 7 FROM events WHERE event_type = 'signup'""", SILVER_CTE))
+def daily_run_steps(t: Tables) -> DataFrame:
+    from leadmill.operators.runs import daily_run
+
+    done = t.contacts("id", "contact_key").filter("contact_key % 3 = 0").select("id")
+    registry = t.events.filter("event_type = 'signup'").select(F.col("ts").alias("created"))
+    return daily_run(t.contacts("id", "timestamp_created"), silver(t), done, registry, K.AS_OF)
