@@ -108,5 +108,5 @@ def first_seen(df: DataFrame, key: str, ts: str) -> DataFrame:
     Aggregate and join rather than a window: the first time of a hot key is
     combined before the exchange, and the join side is small or split by AQE.
     """
-    firsts = df.filter(F.col(ts).isNotNull()).groupBy(key).agg(F.min(ts).alias("first_seen"))
+    firsts = df.dropna(subset=[key]).groupBy(key).agg(F.min(ts).alias("first_seen"))
     return df.join(firsts, key)
