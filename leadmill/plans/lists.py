@@ -50,7 +50,7 @@ def daily(t: Tables) -> DataFrame:
 def aged(t: Tables) -> DataFrame:
     """Contacts with the cohort month of their list and the weeks since its first contact."""
     weeks = days_between(F.col("timestamp_created"), F.col("first_seen")) / 7
-    return TS.first_seen(listed(t), "email_list", "timestamp_created").withColumns({
+    return TS.first_seen(listed(t), "email_list", "timestamp_created").dropna(subset=["first_seen"]).withColumns({
         "cohort_month": F.date_format("first_seen", "yyyy-MM"),
         "weeks_since": half_even(weeks, 0).cast("bigint")})
 
