@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadmill.llm import exact_dedup, mixing
+from leadmill.llm import exact_dedup, mixing, packing, quality_rules
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,13 +18,23 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_rules.line_clean(docs, cleaned=False).drop("text", "lost_lines")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_mixing, op9_exact_dedup)}
+    return {f.__name__: f for f in (op2_mixing, op7_packing, op8_quality_rules, op9_exact_dedup)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.COPIES_SQL}
+    return {"op8_quality_rules": quality_rules.JUDGED_SQL, "op9_exact_dedup": exact_dedup.COPIES_SQL}
