@@ -49,12 +49,11 @@ def repeat_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """``docs`` with each distinct row given as often as ``decisions`` (row_key_a, row_key_b, times) says.
 
     Equal rows are first reduced to one and ``times`` is their total. One exchange of the rows, on the key."""
-    times = decisions.groupBy("row_key_a", "row_key_b").agg(F.sum("times").alias("row_times")).where("row_times > 0")
     keys = ["row_key_a", "row_key_b"]
-    joined = docs.select("*", *row_key(docs)).join(times, keys)
-    ones = joined.dropDuplicates(keys)
-    return ones.select(*[F.col(f"`{c}`") for c in docs.columns],
-                       F.explode(F.sequence(F.lit(1), F.col("row_times").cast("int"))).alias("row_place")).drop("row_place")
+    times = decisions.groupBy(*keys).agg(F.sum("times").alias("times")).where("times > 0")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    ones = docs.select(whole, *row_key(docs)).join(times, keys).dropDuplicates(keys)
+    return ones.select("whole", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("place")).select("whole.*")
 
 
 def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str) -> DataFrame:

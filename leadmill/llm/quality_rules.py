@@ -2,7 +2,8 @@
 
 Line rules, each on a line with at least one word:
 
-* punctuation: it must end in a terminal mark (closing quotes and brackets aside), and no more than half of its words may;
+* punctuation: it must end in a terminal mark (closing quotes and brackets aside) or have one after every 25th word on
+  average, and in a line of 8 words or more no more than half of the words may have one;
 * navigation: at most a tenth as many separators and symbols as words;
 * boilerplate: none of the fixed phrases of licences, cookie notices and site furniture.
 """
@@ -30,6 +31,7 @@ MIN_WORDS = 50
 MAX_REPEATED = 50
 MAX_LOST = 50
 MANY_MARKS = 8
+PROSE_WORDS = 25
 
 _PHRASES = re.compile("|".join(map(re.escape, PHRASES)))
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -43,9 +45,10 @@ def line_fails(line: str) -> tuple[str | None, int]:
     if not n:
         return None, 0
     bare = line.strip(_BLANKS).rstrip(CLOSING)
-    if bare[-1:] not in tuple(TERMINAL):
+    marks = sum(w[-1:] in b".!?:;" for w in words)
+    if bare[-1:] not in tuple(TERMINAL) and marks * PROSE_WORDS < n:
         return "punctuation", n
-    if n >= MANY_MARKS and 2 * sum(w[-1:] in b".!?:;" for w in words) > n:
+    if n >= MANY_MARKS and 2 * marks > n:
         return "punctuation", n
     if 10 * sum(line.count(c) for c in SYMBOLS + SEPARATORS) > n:
         return "navigation", n
@@ -116,7 +119,8 @@ def _sql() -> str:
     count = lambda pattern, of: f"len(regexp_extract_all({of}, '{pattern}'))"
     words, ends = count(word, "l"), r"[.!?:;]([\x20\x09-\x0D]|$)"
     symbols = r"[#*$%&|<>]"
-    fails = f"""(NOT regexp_matches(rtrim(rtrim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '"'')]”’»'), '[.!?…:;]$')
+    fails = f"""((NOT regexp_matches(rtrim(rtrim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '"'')]”’»'), '[.!?…:;]$')
+          AND {PROSE_WORDS} * {count(ends, "l")} < {words})
       OR ({words} >= {MANY_MARKS} AND 2 * {count(ends, "l")} > {words})
       OR 10 * {count("[#*$%&|<>»›•·]", "l")} > {words}
       OR regexp_matches(lower(l), '{"|".join(PHRASES)}'))"""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import exact_dedup, mixing, packing, quality_rules
+from leadmill.llm import exact_dedup, mixing, packing, quality_rules, simhash_index
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
 
+def op4_simhash_index(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_index.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -32,8 +37,12 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_mixing, op7_packing, op8_quality_rules, op9_exact_dedup)}
+    return {f.__name__: f for f in (op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, pipeline)}
 
 
 def all_sql() -> dict[str, str]:
