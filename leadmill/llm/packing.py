@@ -53,7 +53,7 @@ class Encoder:
             pass
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set(words) - self.known.keys())
+        new = [word for word in set(words) if word not in self.known]
         for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self.known[word] = array("I", got.ids).tobytes()
         return b"".join(map(self.known.__getitem__, words))
