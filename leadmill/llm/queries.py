@@ -9,12 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import exact_dedup, mixing, packing, quality_rules, simhash_index
+from leadmill.llm import exact_dedup, host_reputation, mixing, packing, quality_rules, simhash_index
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    return host_reputation.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
@@ -42,8 +46,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, pipeline)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op8_quality_rules": quality_rules.JUDGED_SQL, "op9_exact_dedup": exact_dedup.COPIES_SQL}
+    return {"op1_host_reputation": host_reputation.JUDGED_SQL, "op8_quality_rules": quality_rules.JUDGED_SQL, "op9_exact_dedup": exact_dedup.COPIES_SQL}
