@@ -9,11 +9,11 @@ which tokens of which document lie where in which sequence. Only the last sequen
 from __future__ import annotations
 
 import os
-import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,38 +25,61 @@ LENGTH = 4096
 END_ID = 2
 #: A stored row holds at most so many tokens; longer documents take several.
 ROW_TOKENS = 1 << 16
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 400_000
-#: Texts beyond these characters, with separators that only Python splits at, or with the text of a special token go
-#: through the tokenizer as a whole. In all others a word's ids do not depend on its neighbours.
-WHOLE = re.compile("[^\x00-ɏ]|[\x1c-\x1f]|<\\|")
+#: Words, and parts of words, whose ids a worker remembers before it starts anew.
+WORDS_KEPT, PARTS_KEPT = 500_000, 700_000
+#: Characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from U+0100 on.
+BYTES = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+#: The tokenizer's own split of a word; parts are encoded apart from each other.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def by_words(text: str) -> bool:
+    """Whether a word's ids do not depend on its neighbours: all characters below U+0100, so that normalisation changes
+    none, no separators that only Python splits at, and no text of a special token."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in text and not any(c in text for c in "\x1c\x1d\x1e\x1f")
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, remembering the ids of words."""
+    """Token ids of texts as little-endian unsigned 32-bit numbers, remembering the ids of words and their parts."""
 
     def __init__(self, path: str, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.whole = whole
 
     def encode(self, text: str) -> bytes:
-        if self.whole or WHOLE.search(text):
+        if self.whole or not by_words(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        if len(self.parts) > PARTS_KEPT:
+            self.parts.clear()
         words = text.lower().split()
         try:
-            return b"".join(map(self.known.__getitem__, words))
+            return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            pass
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [word for word in set(words) if word not in self.known]
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = array("I", got.ids).tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+            self.learn(word for word in words if word not in self.words)
+            return b"".join(map(self.words.__getitem__, words))
+
+    def learn(self, words: Iterable[str]) -> None:
+        known, parts, tokenise = self.words, self.parts, self.tokenizer.model.tokenize
+        for word in words:
+            ids = []
+            for part in PARTS.findall(word):
+                own = parts.get(part)
+                if own is None:
+                    spelt = part.encode().decode("latin-1").translate(BYTES)
+                    own = parts[part] = array("I", [token.id for token in tokenise(spelt)]).tobytes()
+                ids.append(own)
+            known[word] = b"".join(ids)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
