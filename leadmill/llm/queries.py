@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import exact_dedup, host_reputation, mixing, packing, quality_rules, simhash_index
+from leadmill.llm import exact_dedup, host_reputation, language_ppm, mixing, packing, quality_rules, simhash_index
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,12 +41,16 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, folder, "documents"))
 
 
+def op10_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return language_ppm.identify(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, op10_language_ppm, pipeline)}
 
 
 def all_sql() -> dict[str, str]:
