@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import exact_dedup, host_reputation, language_ppm, mixing, packing, quality_rules, simhash_index
+from leadmill.llm import exact_dedup, host_reputation, html_blocks, language_ppm, mixing, packing, quality_rules, simhash_index
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
 
+def op3_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    found = html_blocks.extract(pages, html_blocks.fit(pages), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_simhash_index(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_index.near_duplicates(table(spark, folder, "documents"))
 
@@ -50,7 +56,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, op10_language_ppm, pipeline)}
+    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op3_html_blocks, op4_simhash_index, op7_packing, op8_quality_rules, op9_exact_dedup, op10_language_ppm, pipeline)}
 
 
 def all_sql() -> dict[str, str]:
