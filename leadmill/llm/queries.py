@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import cross_entropy, exact_dedup, host_reputation, html_blocks, language_ppm, mixing, packing, quality_rules, simhash_index
+from leadmill.llm import cross_entropy, exact_dedup, host_reputation, html_blocks, language_ppm, mixing, packing, quality_rules, simhash_index, toxicity_chain
 from leadmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_simhash_index(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_index.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_chain.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return cross_entropy.cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -60,7 +64,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op3_html_blocks, op4_simhash_index, op6_cross_entropy, op7_packing, op8_quality_rules, op9_exact_dedup, op10_language_ppm, pipeline)}
+    return {f.__name__: f for f in (op1_host_reputation, op2_mixing, op3_html_blocks, op4_simhash_index, op5_toxicity_chain, op6_cross_entropy, op7_packing, op8_quality_rules, op9_exact_dedup, op10_language_ppm, pipeline)}
 
 
 def all_sql() -> dict[str, str]:
