@@ -27,7 +27,7 @@ CATEGORIES = ("insult", "contempt", "severe", "toxic")
 SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 3000
 #: A word is a feature if at least so many documents of the sample have it and its share of toxic ones is so many
 #: standard deviations off.
-MIN_DOCS, MIN_DEVIATION = 8, 3.0
+MIN_DOCS, MIN_DEVIATION = 3, 3.0
 FOLDS = 3
 STEPS = 100
 RIDGE = 1e-3
