@@ -77,9 +77,9 @@ def ratio_features() -> dict[str, Column]:
     }
 
 
-def pairwise_products(columns: list[str], limit: int = 8) -> dict[str, Column]:
-    """Product of every pair among the first ``limit`` columns."""
-    return {f"{a}_x_{b}": (F.col(a) * F.col(b)).cast("double") for a, b in combinations(columns[:limit], 2)}
+def pairwise_products(columns: list[str]) -> dict[str, Column]:
+    """Product of every pair among the columns."""
+    return {f"{a}_x_{b}": (F.col(a) * F.col(b)).cast("double") for a, b in combinations(columns, 2)}
 
 
 def direct_social_presence(profile: Column, second: Column, stack: Column) -> Column:

@@ -52,6 +52,17 @@ def recent(df: DataFrame, as_of: datetime, lookback_days: int) -> DataFrame:
     return df.filter((F.col("timestamp_created") >= since) | (F.col("timestamp_updated") >= since))
 
 
+def processable(df: DataFrame, batch: int | None = None) -> DataFrame:
+    """Rows with a creation time; only where a batch size is given, that many of the newest."""
+    ready = df.filter("timestamp_created IS NOT NULL")
+    return ready if batch is None else ready.orderBy(F.desc("timestamp_created"), "id").limit(batch)
+
+
+def stale(df: DataFrame, as_of: datetime, days: int = K.STALE_DAYS) -> DataFrame:
+    """Qualified leads that were last updated at least ``days`` ago."""
+    return df.filter((F.col("timestamp_updated") <= F.lit(as_of) - F.make_dt_interval(F.lit(days))) & F.col("is_qualified_lead"))
+
+
 def realistic_window(df: DataFrame, candidates: Sequence[str], as_of: datetime, min_rows: int = 1000) -> DataFrame:
     """Rows since last November by the first time column with more than ``min_rows`` such rows; none if there is no such column.
 

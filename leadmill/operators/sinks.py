@@ -19,10 +19,14 @@ from leadmill.operators.quality import latest_per_key
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a temporary one only where the session names none (local tests)."""
+    """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
+
+    Without the setting only a local master, whose executor is the driver itself, gets a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = tempfile.mkdtemp(prefix="leadmill-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
@@ -32,6 +36,12 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``fresh_folder``, in whichever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -39,6 +49,12 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _any_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """A fixed order of the rows of one key, for sources that bring none."""
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    return [F.xxhash64(*rest), *rest] if rest else [F.lit(0)]
+
+
 # --- merging ------------------------------------------------------------------------
 def new_rows(source: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks."""
@@ -49,10 +65,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stam
                  order: Sequence[Column] = ()) -> DataFrame:
     """Target with the source rows inserted or replacing their namesakes.
 
-    Of several source rows with one key the last in ``order`` counts.  ``stamp``
-    is written to ``updated_timestamp`` of replaced and new rows.
+    Of several source rows with one key the last in ``order`` counts, by default
+    the last by all other columns, so that a key is never written twice.
+    ``stamp`` is written to ``updated_timestamp`` of replaced and new rows.
     """
-    rows = latest_per_key(source, keys, order) if order else source
+    rows = latest_per_key(source, keys, order or _any_order(source, keys))
     if stamp is not None:
         rows = rows.withColumn("updated_timestamp", stamp)
     kept = target.join(rows.select(*keys), list(keys), "left_anti")
@@ -89,10 +106,14 @@ def backfill(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
 
 
 def register_model(registry: DataFrame, entry: DataFrame) -> DataFrame:
-    """Registry with a new entry; of each model type only the newest version stays active."""
-    newest = registry.unionByName(entry).groupBy("model_type").agg(F.max("created").alias("_newest"))
-    return registry.unionByName(entry).join(newest, "model_type").withColumn(
-        "is_active", F.col("created") == F.col("_newest")).drop("_newest")
+    """Registry with new entries: of each type that has one, all others become inactive, and the inserted entry, of
+    several the newest, is active whatever its date; other types are left as they are."""
+    added = entry.withColumn("_place", F.struct("created", F.col("version"), F.xxhash64(*entry.columns)))
+    chosen = added.groupBy("model_type").agg(F.max("_place").alias("_chosen"))
+    old = registry.join(chosen.select("model_type", F.lit(True).alias("_new")), "model_type", "left")
+    old = old.withColumn("is_active", F.col("is_active") & F.col("_new").isNull()).drop("_new")
+    new = added.join(chosen, "model_type").withColumn("is_active", F.col("_place") == F.col("_chosen")).drop("_place", "_chosen")
+    return old.select(*registry.columns).unionByName(new.select(*registry.columns))
 
 
 # --- storage --------------------------------------------------------------------------
@@ -101,9 +122,16 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-    """Idempotent append: keys that the table holds are left out, so a repeated run adds nothing."""
-    append(new_rows(df, read_or_none(df.sparkSession, path), keys), path, partition_by)
+def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), order: Sequence[Column] = ()) -> None:
+    """Idempotent append: one row per key, and none whose key the table holds, so a repeated run adds nothing.
+
+    Of rows with one key the last in ``order`` counts (by default a fixed one).  Where the table is partitioned, the
+    partition columns must be functions of the key: only partitions that occur in ``df`` are read."""
+    once = latest_per_key(df, keys, order or _any_order(df, keys))
+    target = read_or_none(df.sparkSession, path)
+    if target is not None and partition_by:
+        target = target.join(once.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    append(new_rows(once, target, keys), path, partition_by)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -116,19 +144,22 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     df.write.parquet(staged)
     (df.sparkSession.read.parquet(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    remove_folder(df.sparkSession, staged)
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], partition_by: str, stamp: Column | None = None) -> None:
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str], partition_by: str, stamp: Column | None = None,
+                 order: Sequence[Column] = ()) -> None:
     """Upsert into a partitioned parquet table; only partitions with source rows are rewritten.
 
-    The partition column must be a function of the key, so that a row never
-    changes its partition.
+    The first write is a merge into an empty table, so keys and columns are the
+    same as after any other.  The partition column must be a function of the
+    key, so that a row never changes its partition.
     """
     target = read_or_none(source.sparkSession, path)
     if target is None:
-        return append(source, path, [partition_by])
+        return append(merge_upsert(source.limit(0), source, keys, stamp, order), path, [partition_by])
     touched = target.join(source.select(partition_by).distinct(), partition_by, "left_semi")
-    replace_partitions(merge_upsert(touched, source, keys, stamp), path, [partition_by])
+    replace_partitions(merge_upsert(touched, source, keys, stamp, order), path, [partition_by])
 
 
 def write_reports(df: DataFrame, path: str) -> None:

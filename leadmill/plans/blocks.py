@@ -203,10 +203,10 @@ def freshness_duplicates(t: Tables) -> DataFrame:
     df = t.contacts("email", "timestamp_created").withColumn("day", F.to_date("timestamp_created"))
     # one row per (address, day): both distinct counts come from two small aggregates
     pairs = df.groupBy("email", "day").agg(F.count("*").alias("n"), F.count("email").alias("given"))
-    mails = pairs.groupBy("email").agg(F.sum("n").alias("n"), F.sum("given").alias("given"), F.collect_set("day").alias("days"))
+    mails = pairs.groupBy("email").agg(F.sum("n").alias("n"), F.sum("given").alias("given"), F.min("day").alias("first"), F.max("day").alias("last"))
     days = pairs.agg(F.count_distinct("day")).scalar()
-    return mails.agg(F.sum("n").alias("total_records"), F.min(F.array_min("days")).cast("string").alias("first_insert"),
-                     F.max(F.array_max("days")).cast("string").alias("last_insert"),
+    return mails.agg(F.sum("n").alias("total_records"), F.min("first").cast("string").alias("first_insert"),
+                     F.max("last").cast("string").alias("last_insert"),
                      (F.sum("given") - F.count("email")).alias("duplicate_count")).withColumn("insert_days", days)
 
 

@@ -56,10 +56,9 @@ def incremental(t: Tables) -> DataFrame:
     return L.recent(t.contacts("id", "timestamp_created", "timestamp_updated"), LATE, 7).select("id")
 
 
-@query("src_04_processable", on_contacts("SELECT id FROM contacts WHERE timestamp_created IS NOT NULL ORDER BY timestamp_created DESC, id LIMIT 500"))
+@query("src_04_processable", on_contacts("SELECT id FROM contacts WHERE timestamp_created IS NOT NULL "))
 def processable(t: Tables) -> DataFrame:
-    return (t.contacts("id", "timestamp_created").filter("timestamp_created IS NOT NULL")
-            .orderBy(F.desc("timestamp_created"), "id").limit(500).select("id"))
+    return L.processable(t.contacts("id", "timestamp_created")).select("id")
 
 
 @query("src_05_pending_silver", on_contacts(f"""SELECT id FROM silver WHERE processed_timestamp >= {MID_SQL} - INTERVAL 7 DAY
@@ -341,9 +340,12 @@ def engagement_window(t: Tables) -> DataFrame:
             .filter((F.col("timestamp_created") >= since) & ((active >= since) | active.isNull())).select("id"))
 
 
-@query("flt_05_stale", on_contacts(f"SELECT id FROM contacts WHERE timestamp_updated <= {AS_OF_SQL} - INTERVAL 40 DAY"))
+@query("flt_05_stale", on_contacts("""SELECT id FROM (SELECT id, timestamp_updated, sum(coalesce(email_reply_count, 0)) OVER (PARTITION BY email) > 0 AS qualified FROM contacts)
+  WHERE timestamp_updated <= TIMESTAMP '2024-04-10 00:00:00' - INTERVAL 60 DAY AND qualified"""))
 def stale(t: Tables) -> DataFrame:
-    return t.contacts("id", "timestamp_updated").filter(F.col("timestamp_updated") <= F.lit(K.AS_OF) - F.expr("INTERVAL 40 DAYS")).select("id")
+    df = t.contacts("id", "email", "timestamp_updated", "email_reply_count")
+    replied = df.groupBy(F.col("email").alias("mail")).agg((F.sum(F.coalesce("email_reply_count", F.lit(0))) > 0).alias("is_qualified_lead"))
+    return L.stale(df.join(replied, F.col("email").eqNullSafe(F.col("mail"))), datetime(2024, 4, 10)).select("id")
 
 
 _SEASON = ["timestamp_last_interest_change", "enriched_at", "timestamp_created"]
@@ -491,7 +493,11 @@ def _priced(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query("snk_03_upsert", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS p_name, p_retailprice + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS p_retailprice, CASE WHEN p_partkey % 2 = 0 THEN 'new' ELSE 'old' END AS origin FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0")
 def upsert(t: Tables) -> DataFrame:
-    return SK.merge_upsert(*_priced(t), ["p_partkey"])
+    path, (target, source) = SK.fresh_folder(t.spark, "parts"), _priced(t)
+    slot = (F.col("p_partkey") % 8).alias("slot")
+    for rows in (target, target, source, source.unionByName(source)):  # repeated writes and repeated keys change nothing
+        SK.upsert_table(rows.select("*", slot), path, ["p_partkey"], "slot")
+    return t.spark.read.parquet(path).drop("slot")
 
 
 @query("snk_04_partial_upsert", "SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN p_name ELSE upper(p_name) END AS p_name, p_retailprice + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS p_retailprice, CASE WHEN p_partkey % 3 <> 0 THEN 'old' ELSE 'new' END AS origin FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0")
@@ -541,10 +547,15 @@ def prediction_export(t: Tables) -> DataFrame:
         F.count("*").alias("rows"), F.max("confidence").alias("best"))
 
 
-@query("snk_11_registry", "SELECT p_partkey AS version, p_type AS model_type, p_partkey = max(p_partkey) OVER (PARTITION BY p_type) AS is_active FROM part")
+@query("snk_11_registry", """SELECT p_partkey AS version, p_type AS model_type,
+  p_partkey = coalesce(max(CASE WHEN p_partkey % 5 = 0 THEN p_partkey END) OVER k, max(p_partkey) OVER k) AS is_active
+  FROM part WINDOW k AS (PARTITION BY p_type)""")
 def registry(t: Tables) -> DataFrame:
     rows = t.part.select(F.col("p_partkey").alias("version"), F.col("p_type").alias("model_type"), F.col("p_partkey").alias("created"))
-    out = SK.register_model(rows.filter("version % 5 <> 0"), rows.filter("version % 5 = 0"))
+    held = rows.filter("version % 5 <> 0")
+    latest = held.groupBy("model_type").agg(F.max("version").alias("latest"))
+    held = held.join(latest, "model_type").withColumn("is_active", F.col("version") == F.col("latest")).drop("latest")
+    out = SK.register_model(held, rows.filter("version % 5 = 0"))
     return out.select("version", "model_type", "is_active")
 
 

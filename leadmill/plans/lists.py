@@ -82,11 +82,11 @@ def centred_means(t: Tables) -> DataFrame:
 
 
 _METHOD_DAYS_CTE = """method_days AS (SELECT CAST(timestamp_created AS DATE) AS date,
-  count(*) FILTER (WHERE upload_method = 'api') AS api, count(*) FILTER (WHERE upload_method = 'manual') AS manual
+  count(*) FILTER (WHERE upload_method = 'api') AS api, count(*) FILTER (WHERE upload_method = 'manual') AS manual, count(*) AS uploads
   FROM contacts WHERE timestamp_created IS NOT NULL GROUP BY 1),
 shares AS (SELECT CAST(c.d AS DATE) AS date, coalesce(api, 0) AS api, coalesce(manual, 0) AS manual,
-  coalesce(api, 0) / CAST(nullif(coalesce(api, 0) + coalesce(manual, 0), 0) AS DOUBLE) AS api_share,
-  coalesce(manual, 0) / CAST(nullif(coalesce(api, 0) + coalesce(manual, 0), 0) AS DOUBLE) AS manual_share
+  coalesce(api, 0) / CAST(nullif(coalesce(uploads, 0), 0) AS DOUBLE) AS api_share,
+  coalesce(manual, 0) / CAST(nullif(coalesce(uploads, 0), 0) AS DOUBLE) AS manual_share
   FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d FROM method_days) c
   LEFT JOIN method_days m ON m.date = CAST(c.d AS DATE)),
 rolled AS (SELECT *, CASE WHEN count(api_share) OVER w = 7 THEN avg(api_share) OVER w END AS api_share_7d
@@ -94,14 +94,12 @@ rolled AS (SELECT *, CASE WHEN count(api_share) OVER w = 7 THEN avg(api_share) O
 
 
 def method_shares(t: Tables) -> DataFrame:
-    """Uploads per method and day with their shares; days without uploads are filled in."""
+    """Uploads by api and by hand per day and their shares of all uploads; days without uploads are filled in."""
     counts = (t.contacts("timestamp_created", "upload_method").dropna(subset=["timestamp_created"])
               .groupBy(F.to_date("timestamp_created").alias("date"))
-              .pivot("upload_method", ["api", "manual"]).agg(F.count(F.lit(1))).na.fill(0))
-    filled = TS.calendar(counts, "date").join(counts, "date", "left").na.fill(0, ["api", "manual"])
-    total = F.col("api") + F.col("manual")
-    return filled.withColumns({"api_share": safe_ratio(F.col("api"), total),
-                               "manual_share": safe_ratio(F.col("manual"), total)})
+              .agg(*[F.count_if(F.col("upload_method") == m).alias(m) for m in ("api", "manual")], F.count("*").alias("uploads")))
+    filled = TS.calendar(counts, "date").join(counts, "date", "left").na.fill(0, ["api", "manual", "uploads"])
+    return filled.withColumns({f"{m}_share": safe_ratio(F.col(m), F.col("uploads")) for m in ("api", "manual")})
 
 
 @query("win_04_trailing_mean", on_contacts(
@@ -316,13 +314,12 @@ def cohort_decay(t: Tables) -> DataFrame:
                         F.round((F.col("w0") - F.col("w1")) / F.col("w0") * 100, 6).alias("decay_pct"))
 
 
-@query("win_16_cohort_matrix", on_contacts("SELECT cohort_month, " + ", ".join(
-    f"round(avg(email_open_count) FILTER (WHERE weeks_since = {w}), 6) AS week_{w}" for w in range(6))
-    + " FROM aged GROUP BY 1", _LIST_WEEKS_CTE))
+@query("win_16_cohort_matrix", on_contacts("""SELECT cohort_month, 'week_' || weeks_since AS week, round(avg(email_open_count), 6) AS avg_opens
+  FROM aged WHERE weeks_since IS NOT NULL GROUP BY 1, 2""", _LIST_WEEKS_CTE))
 def cohort_matrix(t: Tables) -> DataFrame:
-    wide = aged(t).groupBy("cohort_month").pivot("weeks_since", list(range(6))).agg(
-        F.round(F.avg("email_open_count"), 6))
-    return wide.withColumnsRenamed({str(w): f"week_{w}" for w in range(6)})
+    """All cells of the matrix, one row each, so that no week of a longer history is left out."""
+    return aged(t).dropna(subset=["weeks_since"]).groupBy("cohort_month", F.concat(F.lit("week_"), "weeks_since").alias("week")).agg(
+        F.round(F.avg("email_open_count"), 6).alias("avg_opens"))
 
 
 _LIFE_CTE = _LIST_WEEKS_CTE + """, weekly AS (SELECT email_list, weeks_since,
@@ -380,14 +377,20 @@ def method_change_days(t: Tables) -> DataFrame:
 @query("win_20_timeline_events", on_contacts("""SELECT CAST(date AS VARCHAR) AS date, event FROM (
   SELECT min(date) AS date, 'Campaign start' AS event FROM daily UNION ALL
   SELECT max(date), 'Latest activity' FROM daily UNION ALL
-  (SELECT date, 'High activity day' FROM daily WHERE contacts >= (SELECT quantile_cont(contacts, 0.8) FROM daily)
-    ORDER BY date LIMIT 5) UNION ALL
-  (SELECT date, 'Upload method change' FROM changes ORDER BY date LIMIT 3))""", DAILY_CTE + ", " + _CHANGES_CTE))
+  SELECT date, 'High activity day' FROM daily WHERE contacts >= (SELECT quantile_cont(contacts, 0.8) FROM daily) UNION ALL
+  SELECT date, 'Upload method change' FROM changes)""", DAILY_CTE + ", " + _CHANGES_CTE))
 def timeline_events(t: Tables) -> DataFrame:
+    return marked_days(t).orderBy("date", "event").select(_day(), "event")
+
+
+def marked_days(t: Tables, most_busy: int | None = None, most_changes: int | None = None) -> DataFrame:
+    """Days worth a mark on a time line; on demand only the first busy days and the first changes."""
     days = daily(t).select("date", "contacts")
     bound = days.agg(F.percentile("contacts", F.lit(0.8))).scalar()
-    busy = days.filter(F.col("contacts") >= bound).orderBy("date").limit(5)
-    changed = method_changes(t.contacts("timestamp_created", "upload_method")).orderBy("date").limit(3)
+    busy = days.filter(F.col("contacts") >= bound)
+    changed = method_changes(t.contacts("timestamp_created", "upload_method"))
+    busy = busy if most_busy is None else busy.orderBy("date").limit(most_busy)
+    changed = changed if most_changes is None else changed.orderBy("date").limit(most_changes)
     parts = [days.agg(F.min("date").alias("date")).withColumn("event", F.lit("Campaign start")),
              days.agg(F.max("date").alias("date")).withColumn("event", F.lit("Latest activity")),
              busy.select("date", F.lit("High activity day").alias("event")),
@@ -395,7 +398,7 @@ def timeline_events(t: Tables) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.orderBy("date", "event").select(_day(), "event")
+    return out
 
 
 _PERIOD_CTE = DAILY_CTE + """, rolled7 AS (SELECT date, CASE WHEN count(avg_opens) OVER w = 7 THEN round_even(avg(avg_opens) OVER w, 3) END AS m
@@ -637,9 +640,12 @@ def list_fatigue(t: Tables) -> DataFrame:
 def value_maps(t: Tables) -> DataFrame:
     counts = (t.contacts("timestamp_created", "esp_code").dropna(subset=["timestamp_created"])
               .groupBy(F.to_date("timestamp_created").alias("date"), "esp_code").agg(F.count("*").alias("n")))
-    best = F.slice(value_counts_ordered("n", "esp_code"), 1, 3)
+    # a first cut by slices of the values keeps what meets in one group at three entries a slice
+    slices = counts.groupBy("date", F.pmod(F.xxhash64("esp_code"), F.lit(64)).alias("slice")).agg(
+        F.sum("n").alias("n"), F.slice(value_counts_ordered("n", "esp_code"), 1, 3).alias("first"))
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, 3)
     text = F.array_join(F.transform(best, lambda e: F.concat(e.value.cast("string"), F.lit(":"), e.rows.cast("string"))), ",")
-    return counts.groupBy("date").agg(F.sum("n").alias("contacts"), text.alias("top_esp_codes")).select(
+    return slices.groupBy("date").agg(F.sum("n").alias("contacts"), text.alias("top_esp_codes")).select(
         _day(), "contacts", "top_esp_codes")
 
 
@@ -654,11 +660,9 @@ def value_counts_ordered(count: str, value: str):
   count(*) FILTER (WHERE upload_method = 'api') AS api, count(*) FILTER (WHERE upload_method = 'manual') AS manual
   FROM contacts WHERE timestamp_created IS NOT NULL GROUP BY 1"""))
 def value_counts_map(t: Tables) -> DataFrame:
-    counts = (t.contacts("timestamp_created", "upload_method").dropna(subset=["timestamp_created"])
-              .groupBy(F.to_date("timestamp_created").alias("date"), "upload_method").agg(F.count("*").alias("n")))
-    maps = counts.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("upload_method", "n"))).alias("m"))
-    return maps.select(_day(), *[F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(0).cast("bigint")).alias(k)
-                                 for k in ("api", "manual")])
+    named = t.contacts("timestamp_created", "upload_method").dropna(subset=["timestamp_created"])
+    return named.groupBy(F.to_date("timestamp_created").alias("date")).agg(
+        *[F.count_if(F.col("upload_method") == m).alias(m) for m in ("api", "manual")]).select(_day(), "api", "manual")
 
 
 @query("agg_54_list_thresholds", on_contacts("""SELECT round(quantile_cont(diversity, 0.75), 6) AS diversity_p75,
@@ -674,9 +678,9 @@ def list_thresholds(t: Tables) -> DataFrame:
 
 
 @query("agg_55_list_length", on_contacts("""SELECT email_count, count(email_open_count) AS contacts,
-  round(avg(email_open_count), 6) AS avg_opens FROM listed WHERE email_count <= 20 GROUP BY 1""", LISTED_CTE))
+  round(avg(email_open_count), 6) AS avg_opens FROM listed GROUP BY 1""", LISTED_CTE))
 def list_length(t: Tables) -> DataFrame:
-    return listed(t).filter("email_count <= 20").groupBy("email_count").agg(
+    return listed(t).groupBy("email_count").agg(
         F.count("email_open_count").alias("contacts"), F.round(F.avg("email_open_count"), 6).alias("avg_opens"))
 
 

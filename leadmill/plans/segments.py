@@ -443,13 +443,17 @@ def status(t: Tables) -> DataFrame:
 _CROSS = ", ".join(f"count(*) FILTER (WHERE campaign_status = {v}) AS \"{v}\"" for v in range(4))
 
 
-@query("agg_32_status_crosstab", on_contacts(f"""SELECT coalesce(CAST(status AS VARCHAR), 'All') AS status, {_CROSS},
+@query("agg_32_status_crosstab", on_contacts(f"""SELECT CASE WHEN grouping(status) = 1 THEN 'All' ELSE CAST(status AS VARCHAR) END AS status, {_CROSS},
+  count(*) FILTER (WHERE campaign_status IS NULL OR campaign_status NOT IN (0, 1, 2, 3)) AS other,
   count(*) AS total FROM contacts GROUP BY GROUPING SETS ((status), ())"""))
 def status_crosstab(t: Tables) -> DataFrame:
-    cube = t.contacts("status", "campaign_status").cube("status", "campaign_status").agg(F.count("*").alias("n"))
-    named = cube.select(F.coalesce(F.col("status").cast("string"), F.lit("All")).alias("status"),
-                        F.coalesce(F.col("campaign_status").cast("string"), F.lit("total")).alias("column"), "n")
-    return named.groupBy("status").pivot("column", ["0", "1", "2", "3", "total"]).agg(F.sum("n")).na.fill(0)
+    """Counts per status and campaign status; what is none of the four known values is counted as other."""
+    known = [0, 1, 2, 3]
+    cell = {str(v): F.count_if(F.col("campaign_status") == v) for v in known}
+    cell["other"] = F.count_if(F.col("campaign_status").isNull() | ~F.col("campaign_status").isin(known))
+    table = t.contacts("status", "campaign_status").rollup("status").agg(
+        F.grouping("status").alias("all"), *[c.alias(n) for n, c in cell.items()], F.count("*").alias("total"))
+    return table.select(F.when(F.col("all") == 1, "All").otherwise(F.col("status").cast("string")).alias("status"), *map(lambda n: F.col(f"`{n}`"), cell), "total")
 
 
 _SENIOR_CATS = [c for c, _ in K.SENIORITY_RULES]

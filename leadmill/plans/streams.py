@@ -83,4 +83,11 @@ def sliding_rate(t: Tables) -> DataFrame:
 @query("st_07_sessions", """SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS events FROM (SELECT *, sum(CASE WHEN before IS NULL OR epoch_us(ts) - epoch_us(before) >= 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
   FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)) GROUP BY user_id, s""")
 def sessions(t: Tables) -> DataFrame:
-    return jobs.sessions(t.events.select("user_id", "ts")).select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events")
+    path, progress = _paths(t, "stream-sessions")
+    jobs.write_updates(jobs.sessions(jobs.stream_table(t.spark, t.path, "events").select("user_id", "ts"), late="1 day"), path, progress, "append")
+    # what the watermark has not closed yet is computed from the records of the open sessions
+    closed = t.spark.read.parquet(path).drop("batch")
+    every = jobs.sessions(t.events.select("user_id", "ts"))
+    known = closed.select("user_id", "start", F.lit(True).alias("closed"))  # no anti-join: it would be moved below the merging of sessions
+    open_ = every.join(known, ["user_id", "start"], "left").filter("closed IS NULL").drop("closed")
+    return closed.unionByName(open_).select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,17 @@ from leadmill.operators import sinks as SK
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The parquet files of one table as a stream, with session-zone timestamps."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    df = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """The parquet files of one table as a stream, with session-zone timestamps.
+
+    A table may be a folder of files, which is the stream itself, or one file, which is picked out of its folder."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    source = spark.readStream.schema(schema)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        df = source.parquet(path)
+    else:
+        df = source.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
@@ -54,9 +63,11 @@ def activity_windows(events: DataFrame, window: str = "1 hour", slide: str | Non
             .select(F.col("w.start").alias("start"), "event_type", "events", "value"))
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Changed rows of an aggregation with the number of the batch that wrote them."""
-    run_available(df, lambda part, n: part.withColumn("batch", F.lit(n)).write.mode("append").parquet(path), checkpoint, "update")
+def write_updates(df: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
+    """Changed rows of an aggregation (or, with mode ``append``, finished ones) with the number of the batch that wrote them.
+
+    A batch has a folder of its own, so that a replayed one replaces what it wrote before."""
+    run_available(df, lambda part, n: part.write.mode("overwrite").parquet(f"{path}/batch={n}"), checkpoint, mode)
 
 
 def latest_updates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,9 +84,11 @@ def engagement_rate(events: DataFrame, window: str = "7 days", slide: str = "1 d
             .select(F.col("w.start").alias("start"), "opens", "events"))
 
 
-def first_contacts(events: DataFrame, key: str, late: str = "60 days") -> DataFrame:
-    """The first record of each key within the watermark."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+def first_contacts(events: DataFrame, key: str) -> DataFrame:
+    """The first record of each key, however long ago the key was seen before.
+
+    The state holds one entry per key and never expires: a key that returns after any pause is not new again."""
+    return events.dropDuplicates([key])
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None) -> DataFrame:
@@ -86,21 +99,29 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None
 
 
 # --- alert cool-down -----------------------------------------------------------------
-def cool_down(alerts: DataFrame, key: str, seconds: int = 3600) -> DataFrame:
-    """Alerts let through per key, at most one within ``seconds``; the state is one time per key."""
+def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
+    """Alerts let through per key, at most one within ``seconds``.
+
+    The state is one time per key and is dropped when the watermark is past the cool-down, since the next alert passes
+    anyway; within a batch the times of a key are handled as one array."""
     def step(keys: tuple, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
-        times = sorted({int(s) for pdf in batches for s in pdf["second"]})
+        times = np.unique(np.concatenate([pdf["second"].to_numpy(np.int64) for pdf in batches]))
         sent = []
-        for now in times:
-            if last is None or now - last > seconds:
-                last = now
-                sent.append(now)
+        while len(times):
+            times = times if last is None else times[np.searchsorted(times, last + seconds, "right"):]
+            if len(times):
+                last = int(times[0])
+                sent.append(last)
         if last is not None:
             state.update((last,))
+            state.setTimeoutTimestamp(max((last + seconds + 1) * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({key: [keys[0]] * len(sent), "second": pd.Series(sent, dtype="int64")})
 
-    moments = alerts.select(key, F.unix_seconds("ts").alias("second"))
+    moments = alerts.withWatermark("ts", late).select(key, "ts", F.unix_seconds("ts").alias("second"))
     kind = dict(alerts.dtypes)[key]
     return moments.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, second bigint", "last bigint", "append",
-                                                       GroupStateTimeout.NoTimeout)
+                                                       GroupStateTimeout.EventTimeTimeout)

@@ -141,3 +141,68 @@ def test_smoothing_matches_pandas(spark):
     series = pd.Series([v for _, _, v in data])
     assert np.allclose(got["v_sma"], series.rolling(4, min_periods=1).mean())
     assert np.allclose(got["v_ema"], series.ewm(span=4).mean())
+
+
+def test_first_upsert_is_a_merge(spark):
+    path = SK.fresh_folder(spark, "table")
+    rows = spark.createDataFrame([(1, 0, "a", 1), (1, 0, "b", 2), (2, 1, "c", 1)], "k int, p int, v string, o int")
+    for _ in range(2):
+        SK.upsert_table(rows, path, ["k"], "p", stamp=F.lit("now"), order=[F.col("o")])
+        assert sorted((r.k, r.v, r.updated_timestamp) for r in spark.read.parquet(path).collect()) == [(1, "b", "now"), (2, "c", "now")]
+
+
+def test_append_new_keeps_one_row_per_key(spark):
+    path = SK.fresh_folder(spark, "ids")
+    rows = spark.createDataFrame([(1, "x", 0), (1, "y", 0), (2, "z", 1), (None, "n", 0)], "id int, v string, part int")
+    for _ in range(2):
+        SK.append_new(rows, path, ["id"], ["part"], order=[F.col("v")])
+    got = [(r.id, r.v) for r in spark.read.parquet(path).where("id IS NOT NULL").collect()]
+    assert sorted(got) == [(1, "y"), (2, "z")]
+
+
+def test_an_older_entry_is_activated(spark):
+    registry = spark.createDataFrame([("a", 1, 10, True), ("a", 2, 9, False), ("b", 1, 5, True)], "model_type string, version int, created int, is_active boolean")
+    entry = spark.createDataFrame([("a", 3, 1), ("a", 4, 2)], "model_type string, version int, created int")
+    out = {(r.model_type, r.version): r.is_active for r in SK.register_model(registry, entry).collect()}
+    assert out == {("a", 1): False, ("a", 2): False, ("a", 3): False, ("a", 4): True, ("b", 1): True}
+
+
+def test_streams_over_a_folder_of_files(spark):
+    from leadmill.streaming import jobs
+
+    base = SK.fresh_folder(spark, "lake")
+    rows = [(n, datetime(2024, 1, 1) + timedelta(minutes=7 * n), n % 3) for n in range(40)]
+    df = spark.createDataFrame([*rows, rows[5]], "event_id long, ts timestamp, user_id int")
+    df.repartition(4).write.parquet(f"{base}/events.parquet")
+    path = SK.fresh_folder(spark, "out")
+    for run in ("a", "b"):  # the second run replays everything
+        jobs.incremental_silver(jobs.stream_table(spark, base, "events"), lambda d: d.select(F.col("event_id").alias("id")), path, SK.fresh_folder(spark, run))
+    assert sorted(values(spark.read.parquet(path), "id")) == list(range(40))
+    sent = SK.fresh_folder(spark, "sent")
+    alerts = jobs.cool_down(jobs.stream_table(spark, base, "events"), "user_id", 3600)
+    jobs.run_available(alerts, lambda d, _: d.write.mode("append").parquet(sent), SK.fresh_folder(spark, "progress"))
+    want = []
+    for user in range(3):
+        last = None
+        for n in range(user, 40, 3):
+            if last is None or 420 * (n - last) > 3600:
+                last = n
+                want.append((user, n))
+    got = {(r.user_id, (r.second - spark.sql("SELECT unix_seconds(TIMESTAMP '2024-01-01')").first()[0]) // 420) for r in spark.read.parquet(sent).collect()}
+    assert got == set(want)
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        SK.shared_folder(Session())
