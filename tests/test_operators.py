@@ -67,15 +67,17 @@ def test_newest_row_wins_and_null_keys_stay(spark):
     assert sorted(values(Q.latest_per_key(df, ["k"], [F.col("t")]))) == ["new", "x"]
 
 
-@pytest.mark.parametrize("small", [0, 50_000])
-def test_quantiles_match_numpy_with_a_hot_value(spark, small, monkeypatch):
-    monkeypatch.setattr(QU, "SMALL", small if small else 20_000)
+@pytest.mark.parametrize("size", [1, 2, 300, 120_000])
+@pytest.mark.parametrize("hot", [0.0, 0.35, 1.0])
+def test_quantiles_match_numpy_with_a_hot_value(spark, size, hot):
     rng = np.random.default_rng(3)
-    data = np.where(rng.random(120_000) < 0.35, 7.25, rng.lognormal(2, 1.5, 120_000))
+    data = np.where(rng.random(size) < hot, 7.25, rng.lognormal(2, 1.5, size))
     df = spark.createDataFrame([(float(x),) for x in data], "x double").repartition(6)
     row = QU.exact_quantiles(df, ["x"], [0.0, 0.01, 0.25, 0.5, 0.95, 1.0]).first()
     expected = np.quantile(data, [0.0, 0.01, 0.25, 0.5, 0.95, 1.0])
     assert np.allclose([row[f"q{i}"] for i in range(6)], expected, rtol=1e-12)
+    by = QU.exact_quantiles(df.withColumn("g", F.lit("a")), ["x"], [0.25, 0.5], ["g"]).first()
+    assert np.allclose([by.q0, by.q1], np.quantile(data, [0.25, 0.5]), rtol=1e-12)
 
 
 def test_hash_order_is_a_permutation_per_group(spark):
