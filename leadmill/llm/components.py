@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.common import stash
+from leadmill.llm.common import join_facts, stash
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    """(u, v) with the smallest of u's neighbourhood, u included."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    """(u, v) with the smallest of u's neighbourhood, u included. Nodes with very many neighbours, the centres of
+    stars, are not joined in one task."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    least = stash(least.select("u", F.least("u", "m").alias("m"), "degree"), "stars")
+    return join_facts(edges, least, "u", "degree").drop("degree")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
