@@ -72,8 +72,15 @@ class Encoder:
     def learn(self, words: Iterable[str]) -> None:
         known, parts, tokenise = self.words, self.parts, self.tokenizer.model.tokenize
         for word in words:
+            # letters alone, or letters and one mark, are the parts that PARTS would find
+            if word.isalpha():
+                split = (word,)
+            elif word[-1] in ".,!?;:" and word[:-1].isalpha():
+                split = (word[:-1], word[-1])
+            else:
+                split = PARTS.findall(word)
             ids = []
-            for part in PARTS.findall(word):
+            for part in split:
                 own = parts.get(part)
                 if own is None:
                     spelt = part.encode().decode("latin-1").translate(BYTES)
