@@ -1,54 +1,100 @@
 """Class balancing: interpolated minority rows, density-weighted rows, edited neighbours, undersampling.
 
-Neighbours come from random-projection buckets.  A bucket is re-split by a hash
-into cells of bounded size, so that a dense spot is never paired with itself as
-a whole; every row still gets neighbours from its own cell.
+Neighbours are searched along several random directions.  Along each, rows are
+dealt by range and sorted, and a row is compared with the rows up to a block
+before and after it, so every row has as many candidates as any other, however
+dense its surroundings, and no group of equal rows meets in one task.  The best
+of all directions are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadmill.operators.quantiles import hash_order
 
-CELL = 64
-
-
-def cells(df: DataFrame, features: str, identity: str, length: float = 2.0, seed: int = 42) -> DataFrame:
-    """Adds ``cell``: rows near each other, about ``CELL`` of them at most."""
-    model = BucketedRandomProjectionLSH(inputCol=features, outputCol="_hash", bucketLength=length, numHashTables=1, seed=seed).fit(df)
-    hashed = model.transform(df).withColumn("_bucket", vector_to_array(F.col("_hash")[0])[0]).drop("_hash")
-    sizes = hashed.groupBy("_bucket").agg(F.ceil(F.count("*") / CELL).alias("_parts"))
-    return (hashed.join(sizes, "_bucket")
-            .withColumn("cell", F.struct("_bucket", F.pmod(F.xxhash64(identity, F.lit(seed)), F.col("_parts")).alias("part")))
-            .drop("_bucket", "_parts"))
-
-
-def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: Sequence[str] = ()) -> DataFrame:
-    """The k nearest rows of the same cell for each row: (identity, other, distance, other's extra columns)."""
-    placed = cells(df, features, identity)
-    a = placed.select("cell", F.col(identity).alias("id"), vector_to_array(features).alias("v"))
-    b = placed.select("cell", F.col(identity).alias("other"), vector_to_array(features).alias("w"), *[F.col(c).alias(f"other_{c}") for c in extra])
-    gap = F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
-    near = a.join(b, "cell").filter("id <> other").withColumn("distance", F.sqrt(gap))
+DIRECTIONS = 8
+BLOCK = 128
+
+
+def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: Sequence[str] = (), directions: int = DIRECTIONS,
+               block: int = BLOCK, seed: int = 42) -> DataFrame:
+    """The k nearest rows found for each row: (id, v, other, w, distance, place, other_<extra>).
+
+    With more than k rows every row has k neighbours.  They are exact up to ``2 * block`` rows, beyond that near ones:
+    more directions or larger blocks find more of the nearest."""
+    names = [f"other_{c}" for c in extra]
+    rows = df.select(F.col(identity).alias("id"), vector_to_array(features).alias("v"), *[F.col(c).alias(n) for c, n in zip(extra, names)])
+    first = rows.first()
+    size = len(first["v"]) if first else 1
+    kind = rows.schema["id"].dataType
+    out = T.StructType([T.StructField("id", kind), T.StructField("other", kind), T.StructField("distance", T.DoubleType()),
+                        T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("w", T.ArrayType(T.DoubleType()))]
+                       + [T.StructField(n, rows.schema[n].dataType) for n in names])
+
+    def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            while len(held) >= 3 * block:
+                yield within(held.iloc[:2 * block])
+                held = held.iloc[block:].reset_index(drop=True)
+        while held is not None and len(held) > 1:
+            yield within(held.iloc[:2 * block])
+            held = held.iloc[block:].reset_index(drop=True) if len(held) > 2 * block else None
+
+    def within(part: pd.DataFrame) -> pd.DataFrame:
+        v = np.stack(part["v"].to_numpy())
+        gap = np.sqrt(((v[:, None, :] - v[None, :, :]) ** 2).sum(-1))
+        np.fill_diagonal(gap, np.inf)
+        most = min(k, len(part) - 1)
+        best = np.argsort(gap, axis=1, kind="stable")[:, :most]
+        a, b = np.repeat(np.arange(len(part)), most), best.ravel()
+        found = pd.DataFrame({"id": part["id"].to_numpy()[a], "other": part["id"].to_numpy()[b], "distance": gap[a, b],
+                              "v": part["v"].to_numpy()[a], "w": part["v"].to_numpy()[b]})
+        return found.assign(**{n: part[n].to_numpy()[b] for n in names})
+
+    rng = np.random.default_rng(seed)
+    found = None
+    for _ in range(directions):
+        weights = F.array(*[F.lit(float(x)) for x in rng.normal(size=size)])
+        along = F.aggregate(F.zip_with("v", weights, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        ordered = rows.withColumn("along", along).repartitionByRange("along", "id").sortWithinPartitions("along", "id").drop("along")
+        part = ordered.mapInPandas(nearest, out)
+        found = part if found is None else found.unionByName(part)
     order = Window.partitionBy("id").orderBy("distance", "other")
-    return near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("cell")
-
-
-def oversample(df: DataFrame, features: str, label: str, identity: str, minority, factor: int = 1, k: int = 5, seed: int = 42) -> DataFrame:
-    """Original (features, label) rows plus ``factor`` interpolated rows per minority row."""
-    pairs = neighbours(df.filter(F.col(label) == minority), features, identity, k)
-    pairs = pairs.filter(F.col("place") <= factor)
-    step = F.pmod(F.xxhash64("id", "other", F.lit(seed)), F.lit(1000)) / 1000.0
-    made = pairs.withColumn("step", step).select(
-        array_to_vector(F.transform(F.sequence(F.lit(0), F.size("v") - 1), lambda i: F.get("v", i) + F.col("step") * (F.get("w", i) - F.get("v", i)))).alias(features),
-        F.lit(minority).alias(label))
-    return df.select(features, label).unionByName(made)
+    best = found.dropDuplicates(["id", "other"]).withColumn("place", F.row_number().over(order))
+    return best.filter(F.col("place") <= k)
+
+
+def oversample(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(features, label) with every class at the size of the largest: original rows, then rows between a row of the class
+    and a random one of its k nearest of the class.  A class of one row is repeated."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n")).collect()  # one row per class
+    most = max((r["n"] for r in sizes), default=0)
+    out = df.select(features, label)
+    for value, n in ((r[label], r["n"]) for r in sizes if r["n"] < most):
+        own = df.filter(F.col(label) == value)
+        near = neighbours(own, features, identity, k, seed=seed).select("id", "w", "place")
+        counts = near.groupBy("id").agg(F.count("*").alias("found"))
+        need, more = divmod(most - n, n)
+        placed = hash_order(own.select(F.col(identity).alias("id"), vector_to_array(features).alias("v")), [], ["id"], seed)
+        times = F.lit(need) + (F.col("position") <= more).cast("int")
+        copies = (placed.withColumn("times", times).filter("times > 0").select("id", "v", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+                  .join(counts, "id", "left")
+                  .withColumn("place", F.when(F.col("found") > 0, F.pmod(F.xxhash64("id", "copy", F.lit(seed)), F.col("found")).cast("int") + 1))
+                  .join(near, ["id", "place"], "left"))
+        step = F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(1000)) / 1000.0
+        made = F.zip_with("v", F.coalesce("w", "v"), lambda a, b: a + (b - a) * F.col("step"))
+        out = out.unionByName(copies.withColumn("step", step).select(array_to_vector(made).alias(features), F.lit(value).alias(label)))
+    return out
 
 
 def adaptive_weights(df: DataFrame, features: str, label: str, identity: str, minority, k: int = 5) -> DataFrame:

@@ -4,25 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml import classification as MC
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.ml.balance import neighbours
+from leadmill.ml import prepare as P
+from leadmill.ml.balance import neighbours, oversample
+from leadmill.operators.sinks import fresh_folder
 
 
-def classifiers(label: str = "label", features: str = "features", seed: int = 42, classes: int = 2) -> dict[str, Estimator]:
-    """The model families under one set of names; boosting and linear margins are one-against-rest beyond two classes."""
+FAMILIES = {"random_forest": "trees", "gradient_boosting": "trees", "logistic_regression": "linear", "linear_svm": "linear"}
+
+
+def classifiers(label: str = "label", features: str = "features", seed: int = 42, classes: int = 3, trees: int = 100, depth: int = 10,
+                rounds: int = 100, boost_depth: int = 4, iterations: int = 100) -> dict[str, Estimator]:
+    """The model families under one set of names; boosting and linear margins are one-against-rest beyond two classes.
+
+    The sizes are parameters: trees and their depth, boosting rounds and their depth, iterations of the linear models."""
     named = {"labelCol": label, "featuresCol": features}
-    boosted = MC.GBTClassifier(maxIter=10, maxDepth=4, seed=seed, **named)
-    margin = MC.LinearSVC(maxIter=20, **named)
-    rest = (lambda m: MC.OneVsRest(classifier=m, **named)) if classes > 2 else (lambda m: m)
-    return {"random_forest": MC.RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, **named), "gradient_boosting": rest(boosted),
-            "logistic_regression": MC.LogisticRegression(maxIter=30, **named), "linear_svm": rest(margin)}
+    boosted = MC.GBTClassifier(maxIter=rounds, maxDepth=boost_depth, seed=seed, **named)
+    margin = MC.LinearSVC(maxIter=iterations, **named)
+    rest = (lambda m: MC.OneVsRest(classifier=m, parallelism=classes, **named)) if classes > 2 else (lambda m: m)
+    return {"random_forest": MC.RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **named), "gradient_boosting": rest(boosted),
+            "logistic_regression": MC.LogisticRegression(maxIter=iterations, **named), "linear_svm": rest(margin)}
 
 
 def soft_vote(df: DataFrame, models: Sequence, label: str = "label") -> DataFrame:
@@ -39,7 +48,7 @@ def soft_vote(df: DataFrame, models: Sequence, label: str = "label") -> DataFram
 
 
 def nearest_vote(train: DataFrame, features: str, label: str, identity: str, k: int = 5) -> DataFrame:
-    """Distance-weighted vote of the k nearest rows of the same cell, leaving the row itself out."""
+    """Distance-weighted vote of the k nearest rows, leaving the row itself out; with two rows or more, all have a vote."""
     near = neighbours(train, features, identity, k, [label])
     votes = near.groupBy("id", f"other_{label}").agg(F.sum(1 / (F.col("distance") + 1e-9)).alias("w"))
     return votes.groupBy("id").agg(F.max_by(f"other_{label}", F.struct("w", f"other_{label}")).alias("prediction"))
@@ -69,13 +78,24 @@ def summary(matrix: DataFrame) -> DataFrame:
                       *[weighted(c).alias(f"{c}_weighted") for c in ("precision", "recall", "f1")])
 
 
-def auc(df: DataFrame, label: str, score: str, bins: int = 10000) -> DataFrame:
-    """Area under the ROC curve for scores rounded to ``bins`` steps, ties counted half; one row."""
+def auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Area under the ROC curve of the exact scores, ties counted half; one row.
+
+    Scores are counted per value and dealt by range; each range sums its own part and the totals of the ranges below are
+    added, so no task orders all scores."""
     from pyspark.sql import Window
 
-    counts = df.groupBy(F.round(F.col(score) * bins).alias("s")).agg(F.sum(F.col(label).cast("double")).alias("pos"), F.sum(1 - F.col(label).cast("double")).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return counts.withColumn("area", F.col("pos") * (below + F.col("neg") / 2)).agg((F.sum("area") / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    counts = df.groupBy(F.col(score).alias("s")).agg(F.sum(F.col(label).cast("double")).alias("pos"), F.sum(1 - F.col(label).cast("double")).alias("neg"))
+    path = fresh_folder(df.sparkSession, "scores")
+    counts.repartitionByRange("s").withColumn("piece", F.spark_partition_id()).write.parquet(path)
+    pieces = df.sparkSession.read.parquet(path)
+    totals = pieces.groupBy("piece").agg(F.sum("neg").alias("piece_neg"))
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    bases = totals.select("piece", F.coalesce(F.sum("piece_neg").over(before), F.lit(0.0)).alias("base"))
+    inside = Window.partitionBy("piece").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("base") + F.coalesce(F.sum("neg").over(inside), F.lit(0.0))
+    return pieces.join(bases, "piece").withColumn("area", F.col("pos") * (below + F.col("neg") / 2)).agg(
+        (F.sum("area") / (F.sum("pos") * F.sum("neg"))).alias("auc"))
 
 
 def grid_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence], label: str = "label", fold: str = "fold", k: int = 3, parallelism: int = 4):
@@ -87,14 +107,66 @@ def grid_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence
     return CrossValidator(estimator=estimator, estimatorParamMaps=builder.build(), evaluator=judge, numFolds=k, foldCol=fold, parallelism=parallelism).fit(df)
 
 
-def phased_search(df: DataFrame, estimator: Estimator, phases: Sequence[Mapping[str, Sequence]], **settings):
-    """Successive grids, each starting from the best setting of the one before."""
-    best = None
-    for grid in phases:
-        best = grid_search(df, estimator, grid, **settings)
-        chosen = best.getEstimatorParamMaps()[max(range(len(best.avgMetrics)), key=best.avgMetrics.__getitem__)]
-        estimator = estimator.copy(chosen)
-    return best
+def phased_search(df: DataFrame, estimator: Estimator, phases: Sequence[Mapping[str, Sequence]], **settings) -> tuple[Estimator, list[dict]]:
+    """Successive grids, each starting from the best setting of the one before.
+
+    Gives the estimator with the best setting of all phases and one record per setting tried: phase, setting, mean F1 and
+    its spread over the folds."""
+    tried, best_score, best_estimator = [], float("-inf"), estimator
+    for phase, grid in enumerate(phases, 1):
+        found = grid_search(df, estimator, grid, **settings)
+        for params, mean, spread in zip(found.getEstimatorParamMaps(), found.avgMetrics, found.stdMetrics):
+            setting = ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name))
+            tried.append({"phase": phase, "setting": setting, "f1": float(mean), "spread": float(spread)})
+            if mean > best_score:
+                best_score, best_estimator = mean, estimator.copy(params)
+        estimator = best_estimator
+    return best_estimator, tried
+
+
+def comparison(df: DataFrame, models: Mapping[str, Estimator], fold: str = "fold", k: int = 3, label: str = "label") -> list[dict]:
+    """Cross-validated accuracy of each model: mean, spread, its family's mean, and whether it is best or most stable."""
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    rows = []
+    for name, model in models.items():
+        found = CrossValidator(estimator=model, estimatorParamMaps=[{}], evaluator=judge, numFolds=k, foldCol=fold, parallelism=k).fit(df)
+        rows.append({"model": name, "family": FAMILIES.get(name, name), "cv_mean": float(found.avgMetrics[0]), "cv_spread": float(found.stdMetrics[0])})
+    best, stable = max(rows, key=lambda r: r["cv_mean"])["model"], min(rows, key=lambda r: r["cv_spread"])["model"]
+    for r in rows:
+        own = [x["cv_mean"] for x in rows if x["family"] == r["family"]]
+        r |= {"family_mean": sum(own) / len(own), "is_best": r["model"] == best, "is_most_stable": r["model"] == stable}
+    return rows
+
+
+def training_run(df: DataFrame, numbers: Sequence[str], label: str, identity: str, path: str, phases: Sequence[Mapping[str, Sequence]],
+                 as_of, version: str, keep: int = 4, k: int = 3) -> DataFrame:
+    """One run: split, prepare, select, balance, search, fit, report and save; gives the run's record.
+
+    ``path/model`` holds preparation, selection and model as one pipeline, ``path/metadata`` the record as JSON: version,
+    time, features, classes, row counts, best setting and the test report."""
+    parts = P.split(df, label, [identity], 0.25)
+    train, test = parts.filter("NOT is_test"), parts.filter("is_test")
+    prepare = Pipeline(stages=[P.transformer(numbers, output="all_features"), UnivariateFeatureSelector(
+        featuresCol="all_features", labelCol=label, outputCol="features", selectionMode="numTopFeatures")
+        .setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(keep)]).fit(train)
+    staged = fresh_folder(df.sparkSession, "train")
+    prepare.transform(train).select(identity, "features", label).write.parquet(staged)
+    ready = df.sparkSession.read.parquet(staged)
+    balanced = oversample(ready, "features", label, identity).withColumn(identity, F.xxhash64(vector_to_array("features")).cast("string"))
+    folded = fresh_folder(df.sparkSession, "folds")
+    P.folds(balanced, label, [identity], k).write.parquet(folded)  # every fit of the search reads the same stored rows
+    balanced = df.sparkSession.read.parquet(folded)
+    estimator, tried = phased_search(balanced, classifiers(label)["logistic_regression"], phases, label=label, k=k)
+    model = PipelineModel([*prepare.stages, estimator.fit(balanced)])
+    save(model, f"{path}/model")
+    report = summary(confusion(model.transform(test), label)).first()
+    selected = [list(numbers)[i] for i in prepare.stages[-1].selectedFeatures]
+    best = max(tried, key=lambda r: r["f1"])
+    record = df.sparkSession.createDataFrame(
+        [(version, as_of, selected, ready.count(), test.count(), best["setting"], float(report["accuracy"]), float(report["f1_macro"]))],
+        "version string, created timestamp, features array<string>, train_rows bigint, test_rows bigint, setting string, accuracy double, f1_macro double")
+    record.write.mode("append").json(f"{path}/metadata")
+    return record
 
 
 def importance(spark, names: Sequence[str], values: Sequence[float]) -> DataFrame:

@@ -21,14 +21,18 @@ from leadmill.plans.quality import rounded
 from leadmill.plans.registry import on_contacts, query, quoted
 from leadmill.sources.tables import Tables
 
-NUMBERS = ["daily_limit", "organization_employees", "organization_founded_year", "page_retrieved", "email_gap", "contact_key"]
+NUMBERS = ["daily_limit", "organization_employees", "organization_founded_year", "page_retrieved", "email_gap"]
+# sizes of the models in these reports: boosting rounds and trees are parameters of ``classifiers``
+SIZES = {"trees": 100, "rounds": 50, "iterations": 100}
+PHASES = [{"regParam": [0.0, 0.01, 0.1]}, {"elasticNetParam": [0.0, 0.5, 1.0]}, {"fitIntercept": [True, False]}]
 CATEGORIES = ["seniority", "upload_method"]
+_ENGAGED = list(K.ENGAGEMENT_COUNTS)
 
 
 def labelled(t: Tables) -> DataFrame:
-    """Contacts with the engagement level and the binary label (opened)."""
+    """Contacts with the engagement level, which is the label of three classes."""
     df = FE.target(t.contacts("id", *K.ENGAGEMENT_COUNTS, *NUMBERS, *CATEGORIES, "headline"))
-    return df.withColumns({"label": flag(F.col("email_open_count") > 0).cast("double"), **{c: F.col(c).cast("double") for c in NUMBERS},
+    return df.withColumns({"label": F.col("engagement_level").cast("double"), **{c: F.col(c).cast("double") for c in NUMBERS},
                            **{c: F.coalesce(c, F.lit("Unknown")) for c in CATEGORIES}}).drop(*K.ENGAGEMENT_COUNTS)
 
 
@@ -85,7 +89,8 @@ def variance(t: Tables) -> DataFrame:
     return SE.low_variance(t.contacts(*NUMBERS), NUMBERS).withColumn("variance", F.round("variance", 4))
 
 
-@query("ml_08_redundant", on_contacts("SELECT 'twice' AS \"column\""))
+@query("ml_08_redundant", on_contacts(" UNION ".join(f"SELECT '{b}' AS \"column\" FROM doubled HAVING abs(corr({a}, {b})) > 0.95"
+    for i, a in enumerate([*NUMBERS, "twice"]) for b in [*NUMBERS, "twice"][i + 1:]), "doubled AS (SELECT *, page_retrieved * 2 AS twice FROM contacts)"))
 def redundant(t: Tables) -> DataFrame:
     return SE.redundant(t.contacts(*NUMBERS).withColumn("twice", F.col("page_retrieved") * 2), [*NUMBERS, "twice"])
 
@@ -102,7 +107,7 @@ def mutual_information(t: Tables) -> DataFrame:
 
 
 @query("ml_10_anova", on_contacts(" UNION ALL ".join(f"""SELECT '{c}' AS "column", round((sum(n * m * m) - sum(n) * pow(sum(n * m) / sum(n), 2)) / (count(*) - 1) / (sum((n - 1) * s2) / (sum(n) - count(*))), 4) AS f_value
-  FROM (SELECT label, count({c}) AS n, avg({c}) AS m, var_samp({c}) AS s2 FROM labelled GROUP BY label)""" for c in NUMBERS[:5]), _LABELLED))
+  FROM (SELECT level, count({c}) AS n, avg({c}) AS m, var_samp({c}) AS s2 FROM labelled GROUP BY level)""" for c in NUMBERS[:5]), _LABELLED))
 def anova(t: Tables) -> DataFrame:
     return SE.anova_f(labelled(t), NUMBERS[:5], "label").withColumn("f_value", F.round("f_value", 4))
 
@@ -125,9 +130,11 @@ def class_weights(t: Tables) -> DataFrame:
     return rounded(P.class_weights(df, "level").groupBy("level").agg(F.count("*").alias("rows"), F.max("weight").alias("weight")))
 
 
-@query("ml_13_oversample")
+@query("ml_13_oversample", on_contacts("SELECT level AS label, (SELECT max(n) FROM (SELECT count(*) AS n FROM labelled GROUP BY level)) AS rows FROM labelled GROUP BY level", _LABELLED))
 def oversample(t: Tables) -> DataFrame:
-    return B.oversample(prepared(t), "features", "label", "id", 1.0, 1, 3).groupBy("label").agg(F.count("*").alias("rows"))
+    """Every class at the size of the largest, by rows between neighbours."""
+    made = B.oversample(prepared(t), "features", "label", "id")
+    return made.groupBy(F.col("label").cast("int").alias("label")).agg(F.count("*").alias("rows"))
 
 
 @query("ml_13_undersample", on_contacts("SELECT label, (SELECT min(n) FROM (SELECT count(*) AS n FROM labelled GROUP BY label)) AS rows FROM labelled GROUP BY label", _LABELLED))
@@ -139,7 +146,7 @@ def undersample(t: Tables) -> DataFrame:
 @query("ml_14_adaptive_and_edited")
 def adaptive_and_edited(t: Tables) -> DataFrame:
     df = prepared(t)
-    weights = B.adaptive_weights(df, "features", "label", "id", 1.0).agg(F.lit("foreign share").alias("measure"), F.avg("foreign_share").alias("value"))
+    weights = B.adaptive_weights(df, "features", "label", "id", 2.0).agg(F.lit("foreign share").alias("measure"), F.avg("foreign_share").alias("value"))
     kept = B.edited(df, "features", "label", "id").agg(F.lit("kept rows").alias("measure"), F.count("*").cast("double").alias("value"))
     return weights.unionByName(kept)
 
@@ -149,7 +156,7 @@ def model_comparison(t: Tables) -> DataFrame:
     df = prepared(t)
     train, test = df.filter("NOT is_test"), df.filter("is_test")
     tables = []
-    for name, estimator in MD.classifiers().items():
+    for name, estimator in MD.classifiers(**SIZES).items():
         scored = estimator.fit(train).transform(test)
         tables.append(MD.summary(MD.confusion(scored)).withColumn("model", F.lit(name)))
     out = tables[0]
@@ -158,6 +165,22 @@ def model_comparison(t: Tables) -> DataFrame:
     return rounded(out)
 
 
+@query("ml_24_comparison")
+def cross_validated_comparison(t: Tables) -> DataFrame:
+    """Cross-validated mean and spread per model, means of their families, the best and the most stable one."""
+    df = P.folds(prepared(t), "label", ["id"], 3)
+    path = SK.fresh_folder(t.spark, "folds")
+    df.write.parquet(path)
+    rows = MD.comparison(t.spark.read.parquet(path), MD.classifiers(**SIZES))
+    return rounded(t.spark.createDataFrame([tuple(r.values()) for r in rows], "model string, family string, cv_mean double, cv_spread double, family_mean double, is_best boolean, is_most_stable boolean"))
+
+
+@query("ml_19_votes", on_contacts("SELECT count(*) AS rows, count(DISTINCT id) AS ids FROM contacts"))
+def votes(t: Tables) -> DataFrame:
+    """Every row has exactly one vote."""
+    return MD.nearest_vote(prepared(t), "features", "label", "id").agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids"))
+
+
 @query("ml_19_nearest_vote")
 def nearest_vote(t: Tables) -> DataFrame:
     return MD.nearest_vote(prepared(t), "features", "label", "id").groupBy("prediction").agg(F.count("*").alias("rows"))
@@ -167,15 +190,18 @@ def nearest_vote(t: Tables) -> DataFrame:
 def soft_vote(t: Tables) -> DataFrame:
     df = prepared(t)
     train = df.filter("NOT is_test")
-    models = [m.fit(train) for n, m in MD.classifiers().items() if n in ("random_forest", "logistic_regression")]
+    models = [m.fit(train) for n, m in MD.classifiers(**SIZES).items() if n in ("random_forest", "logistic_regression")]
     return rounded(MD.summary(MD.confusion(MD.soft_vote(df.filter("is_test"), models))))
 
 
 @query("ml_21_22_grid_search")
 def grid_search(t: Tables) -> DataFrame:
+    """All settings of a search in three phases, with mean F1 and spread over the folds."""
     df = P.folds(prepared(t).filter("NOT is_test"), "label", ["id"], 3)
-    model = MD.phased_search(df, MD.classifiers()["logistic_regression"], [{"regParam": [0.0, 0.1]}, {"elasticNetParam": [0.0, 0.5]}])
-    return t.spark.createDataFrame([(i, float(m)) for i, m in enumerate(model.avgMetrics)], "setting int, f1 double")
+    path = SK.fresh_folder(t.spark, "folds")
+    df.write.parquet(path)
+    _, tried = MD.phased_search(t.spark.read.parquet(path), MD.classifiers(**SIZES)["logistic_regression"], PHASES)
+    return rounded(t.spark.createDataFrame([tuple(r.values()) for r in tried], "phase int, setting string, f1 double, spread double"))
 
 
 _REPORT_SQL = """WITH m AS (SELECT quality AS label, CASE WHEN n_chars > 900 THEN 1 ELSE 0 END AS prediction, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1, 2),
@@ -203,31 +229,58 @@ def summary(t: Tables) -> DataFrame:
   SELECT round(avg(CASE WHEN a.x > b.x THEN 1.0 WHEN a.x = b.x THEN 0.5 ELSE 0 END), 6) AS auc FROM s a JOIN s b ON a.y = 1 AND b.y = 0""")
 def auc(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", F.col("n_chars").cast("double").alias("score"))
-    return rounded(MD.auc(t.labels.select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id"), "label", "score", 1))
+    return rounded(MD.auc(t.labels.select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id"), "label", "score"))
 
 
 @query("ml_25_importance")
 def importance(t: Tables) -> DataFrame:
-    model = MD.classifiers()["random_forest"].fit(prepared(t))
+    model = MD.classifiers(**SIZES)["random_forest"].fit(prepared(t))
     return MD.importance(t.spark, NUMBERS, model.featureImportances.toArray())
 
 
 @query("ml_26_contributions")
 def contributions(t: Tables) -> DataFrame:
     df = prepared(t)
-    model = MD.classifiers()["logistic_regression"].fit(df)
-    return rounded(MD.linear_contributions(df, model.coefficients.toArray(), NUMBERS))
+    model = MD.classifiers(**SIZES)["logistic_regression"].fit(df)
+    return rounded(MD.linear_contributions(df, model.coefficientMatrix.toArray()[2], NUMBERS))
 
 
 @query("ml_27_28_30_32_batch_scoring")
 def batch_scoring(t: Tables) -> DataFrame:
-    """Train, save, load and score in one run."""
+    """Train, save, load and score in one run; the score is the probability of the highest class."""
     df = prepared(t)
     path = SK.fresh_folder(t.spark, "model")
-    MD.save(Pipeline(stages=[MD.classifiers()["logistic_regression"]]).fit(df.filter("NOT is_test")), path)
+    MD.save(Pipeline(stages=[MD.classifiers(**SIZES)["logistic_regression"]]).fit(df.filter("NOT is_test")), path)
     return rounded(MD.score(df, MD.load(path), "v1", ["id"]))
 
 
+@query("ml_28_direct_scoring", on_contacts("SELECT count(*) AS rows, count(DISTINCT id) AS ids, count(*) AS in_range, 3 AS classes FROM contacts WHERE enrichment_status IS NOT DISTINCT FROM 'completed'"))
+def direct_scoring(t: Tables) -> DataFrame:
+    """Raw enriched leads, whose engagement is not known and counts as zero, scored by a saved preparation and model."""
+    path = SK.fresh_folder(t.spark, "model")
+    counts = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in _ENGAGED}
+    rows = labelled(t).join(t.contacts("id", *_ENGAGED), "id").withColumns(counts)
+    stages = [P.transformer([*NUMBERS, *_ENGAGED]), MD.classifiers(**SIZES)["logistic_regression"]]
+    MD.save(Pipeline(stages=stages).fit(rows), path)
+    raw = t.contacts("id", "enrichment_status", *NUMBERS).filter(F.col("enrichment_status").eqNullSafe("completed"))
+    ready = raw.withColumns({**{c: F.col(c).cast("double") for c in NUMBERS}, **{c: F.lit(0.0) for c in _ENGAGED}})
+    p = vector_to_array("probability")
+    scored = MD.load(path).transform(ready)
+    return scored.agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids"), F.count_if((F.element_at(p, -1) >= 0) & (F.element_at(p, -1) <= 1)).alias("in_range"),
+                      F.max(F.size(p)).alias("classes"))
+
+
+@query("ml_30_training_run", on_contacts("""SELECT sum(n)::BIGINT - sum(CAST(floor(n * 0.25) AS BIGINT))::BIGINT AS train_rows, sum(CAST(floor(n * 0.25) AS BIGINT))::BIGINT AS test_rows, 4 AS features, TRUE AS saved
+  FROM (SELECT count(*) AS n FROM labelled GROUP BY level)""", _LABELLED))
+def training_run(t: Tables) -> DataFrame:
+    """Selection, balance, search, fit, report and storage in one run; the stored record is read back."""
+    path = SK.fresh_folder(t.spark, "run")
+    MD.training_run(labelled(t), NUMBERS, "label", "id", path, PHASES, K.AS_OF, "v1")
+    record = t.spark.read.json(f"{path}/metadata")
+    stages = len(MD.load(f"{path}/model").stages)
+    return record.select("train_rows", "test_rows", F.size("features").alias("features"), (F.lit(stages) > 2).alias("saved"))
+
+
 @query("ml_29_basic_fallback", on_contacts(f"SELECT id, CAST(coalesce(daily_limit, (SELECT quantile_cont(daily_limit, 0.5) FROM contacts)) AS DOUBLE) AS daily_limit, least(greatest({K.AS_OF.year} - coalesce(organization_founded_year, 2020), 0), 100) AS company_age FROM contacts"))
 def basic_fallback(t: Tables) -> DataFrame:
     from leadmill.operators.quality import impute
