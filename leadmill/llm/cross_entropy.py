@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadmill.llm.common import stash
+from leadmill.llm.exact_dedup import member_positions, table_bits, with_possible
+
 
 #: Words of the shared vocabulary, with the unknown word (0) and the start of a text (1).
 VOCABULARY = 2048
@@ -90,6 +93,20 @@ def pair_counts(docs: DataFrame, words: Vocabulary) -> np.ndarray:
     return table
 
 
+def target_texts(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of (doc_id, text) with a label of good quality that is not toxic, stored for two passes.
+
+    A Bloom table of the labelled ids, of bounded size, is broadcast first, so that of the corpus only texts that may be
+    labelled are exchanged."""
+    good = stash(labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
+                 .select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "target-ids")
+    bits = table_bits(good.count())
+    short = F.xxhash64(F.col("doc_id").cast("long"))
+    seen = stash(member_positions(good.select(short.alias("short")), "short", bits), "target-bloom")
+    maybe = with_possible(rows.where("doc_id IS NOT NULL").withColumn("short", short), "short", seen, bits).where("possible")
+    return stash(maybe.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target-texts")
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              size: int = VOCABULARY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, target_loss, background_loss, difference (per token, in nats).
@@ -98,8 +115,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     the target model is the even one; an empty table gives no rows; other columns are not read; texts of any length are
     scored whole."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id")
-    wanted = rows.join(good, "doc_id", "left_semi")  # only rows of this side that may have a label are exchanged
+    wanted = target_texts(rows, labels)
     words = vocabulary(wanted, size)
     target, background = pair_counts(wanted, words), pair_counts(rows, words)
     model = docs.sparkSession.sparkContext.broadcast((words, losses(target, words.size), losses(background, words.size)))

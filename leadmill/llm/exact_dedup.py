@@ -39,7 +39,16 @@ def table_bits(rows: int, max_bits: int = MAX_BITS) -> int:
 def repeated_positions(hashes: DataFrame, column: str, bits: int) -> DataFrame:
     """The Bloom table as (word, mask): positions that two or more rows set; at most bits / 64 rows."""
     a, b = positions(F.col(column), bits)
-    spots = hashes.select(F.explode(F.array(a, b)).alias("spot")).groupBy("spot").count().where("count > 1")
+    return bit_table(hashes.select(F.explode(F.array(a, b)).alias("spot")).groupBy("spot").count().where("count > 1"))
+
+
+def member_positions(hashes: DataFrame, column: str, bits: int) -> DataFrame:
+    """The Bloom table of all rows, for testing other rows on whether they may be among them."""
+    a, b = positions(F.col(column), bits)
+    return bit_table(hashes.select(F.explode(F.array(a, b)).alias("spot")))
+
+
+def bit_table(spots: DataFrame) -> DataFrame:
     return (spots.groupBy(F.shiftright("spot", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("mask")))
 
