@@ -266,6 +266,7 @@ PROFILE_URL_PATTERN = r"^https?://(?:www\.)?linkedin\.com/in/[a-zA-Z0-9\-]+/?$"
 # --- thresholds (fixed values) -----------------------------------------------
 MATURITY_DAYS = 30
 STALE_DAYS = 60
+MONTHLY_CREDITS = 20_000
 GOLD_MIN_QUALITY = 0.3
 TRAINING_MIN_QUALITY = 0.5
 MONTHLY_CREDITS = 20000

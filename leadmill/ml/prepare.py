@@ -32,7 +32,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     facts = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k"))).scalar()
     weights = counts.withColumn("_f", facts).select(
         label, (F.col("_f.n") / (F.col("_f.k") * F.col("_n"))).alias("weight"))
-    return df.join(F.broadcast(weights), label)  # one row per class
+    return df.join(weights, label)
 
 
 def numeric_stages(columns: Sequence[str], robust: bool = False) -> list:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadmill import constants as K
@@ -87,23 +88,36 @@ def cool_down(events: DataFrame, keys: Sequence[str], ts: str, seconds: int = 36
     """Times at which an alert of each key is let through: more than ``seconds`` after the one let through before.
 
     Alerts of a key within the same second are one alert, so a key has at most
-    one row per second of its time span however often it fires.  A silence longer
-    than the cool-down always lets the next alert through; the rows between two
-    such silences are folded in order.
+    one row per second of its time span however often it fires.  The rows of a
+    key pass in order through one task, which remembers a single time.
     """
-    moment = F.unix_seconds(ts)
-    distinct = events.select(*keys, moment.alias("_s")).distinct()
-    in_order = Window.partitionBy(*keys).orderBy("_s")
-    start = F.coalesce((F.col("_s") - F.lag("_s").over(in_order) > seconds).cast("int"), F.lit(1))
-    runs = distinct.withColumn("_start", start).withColumn("_run", F.sum("_start").over(in_order))
-
-    def step(sent, now):
-        last = F.get(sent, F.size(sent) - 1)
-        return F.when(last.isNull() | (now - last > seconds), F.concat(sent, F.array(now))).otherwise(sent)
-
-    folded = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list("_s")).alias("_all"))
-    sent = F.aggregate("_all", F.array().cast("array<bigint>"), step)
-    return folded.select(*keys, F.explode(sent).alias("_s")).select(*keys, F.timestamp_seconds("_s").alias(ts))
+    distinct = events.select(*keys, F.unix_seconds(ts).alias("_s")).distinct()
+    ordered = distinct.repartition(*keys).sortWithinPartitions(*keys, "_s")
+
+    def let_through(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, last = None, None
+        for frame in frames:
+            own = [tuple(None if k != k else k for k in row) for row in zip(*[frame[k] for k in keys])]
+            sent = []
+            for n, (this, now) in enumerate(zip(own, frame["_s"])):
+                if now != now:
+                    continue
+                if this != key:
+                    key, last = this, None
+                if last is None or now - last > seconds:
+                    last = now
+                    sent.append(n)
+            yield frame.iloc[sent]
+
+    passed = ordered.mapInPandas(let_through, ordered.schema)
+    return passed.select(*keys, F.timestamp_seconds("_s").alias(ts))
+
+
+def remaining_credits(usage: DataFrame, ts: str, credits: str, as_of: datetime, limit: int = K.MONTHLY_CREDITS) -> int:
+    """The month's limit less what the usage log has spent in the month of ``as_of``; one row to the driver."""
+    month = F.date_trunc("month", F.col(ts)) == F.date_trunc("month", F.lit(as_of))
+    spent = usage.filter(month).agg(F.coalesce(F.sum(credits), F.lit(0))).first()[0]
+    return max(0, limit - int(spent))
 
 
 def within_budget(df: DataFrame, order: Sequence[Column], budget: int) -> DataFrame:

@@ -260,7 +260,8 @@ def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        values = np.sort(pdf["v"].to_numpy(dtype=float)[:2 * sample])
+        chosen = pdf.sort_values(["h", "v"])["v"].to_numpy(dtype=float)[:2 * sample]  # by hash, whatever order rows arrive in
+        values = np.sort(chosen)
         rng = np.random.default_rng(seed + tree)
         limit = int(np.ceil(np.log2(max(len(values), 2))))
         out, stack = [], [(values, 0, -np.inf, np.inf)]
@@ -278,7 +279,7 @@ def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100
                         F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("r"))
               .filter("v IS NOT NULL")
               .withColumn("tree", (F.col("r") * decks + F.pmod(F.xxhash64("i", "r", F.lit(seed)), F.lit(decks))).cast("int"))
-              .filter(F.col("tree") < trees).select("v", "tree"))
+              .filter(F.col("tree") < trees).select("v", "tree", F.xxhash64("i", F.lit(seed)).alias("h")))
     leaves = picked.groupBy("tree").applyInPandas(grow, "tree int, size int, lo double, hi double, path double")
     # the model: at most trees * 2 * sample leaves, merged into one ascending step function
     forest = leaves.toPandas()

@@ -599,10 +599,14 @@ def cool_down(t: Tables) -> DataFrame:
     return M.cool_down(fired, ["user_id"], "ts", 86400).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("mon_04_credit_budget", on_contacts("SELECT id FROM contacts WHERE enrichment_id IS NULL ORDER BY timestamp_created DESC NULLS LAST, id LIMIT 50"))
+@query("mon_04_credit_budget", on_contacts("""SELECT id FROM contacts WHERE enrichment_id IS NULL ORDER BY timestamp_created DESC NULLS LAST, id
+  LIMIT (SELECT greatest(0, 1800 - count(*)) FROM contacts WHERE enrichment_id IS NOT NULL AND date_trunc('month', enriched_at) = TIMESTAMP '2024-02-01')"""))
 def credit_budget(t: Tables) -> DataFrame:
-    waiting = t.contacts("id", "enrichment_id", "timestamp_created").filter("enrichment_id IS NULL")
-    return M.within_budget(waiting, [F.desc_nulls_last("timestamp_created"), F.col("id")], 50).select("id")
+    """Waiting contacts that the rest of a month's limit of 1,800 pays for; the usage log has a credit per enriched contact."""
+    df = t.contacts("id", "enrichment_id", "timestamp_created", "enriched_at")
+    usage = df.filter("enrichment_id IS NOT NULL").select("enriched_at", F.lit(1).alias("credits"))
+    budget = M.remaining_credits(usage, "enriched_at", "credits", datetime(2024, 2, 15), 1800)
+    return M.within_budget(df.filter("enrichment_id IS NULL"), [F.desc_nulls_last("timestamp_created"), F.col("id")], budget).select("id")
 
 
 @query("mon_05_retraining", "SELECT round((epoch_us(TIMESTAMP '2024-03-01') - epoch_us(max(ts))) / 8.64e10, 6) AS days_since, (epoch_us(TIMESTAMP '2024-03-01') - epoch_us(max(ts))) / 8.64e10 >= 7 AS due FROM events WHERE event_type = 'signup'")
