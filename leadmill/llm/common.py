@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     executors are one process, gets a temporary folder when the setting is missing."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -82,14 +82,3 @@ def running_totals(df: DataFrame, group: str, order: Sequence[str], value: str,
     return (pieces.join(bases, [group, "piece"])
             .withColumn(into, F.col("piece_base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
             .drop("piece", "piece_base"))
-
-
-def task_cached(make: Callable):
-    """A per-process cache of one bulky object built from a broadcast value."""
-    held: dict = {}
-
-    def get(*args):
-        if "value" not in held:
-            held["value"] = make(*args)
-        return held["value"]
-    return get
