@@ -26,7 +26,9 @@ END_ID = 2
 #: A stored row holds at most so many tokens; longer documents take several.
 ROW_TOKENS = 1 << 16
 #: Words, and parts of words, whose ids a worker remembers before it starts anew.
-WORDS_KEPT, PARTS_KEPT = 500_000, 700_000
+WORDS_KEPT, PARTS_KEPT = 250_000, 450_000
+#: Texts that a worker holds the ids of at once.
+ROWS = 250
 #: Characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from U+0100 on.
 BYTES = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 #: The tokenizer's own split of a word; parts are encoded apart from each other.
@@ -108,7 +110,7 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(path, not word_cache)
         encode, part, place, size = _ENCODERS[key].encode, TaskContext.get().partitionId(), 0, 4 * row_tokens
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             idents, rows = [], []
             for n, text in enumerate(batch.column(1).to_pylist()):
                 ids = encode(text or "") + end

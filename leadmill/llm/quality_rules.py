@@ -32,6 +32,8 @@ MAX_REPEATED = 50
 MAX_LOST = 50
 MANY_MARKS = 8
 PROSE_WORDS = 25
+#: Texts that a worker holds results of at once.
+ROWS = 250
 
 _PHRASES = re.compile("|".join(map(re.escape, PHRASES)))
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -105,9 +107,9 @@ def line_clean(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LOST
     kinds = [pa.int64()] * len(STATS) + [pa.bool_()] * 2 + [pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             got = [judge(t, max_lost) for t in batch.column(len(rest)).to_pylist()]
-            columns = list(zip(*got)) if got else [()] * 10
+            columns = list(zip(*got))
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(c, k) for c, k in zip(columns[:len(made)], kinds)], names=schema.names)
 
     own = [F.col(f"`{c}`") for c in rest]
