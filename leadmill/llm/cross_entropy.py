@@ -4,18 +4,22 @@ Both are bigram models over one shared vocabulary. A document's score is its mea
 less that under the background model, in nats; below zero it reads more like the target. The target here are documents
 labelled as of good quality and not toxic; the background are all documents. All counts cover the whole corpus.
 
-The vocabulary holds the most frequent words of the target, all others being one unknown word, so that a table of all
-word pairs has a fixed size (``VOCABULARY`` squared) that every task can hold: counting sends at most one row per pair
-and task, and scoring moves no text.
+The vocabulary holds all words of the corpus, so counts of words and pairs are tables in the shared folder that grow
+with it. A pair's loss is ln(count of its first word + PRIOR) - ln(pair count + PRIOR * share of its second word): one
+part per word and one per pair. Both are joined to the documents by key; the ``HOT`` most frequent keys, which are
+bounded whatever the corpus, are broadcast and added up where the text is read, so no key brings many rows to one task.
+Words are named by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +28,14 @@ from leadmill.llm.common import stash
 from leadmill.llm.exact_dedup import member_positions, table_bits, with_possible
 
 
-#: Words of the shared vocabulary, with the unknown word (0) and the start of a text (1).
-VOCABULARY = 2048
+#: Names of words outside a limited vocabulary, and of the start of a text: mixed bits, so that pairs of them have names of their own.
+UNKNOWN, START = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 #: A pair's probability is (count + PRIOR * single) / (count of the first + PRIOR).
 PRIOR = 64.0
+#: At most so many words, and so many pairs, are broadcast: those with at least 1/HOT of all tokens.
+HOT = 1 << 17
+#: Tokens whose pairs a task adds up at once, and words whose names a worker remembers before it starts anew.
+TOKENS, WORDS_KEPT = 1 << 20, 250_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -35,30 +43,42 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_LOWER).split()
 
 
-class Vocabulary:
-    """Numbers of words: 2 and on for the listed ones, 0 for all others."""
+class Names(dict):
+    """64-bit names of words; with ``known``, all others are one unknown word."""
 
-    def __init__(self, words: list[bytes]):
-        self.numbers = {w: n + 2 for n, w in enumerate(words)}
-        self.size = len(words) + 2
+    def __init__(self, known: frozenset[bytes] | None = None):
+        self.known = known
 
-    def pairs(self, text: str | None) -> np.ndarray:
-        """One number per word of ``text``: that of its pair with the word before, or with the start."""
-        words = words_of(text)
-        get = self.numbers.get
-        own = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        return np.concatenate(([1], own[:-1])) * self.size + own if len(own) else own
+    def __missing__(self, word: bytes) -> int:
+        name = UNKNOWN
+        if self.known is None or word in self.known:
+            name = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        self[word] = name
+        return name
 
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all words of ``texts``: the name of the word before (or the start), the own name; and words per text."""
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        split = [words_of(text) for text in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        own = np.fromiter((name for words in split for name in map(self.__getitem__, words)), np.int64, int(sizes.sum()))
+        before = np.concatenate(([START], own))[:-1]
+        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+        return before, own, sizes
 
-def losses(pairs: np.ndarray, size: int) -> np.ndarray:
-    """Loss of each pair, as a flat table, from the counts of all pairs."""
-    table = pairs.reshape(size, size).astype(np.float64)
-    single = (table.sum(0) + 1) / (table.sum() + size)
-    return -np.log((table + PRIOR * single) / (table.sum(1, keepdims=True) + PRIOR)).astype(np.float32).ravel()
 
+def pair_names(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One name per pair, as ``PAIR`` gives it."""
+    w = second.view(np.uint64)
+    return first ^ ((w << np.uint64(21)) | (w >> np.uint64(43))).view(np.int64)
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    """The ``size`` - 2 most frequent words of ``docs`` (text); of equals the first by code point."""
+
+PAIR = "first ^ (shiftleft(second, 21) | shiftrightunsigned(second, 43))"
+
+
+def known_words(docs: DataFrame, size: int) -> frozenset[bytes]:
+    """The ``size`` most frequent words of ``docs`` (text); of equals the first by code point."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
@@ -67,30 +87,52 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> Vocabulary:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     top = (docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(size - 2))
-    return Vocabulary([bytes(row[0]) for row in top.collect()])
+           .orderBy(F.desc("n"), "word").limit(size))
+    return frozenset(bytes(row[0]) for row in top.collect())
 
 
-def pair_counts(docs: DataFrame, words: Vocabulary) -> np.ndarray:
-    """Counts of all pairs in ``docs`` (text) as a flat table of fixed size; a task sends each pair at most once."""
-    cells = words.size ** 2
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def counted_pairs(docs: DataFrame, known: Broadcast | None) -> DataFrame:
+    """(first, second, n) of ``docs`` (text), added up per about ``TOKENS`` tokens of a task."""
+    def total(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        first, second = (np.concatenate(x) for x in zip(*parts))
+        _, at, n = np.unique(pair_names(first, second), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(first[at]), pa.array(second[at]), pa.array(n.astype(np.int64))], names=["first", "second", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(cells, np.int64)
-        for batch in batches:
-            found = [shared.value.pairs(text) for text in batch.column(0).to_pylist()]
-            if found:
-                table += np.bincount(np.concatenate(found), minlength=cells)
-        pair = np.flatnonzero(table)
-        for at in range(0, len(pair), 1 << 16):
-            own = pair[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(table[own])], names=["pair", "n"])
-
-    got = docs.select("text").mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(cells, np.int64)
-    table[got["pair"].to_numpy()] = got["n"].to_numpy()
-    return table
+        names, parts, held = Names(known and known.value), [], 0
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
+            before, own, _ = names.of(batch.column(0).to_pylist())
+            parts.append((before, own))
+            held += len(own)
+            if held >= TOKENS:
+                yield total(parts)
+                parts, held = [], 0
+        if held:
+            yield total(parts)
+
+    return docs.select("text").mapInArrow(count, "first long, second long, n long")
+
+
+def models(wanted: DataFrame, rows: DataFrame, known: Broadcast | None) -> DataFrame:
+    """(key, n, a, b): what each word as first and each pair as a whole adds to the target loss and to the background
+    loss of a document that holds it, and its count in all documents."""
+    zero = F.lit(0).cast("long")
+    counted = (counted_pairs(rows, known).select("first", "second", zero.alias("t"), F.col("n").alias("u"))
+               .unionByName(counted_pairs(wanted, known).select("first", "second", F.col("n").alias("t"), zero.alias("u"))))
+    pairs = stash(counted.groupBy("first", "second").agg(F.sum("t").alias("t"), F.sum("u").alias("u")), "pairs")
+    sums = [F.sum(c).alias(c) for c in ("t", "u")]
+    words = stash(pairs.groupBy("second").agg(*sums, F.count("*").alias("kinds")), "words")
+    (tokens_t, tokens_u, size, kinds) = words.agg(F.sum("t"), F.sum("u"), F.count("*"), F.sum("kinds")).first()
+    size = len(known.value) + 2 if known else size + 2
+    share = words.select("second", "kinds", *[(PRIOR * (F.col(c) + 1) / F.lit((n or 0) + size)).alias(f"share_{c}") for c, n in (("t", tokens_t), ("u", tokens_u))])
+    # a word with many pairs is hot; there are at most HOT / 8 of them
+    hot = share.where(F.col("kinds") * (HOT // 8) >= (kinds or 0)).drop("kinds")
+    cold = share.where(F.col("kinds") * (HOT // 8) < (kinds or 0)).drop("kinds")
+    both = pairs.join(F.broadcast(hot), "second").unionByName(pairs.join(F.broadcast(hot.select("second")), "second", "left_anti").join(cold.hint("merge"), "second"))
+    loss = both.select(F.expr(PAIR).alias("key"), F.col("u").alias("n"), (-F.log(F.col("t") + F.col("share_t"))).alias("a"), (-F.log(F.col("u") + F.col("share_u"))).alias("b"))
+    first = (pairs.groupBy(F.col("first").alias("key")).agg(*sums)
+             .select("key", F.col("u").alias("n"), F.log(F.col("t") + F.lit(PRIOR)).alias("a"), F.log(F.col("u") + F.lit(PRIOR)).alias("b")))
+    return stash(loss.unionByName(first), "losses")
 
 
 def target_texts(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -107,30 +149,66 @@ def target_texts(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stash(maybe.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target-texts")
 
 
+def found(keys: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in the sorted ``hot``, and which of them are there."""
+    at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
+    return at, hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             size: int = VOCABULARY) -> DataFrame:
+                             size: int | None = None, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, target_loss, background_loss, difference (per token, in nats).
 
     Null and empty texts have no tokens and null losses; repeated rows are counted and scored each; without target rows
     the target model is the even one; an empty table gives no rows; other columns are not read; texts of any length are
-    scored whole."""
+    scored whole. ``size`` limits the vocabulary to the ``size`` - 2 most frequent words of the target; without it all
+    words of the corpus count."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     wanted = target_texts(rows, labels)
-    words = vocabulary(wanted, size)
-    target, background = pair_counts(wanted, words), pair_counts(rows, words)
-    model = docs.sparkSession.sparkContext.broadcast((words, losses(target, words.size), losses(background, words.size)))
-    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
-                        T.StructField("target_loss", T.DoubleType()), T.StructField("background_loss", T.DoubleType())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, wanted, usual = model.value
-        for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                pairs = own.pairs(text)
-                rows.append((len(pairs), float(wanted[pairs].mean(dtype=np.float64)), float(usual[pairs].mean(dtype=np.float64))) if len(pairs) else (0, None, None))
-            n, a, b = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64())], names=out.names)
-
-    scored = rows.mapInArrow(score, out)
-    return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
+    context = docs.sparkSession.sparkContext
+    known = None if size is None else context.broadcast(known_words(wanted, size - 2))
+    losses = models(wanted, rows, known)
+    # the words' counts and the pairs' counts add up to all tokens each, so 2 * hot keys are the most there can be
+    limit = (losses.agg(F.sum("n")).first()[0] or 0) / 2 / hot
+    top = losses.where(F.col("n") >= limit).orderBy("key").toArrow()
+    shared = context.broadcast(tuple(top[c].to_numpy() for c in ("key", "a", "b")))
+    kind = docs.schema[id_col].dataType
+    out = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", kind), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
+                        T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType())])
+    step = 500
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, (hot_keys, hot_a, hot_b) = Names(known and known.value), shared.value
+        for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
+            before, own, sizes = names.of(batch.column(2).to_pylist())
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            a, b, cold = np.zeros(len(sizes)), np.zeros(len(sizes)), []
+            for keys in (before, pair_names(before, own)):
+                at, is_hot = found(keys, hot_keys)
+                a += np.bincount(of[is_hot], hot_a[at[is_hot]], len(sizes))
+                b += np.bincount(of[is_hot], hot_b[at[is_hot]], len(sizes))
+                cold.append((of[~is_hot], keys[~is_hot]))
+            idents = batch.column(0)
+            # one row with all tokens and what the hot keys add; its own number as key only spreads these rows
+            yield pa.RecordBatch.from_arrays([idents, batch.column(1), idents, pa.array(sizes), pa.array(a), pa.array(b)], names=out.names)
+            texts, keys = (np.concatenate(x) for x in zip(*cold))
+            # equal keys of a text count together
+            order = np.lexsort((keys, texts))
+            texts, keys = texts[order], keys[order]
+            new = np.flatnonzero(np.concatenate(([True], (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1])))) if len(keys) else np.zeros(0, np.int64)
+            times = np.diff(np.append(new, len(keys)))
+            for cut in range(0, len(new), 1 << 16):
+                part = new[cut:cut + (1 << 16)]
+                none = pa.nulls(len(part), batch.column(1).type)
+                empty = pa.nulls(len(part), pa.float64())
+                yield pa.RecordBatch.from_arrays([idents.take(pa.array(texts[part])), none, pa.array(keys[part]), pa.array(times[cut:cut + (1 << 16)]), empty, empty], names=out.names)
+
+    pieces = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(spread, out)
+    part = losses.select("key", F.col("a").alias("x"), F.col("b").alias("y")).hint("merge")
+    whole = F.col("a").isNotNull()
+    scored = (pieces.join(part, "key", "left").groupBy("row")
+              .agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum(F.when(whole, F.col("n"))).alias("n_tokens"),
+                   *[F.sum(F.when(whole, F.col(c)).otherwise(F.col("n") * F.col(x))).alias(c) for c, x in (("a", "x"), ("b", "y"))]))
+    mean = lambda c: F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens"))
+    return (scored.select("doc_id", "n_tokens", mean("a").alias("target_loss"), mean("b").alias("background_loss"))
+            .withColumn("difference", F.col("target_loss") - F.col("background_loss")))

@@ -186,3 +186,29 @@ def test_cross_entropy_of_awkward_rows(spark):
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
     assert len(cross_entropy.cross_entropy_difference(table(spark, rows), labels.where("false")).collect()) == len(rows)
     assert cross_entropy.cross_entropy_difference(table(spark, []), labels).count() == 0
+
+
+def test_cross_entropy_counts_every_word(spark):
+    """5,000 words of equal count, far more than any fixed list: a rare wanted word and pair move the score."""
+    texts = [(n, " ".join(f"w{n * 10 + k}" for k in range(10))) for n in range(500)]
+    docs = [*texts, (500, "w0 w1 w2"), (501, "w4990 w4991 w4992"), (502, "w1 w0 never")]
+    labels = spark.createDataFrame([(n, 1, 0) for n in range(250)], "doc_id long, quality int, toxic int")
+    pairs = {i: list(zip(["<start>", *t.split()], t.split())) for i, t in docs}
+
+    def model(ids):
+        counts = Counter(p for i in ids for p in pairs[i])
+        firsts, seconds = Counter(), Counter()
+        for (h, w), c in counts.items():
+            firsts[h] += c
+            seconds[w] += c
+        size = len({w for own in pairs.values() for _, w in own}) + 2
+        prior, total = cross_entropy.PRIOR, sum(counts.values())
+        return lambda p: -math.log((counts[p] + prior * (seconds[p[1]] + 1) / (total + size)) / (firsts[p[0]] + prior))
+    target, usual = model(range(250)), model(pairs)
+    for hot in (cross_entropy.HOT, 4):
+        got = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(spark.createDataFrame(docs, "doc_id long, text string"), labels, hot=hot).collect()}
+        for i, own in pairs.items():
+            assert got[i].n_tokens == len(own)
+            assert got[i].target_loss == pytest.approx(np.mean([target(p) for p in own]), rel=1e-9)
+            assert got[i].background_loss == pytest.approx(np.mean([usual(p) for p in own]), rel=1e-9)
+        assert got[500].difference < got[501].difference - 0.05
