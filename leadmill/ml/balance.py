@@ -1,10 +1,8 @@
 """Class balancing: interpolated minority rows, density-weighted rows, edited neighbours, undersampling.
 
-Neighbours are searched along several random directions.  Along each, rows are
-dealt by range and sorted, and a row is compared with the rows up to a block
-before and after it, so every row has as many candidates as any other, however
-dense its surroundings, and no group of equal rows meets in one task.  The best
-of all directions are kept.
+Neighbours are exact.  Equal rows are one point with its first rows; a tree fitted on a sample deals the points to
+cells of about ``block`` points, so many as the table asks for.  A point's own cell gives it a distance within which it
+has enough neighbours, and every cell that this distance reaches is searched.
 """
 
 from __future__ import annotations
@@ -12,66 +10,140 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.operators.quantiles import hash_order
-
-DIRECTIONS = 8
-BLOCK = 128
-
-
-def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: Sequence[str] = (), directions: int = DIRECTIONS,
-               block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """The k nearest rows found for each row: (id, v, other, w, distance, place, other_<extra>).
-
-    With more than k rows every row has k neighbours.  They are exact up to ``2 * block`` rows, beyond that near ones:
-    more directions or larger blocks find more of the nearest."""
+from leadmill.operators.sinks import fresh_folder
+
+#: Points of a cell; with more than ``CELLS`` times as many, cells grow instead.
+BLOCK, CELLS = 1 << 13, 1 << 12
+#: Sampled points per cell that the tree is fitted on.
+SAMPLED = 32
+#: A vector with at least this share of the rows is hot, so there are at most as many hot ones.
+HOT = 64
+
+
+class Cells:
+    """A tree of splits: points up to the split's value go left, others right."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.count = 0
+        self.root = self.grow(sample, cells)
+
+    def grow(self, sample: np.ndarray, cells: int):
+        if cells > 1 and len(sample) > 1:
+            column = int(np.argmax(sample.max(0) - sample.min(0)))
+            values = np.sort(sample[:, column])
+            below = values[values < values[-1]]
+            if len(below):
+                value = min(values[(len(values) - 1) // 2], below[-1])
+                left = sample[:, column] <= value
+                return column, value, self.grow(sample[left], cells // 2), self.grow(sample[~left], cells - cells // 2)
+        self.count += 1
+        return self.count - 1
+
+    def reached(self, v: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of all cells that may hold a point within ``radius`` of a row; with radius 0 just its own."""
+        rows, cells, todo = [], [], [(self.root, np.arange(len(v)))]
+        while todo:
+            node, own = todo.pop()
+            if not isinstance(node, tuple):
+                rows.append(own)
+                cells.append(np.full(len(own), node, np.int32))
+                continue
+            column, value, left, right = node
+            x, r = v[own, column], radius[own]
+            for side, part in ((left, own[x - r <= value]), (right, own[x + r > value])):
+                if len(part):
+                    todo.append((side, part))
+        return (np.concatenate(rows), np.concatenate(cells)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+
+def nearest(points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and places of the k nearest points of each query, nearest first."""
+    most = min(k, len(points))
+    gaps, places = np.empty((len(queries), most)), np.empty((len(queries), most), np.int64)
+    step = max(1, (1 << 21) // max(len(points), 1))
+    for at in range(0, len(queries), step):
+        own = queries[at:at + step]
+        gap = np.zeros((len(own), len(points)))
+        for column in range(points.shape[1]):
+            gap += (own[:, column, None] - points[None, :, column]) ** 2
+        best = np.argpartition(gap, most - 1, axis=1)[:, :most]
+        near = np.take_along_axis(gap, best, 1)
+        order = np.argsort(near, axis=1, kind="stable")
+        gaps[at:at + step], places[at:at + step] = np.sqrt(np.take_along_axis(near, order, 1)), np.take_along_axis(best, order, 1)
+    return gaps, places
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: Sequence[str] = (), block: int = BLOCK, seed: int = 42) -> DataFrame:
+    """The k nearest rows of each row, exactly: (id, v, other, w, distance, place, other_<extra>); of equal rows the first ids.
+
+    With more than k rows every row has k neighbours.  ``block`` only sets how the search is dealt out."""
     names = [f"other_{c}" for c in extra]
     rows = df.select(F.col(identity).alias("id"), vector_to_array(features).alias("v"), *[F.col(c).alias(n) for c, n in zip(extra, names)])
     first = rows.first()
     size = len(first["v"]) if first else 1
-    kind = rows.schema["id"].dataType
-    out = T.StructType([T.StructField("id", kind), T.StructField("other", kind), T.StructField("distance", T.DoubleType()),
-                        T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("w", T.ArrayType(T.DoubleType()))]
-                       + [T.StructField(n, rows.schema[n].dataType) for n in names])
-
-    def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            while len(held) >= 3 * block:
-                yield within(held.iloc[:2 * block])
-                held = held.iloc[block:].reset_index(drop=True)
-        while held is not None and len(held) > 1:
-            yield within(held.iloc[:2 * block])
-            held = held.iloc[block:].reset_index(drop=True) if len(held) > 2 * block else None
-
-    def within(part: pd.DataFrame) -> pd.DataFrame:
-        v = np.stack(part["v"].to_numpy())
-        gap = np.sqrt(((v[:, None, :] - v[None, :, :]) ** 2).sum(-1))
-        np.fill_diagonal(gap, np.inf)
-        most = min(k, len(part) - 1)
-        best = np.argsort(gap, axis=1, kind="stable")[:, :most]
-        a, b = np.repeat(np.arange(len(part)), most), best.ravel()
-        found = pd.DataFrame({"id": part["id"].to_numpy()[a], "other": part["id"].to_numpy()[b], "distance": gap[a, b],
-                              "v": part["v"].to_numpy()[a], "w": part["v"].to_numpy()[b]})
-        return found.assign(**{n: part[n].to_numpy()[b] for n in names})
-
-    rng = np.random.default_rng(seed)
-    found = None
-    for _ in range(directions):
-        weights = F.array(*[F.lit(float(x)) for x in rng.normal(size=size)])
-        along = F.aggregate(F.zip_with("v", weights, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        ordered = rows.withColumn("along", along).repartitionByRange("along", "id").sortWithinPartitions("along", "id").drop("along")
-        part = ordered.mapInPandas(nearest, out)
-        found = part if found is None else found.unionByName(part)
-    order = Window.partitionBy("id").orderBy("distance", "other")
-    best = found.dropDuplicates(["id", "other"]).withColumn("place", F.row_number().over(order))
-    return best.filter(F.col("place") <= k)
+    # a row needs no more than k + 1 rows of any one vector, itself included
+    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("place") <= k + 1)
+    member = F.struct(F.col("id").alias("other"), *names)
+    points = stored(ranked.groupBy("v").agg(F.sort_array(F.collect_list(member)).alias("members")), "points")
+    total = points.count()
+    wanted = min(CELLS, -(-total // block))
+    sample = points.select("v").sample(min(1.0, SAMPLED * wanted / max(total, 1)), seed).toArrow() if wanted > 1 else None
+    cells = Cells(matrix(sample["v"], size) if sample is not None else np.zeros((0, size)), wanted)
+    tree = df.sparkSession.sparkContext.broadcast(cells)
+    kinds = {f.name: f.dataType for f in points.schema}
+    celled = T.StructType([*points.schema.fields, T.StructField("cell", T.IntegerType())])
+    asked = T.StructType([T.StructField("v", kinds["v"]), T.StructField("radius", T.DoubleType()), T.StructField("cell", T.IntegerType())])
+    out = T.StructType([T.StructField("v", kinds["v"]), T.StructField("distance", T.DoubleType()), T.StructField("w", kinds["v"]), T.StructField("members", kinds["members"])])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = matrix(batch.column(0), size)
+            row, cell = tree.value.reached(v, np.zeros(len(v)))
+            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(row)) for c in batch.columns], pa.array(cell)], names=celled.names)
+
+    def ask(table: pa.Table) -> pa.Table:
+        v, sizes = matrix(table["v"], size), np.array([len(m) for m in table["members"]])
+        gaps, places = nearest(v, v, k + 1)
+        enough = np.cumsum(sizes[places], axis=1) >= k + 1
+        radius = np.where(enough.any(1), gaps[np.arange(len(v)), enough.argmax(1)], np.inf)
+        row, cell = tree.value.reached(v, radius * (1 + 1e-9))
+        return pa.table({"v": table["v"].take(pa.array(row)), "radius": pa.array(radius[row]), "cell": pa.array(cell)})
+
+    def search(held: pa.Table, queries: pa.Table) -> pa.Table:
+        gaps, places = nearest(matrix(held["v"], size), matrix(queries["v"], size), k + 1) if len(held) else (np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64))
+        row, column = np.nonzero(gaps <= queries["radius"].to_numpy()[:, None] * (1 + 1e-9))
+        at = pa.array(places[row, column])
+        return pa.table({"v": queries["v"].take(pa.array(row)), "distance": pa.array(gaps[row, column]), "w": held["v"].take(at), "members": held["members"].take(at)})
+
+    placed = stored(points.mapInArrow(place, celled), "cells")
+    queries = stored(placed.groupBy("cell").applyInArrow(ask, asked), "queries")
+    found = placed.groupBy("cell").cogroup(queries.groupBy("cell")).applyInArrow(search, out)
+    near = F.transform("members", lambda m: F.struct(F.col("distance"), m["other"].alias("other"), F.col("w"), *[m[n].alias(n) for n in names]))
+    facts = stored(found.groupBy("v").agg(F.slice(F.sort_array(F.flatten(F.collect_list(near))), 1, k + 1).alias("near")), "near")
+    # a vector of many rows is broadcast, so it does not meet in one task
+    shares = rows.groupBy("v").agg(F.count("*").alias("n"))
+    hot = F.broadcast(shares.filter(F.col("n") * HOT >= rows.count()).select("v").join(facts, "v"))
+    joined = rows.select("id", "v").join(hot, "v").unionByName(rows.select("id", "v").join(hot.select("v"), "v", "left_anti").join(facts, "v"))
+    own = joined.select("id", "v", F.posexplode(F.slice(F.filter("near", lambda x: x["other"] != F.col("id")), 1, k)).alias("at", "x"))
+    return own.select("id", "v", "x.other", "x.w", "x.distance", (F.col("at") + 1).alias("place"), *[F.col(f"x.{n}") for n in names])
 
 
 def oversample(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:

@@ -29,6 +29,22 @@ def test_every_row_has_near_neighbours(spark):
     assert (got.distance.to_numpy() <= worst[got.id] + 1e-9).mean() >= 0.9
 
 
+def test_neighbours_stay_right_on_larger_tables(spark):
+    """30,000 rows in five dimensions, a third of them equal: all have their five nearest."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(30_000, 5))
+    v[20_000:] = v[7]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "id long, x array<double>").select("id", array_to_vector("x").alias("features")).repartition(6)
+    got = B.neighbours(df, "features", "id", 5, block=2048).select("id", "other", "distance").toPandas()
+    assert (got.groupby("id").size() == 5).all() and got.id.nunique() == len(v) and (got.id != got.other).all()
+    assert np.allclose(got.distance, np.sqrt(((v[got.id] - v[got.other]) ** 2).sum(1)))
+    worst = got.groupby("id").distance.max()
+    for i in [*range(0, 20_000, 40), *range(20_000, 30_000, 500), 7]:
+        gap = np.sqrt(((v - v[i]) ** 2).sum(1))
+        gap[i] = np.inf
+        assert worst[i] <= np.partition(gap, 4)[4] + 1e-9
+
+
 def test_classes_are_filled_up_between_neighbours(spark):
     v, labels, df = rows(spark, 400)
     out = B.oversample(df, "features", "label", "id")
