@@ -35,10 +35,20 @@ def classifiers(label: str = "label", features: str = "features", seed: int = 42
 
 
 def soft_vote(df: DataFrame, models: Sequence, label: str = "label") -> DataFrame:
-    """Average class probabilities of several fitted models and the class they favour."""
+    """Average class probabilities of several fitted models and the class they favour.
+
+    One-against-rest models give margins only: those of boosting become probabilities as in its own class, 1 / (1 + exp(-2 x)),
+    and are scaled to a sum of one."""
     scored = df
     for i, model in enumerate(models):
-        scored = model.transform(scored).withColumn(f"_p{i}", vector_to_array("probability")).drop("rawPrediction", "probability", "prediction")
+        scored = model.transform(scored)
+        if "probability" in scored.columns:
+            scored = scored.withColumn(f"_p{i}", vector_to_array("probability"))
+        else:
+            each = F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
+            scored = (scored.withColumn(f"_p{i}", each)
+                      .withColumn(f"_p{i}", F.transform(f"_p{i}", lambda p: p / F.aggregate(f"_p{i}", F.lit(0.0), lambda a, b: a + b))))
+        scored = scored.drop("rawPrediction", "probability", "prediction")
     mean = scored["_p0"]
     for i in range(1, len(models)):
         mean = F.zip_with(mean, F.col(f"_p{i}"), lambda a, b: a + b)

@@ -190,7 +190,7 @@ def nearest_vote(t: Tables) -> DataFrame:
 def soft_vote(t: Tables) -> DataFrame:
     df = prepared(t)
     train = df.filter("NOT is_test")
-    models = [m.fit(train) for n, m in MD.classifiers(**SIZES).items() if n in ("random_forest", "logistic_regression")]
+    models = [m.fit(train) for n, m in MD.classifiers(**SIZES).items() if n in ("gradient_boosting", "logistic_regression")]
     return rounded(MD.summary(MD.confusion(MD.soft_vote(df.filter("is_test"), models))))
 
 

@@ -70,3 +70,15 @@ def test_search_returns_all_phases(spark):
                                 (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 2).cast("int").alias("fold"))
     best, tried = MD.phased_search(df, MD.classifiers(iterations=5)["logistic_regression"], [{"regParam": [0.0, 5.0]}, {"fitIntercept": [True, False]}], k=2)
     assert [t["phase"] for t in tried] == [1, 1, 2, 2] and best.getRegParam() == 0.0
+
+
+def test_soft_vote_takes_boosting(spark):
+    """Three classes, of which the middle one is no linear cut: boosting of one against the rest votes with probabilities."""
+    df = spark.createDataFrame([(i, float(n % 3), Vectors.dense([x, x * x])) for i, n in enumerate(range(120)) for x in [n % 3 + (i % 7) / 10]], ["id", "label", "features"])
+    named = MD.classifiers(rounds=2, iterations=10)
+    models = [named[n].fit(df) for n in ("gradient_boosting", "logistic_regression")]
+    got = MD.soft_vote(df, models).collect()
+    assert all(len(r.probabilities) == 3 and abs(sum(r.probabilities) - 1) < 1e-9 for r in got)
+    alone = {r.id: r.probability.toArray() for r in models[1].transform(df).collect()}
+    assert any(abs(r.probabilities[0] - alone[r.id][0]) > 1e-3 for r in got)
+    assert sum(r.prediction == r.label for r in got) > 110
