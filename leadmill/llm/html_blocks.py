@@ -49,6 +49,8 @@ FURNITURE_WORDS = frozenset("ad ads advert advertisement banner breadcrumb bread
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S)
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
+#: A value without quotes at the end of a tag; a slash there belongs to it and does not close the tag.
+BARE_VALUE = re.compile(r"""=\s*[^\s"'][^\s"']*\Z""")
 
 Block = tuple[tuple[str, ...], str, int]
 
@@ -98,7 +100,7 @@ def read_blocks(page: str | None) -> list[Block]:
             continue
         flush()
         links = 0
-        if tag in UNSEEN and not m[1]:
+        if tag in UNSEEN and not m[1] and not (tag in ("svg", "math") and m[3].endswith("/") and not BARE_VALUE.search(m[3])):
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue

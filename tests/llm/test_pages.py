@@ -28,6 +28,14 @@ def test_read_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p>x</p><svg class="a=b"/><p>y</p>', ["x", "y"]), ("<math/>z<svg ><text>no</text></svg>w", ["z", "w"]),
+    ("<svg x />a<SVG viewBox='0 0'/>b<svg>no</svg>", ["a", "b"]), ("<svg width=5/>no</svg>yes", ["yes"]), ("<script/>no</script>yes", ["yes"]),
+])
+def test_empty_drawings_hide_nothing(page, want):
+    assert texts(page) == want
+
+
 def test_paths_and_links():
     blocks = html_blocks.read_blocks('<html><body><nav class="top menu"><a href=x>Go</a> to</nav><p><b>x<br><p id=k>y</body>')
     assert [(b[0], b[2]) for b in blocks] == [(("html", "body", "nav", ".top", ".menu"), 2), (("html", "body", "p"), 0), (("html", "body", "p", ".k"), 0)]
