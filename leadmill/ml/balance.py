@@ -1,13 +1,14 @@
-"""Class balancing: interpolated minority rows, density-weighted rows, edited neighbours, undersampling.
+"""Class balancing: interpolated minority rows, density-weighted rows, edited neighbours, undersampling, and their choice.
 
 Neighbours are exact.  Equal rows are one point with its first rows; a tree fitted on a sample deals the points to
 cells of about ``block`` points, so many as the table asks for.  A point's own cell gives it a distance within which it
-has enough neighbours, and every cell that this distance reaches is searched.
+has enough neighbours, and every cell that this distance reaches is searched.  A cell is searched block by block, points
+and queries alike, so that no group grows with the table, however uneven or large its cells are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadmill.operators.dictionary import ordered_positions, stored
 from leadmill.operators.quantiles import hash_order
-from leadmill.operators.sinks import fresh_folder
 
-#: Points of a cell; with more than ``CELLS`` times as many, cells grow instead.
-BLOCK, CELLS = 1 << 13, 1 << 12
+#: Points of a cell; with more than ``CELLS`` times as many, a cell has more blocks instead.
+BLOCK, CELLS = 1 << 13, 1 << 15
 #: Sampled points per cell that the tree is fitted on.
-SAMPLED = 32
+SAMPLED = 8
 #: A vector with at least this share of the rows is hot, so there are at most as many hot ones.
 HOT = 64
+#: Copies of a row that are made at once.
+COPIES = 1024
 
 
 class Cells:
@@ -69,7 +72,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distances and places of the k nearest points of each query, nearest first."""
+    """Distances and places of the k nearest points of each query, nearest first; of equally near ones the first places."""
     most = min(k, len(points))
     gaps, places = np.empty((len(queries), most)), np.empty((len(queries), most), np.int64)
     step = max(1, (1 << 21) // max(len(points), 1))
@@ -78,17 +81,33 @@ def nearest(points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray
         gap = np.zeros((len(own), len(points)))
         for column in range(points.shape[1]):
             gap += (own[:, column, None] - points[None, :, column]) ** 2
-        best = np.argpartition(gap, most - 1, axis=1)[:, :most]
-        near = np.take_along_axis(gap, best, 1)
-        order = np.argsort(near, axis=1, kind="stable")
-        gaps[at:at + step], places[at:at + step] = np.sqrt(np.take_along_axis(near, order, 1)), np.take_along_axis(best, order, 1)
+        last = np.partition(gap, most - 1, axis=1)[:, most - 1:most]
+        near, tied = gap < last, gap == last
+        near |= tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= most - near.sum(1, keepdims=True))
+        best = np.nonzero(near)[1].reshape(len(own), most)
+        found = np.take_along_axis(gap, best, 1)
+        order = np.argsort(found, axis=1, kind="stable")
+        gaps[at:at + step], places[at:at + step] = np.sqrt(np.take_along_axis(found, order, 1)), np.take_along_axis(best, order, 1)
     return gaps, places
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def by_first_member(table: pa.Table) -> pa.Table:
+    """Points in the order of the ids of their first rows."""
+    first = [m[0]["other"] for m in table["members"].to_pylist()]
+    return table.take(pa.array(sorted(range(len(first)), key=first.__getitem__), pa.int64()))
+
+
+def block_pairs(points: DataFrame, queries: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Points and queries of each ``cell`` dealt to blocks by the hash of ``v``; every block of points meets every block of
+    queries under the key (cell, part, turn), and neither has more than about ``block`` rows there."""
+    def parts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias(name))  # a row per cell, CELLS at most
+
+    sizes = F.broadcast(parts(points, "parts").join(parts(queries, "turns"), "cell"))
+    part, turn = (F.pmod(F.xxhash64("v"), F.col(c)).cast("int") for c in ("parts", "turns"))
+    others = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    return (points.join(sizes, "cell").withColumn("part", part).withColumn("turn", others("turns")).drop("parts", "turns"),
+            queries.join(sizes, "cell").withColumn("turn", turn).withColumn("part", others("parts")).drop("parts", "turns"))
 
 
 def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: Sequence[str] = (), block: int = BLOCK, seed: int = 42) -> DataFrame:
@@ -128,14 +147,18 @@ def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: S
         return pa.table({"v": table["v"].take(pa.array(row)), "radius": pa.array(radius[row]), "cell": pa.array(cell)})
 
     def search(held: pa.Table, queries: pa.Table) -> pa.Table:
+        held = by_first_member(held)
         gaps, places = nearest(matrix(held["v"], size), matrix(queries["v"], size), k + 1) if len(held) else (np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64))
         row, column = np.nonzero(gaps <= queries["radius"].to_numpy()[:, None] * (1 + 1e-9))
         at = pa.array(places[row, column])
         return pa.table({"v": queries["v"].take(pa.array(row)), "distance": pa.array(gaps[row, column]), "w": held["v"].take(at), "members": held["members"].take(at)})
 
     placed = stored(points.mapInArrow(place, celled), "cells")
-    queries = stored(placed.groupBy("cell").applyInArrow(ask, asked), "queries")
-    found = placed.groupBy("cell").cogroup(queries.groupBy("cell")).applyInArrow(search, out)
+    sizes = F.broadcast(placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")))  # a row per cell
+    dealt = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("v"), "parts"))
+    queries = stored(dealt.groupBy("cell", "part").applyInArrow(ask, asked), "queries")
+    held, searching = (df.groupBy("cell", "part", "turn") for df in block_pairs(placed, queries, 2 * block))
+    found = held.cogroup(searching).applyInArrow(search, out)
     near = F.transform("members", lambda m: F.struct(F.col("distance"), m["other"].alias("other"), F.col("w"), *[m[n].alias(n) for n in names]))
     facts = stored(found.groupBy("v").agg(F.slice(F.sort_array(F.flatten(F.collect_list(near))), 1, k + 1).alias("near")), "near")
     # a vector of many rows is broadcast, so it does not meet in one task
@@ -146,26 +169,71 @@ def neighbours(df: DataFrame, features: str, identity: str, k: int = 5, extra: S
     return own.select("id", "v", "x.other", "x.w", "x.distance", (F.col("at") + 1).alias("place"), *[F.col(f"x.{n}") for n in names])
 
 
-def oversample(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """(features, label) with every class at the size of the largest: original rows, then rows between a row of the class
-    and a random one of its k nearest of the class.  A class of one row is repeated."""
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its ``times`` says, numbered from 1 in ``copy``, in arrays of at most ``COPIES``."""
+    blocks = df.filter(F.col(times) > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / COPIES))))
+    first = F.col("_block") * COPIES + 1
+    return blocks.withColumn("copy", F.explode(F.sequence(first, F.least(F.col(times).cast("long"), first + COPIES - 1)))).drop("_block")
+
+
+def _between(own: DataFrame, times: DataFrame, features: str, label: str, identity: str, k: int, seed: int) -> DataFrame:
+    """(identity, features, label): for each row of one class, ``times`` (id, v, label, times) rows between it and a random
+    one of its k nearest of the class; a class of one row is repeated."""
+    near = neighbours(own, features, identity, k, seed=seed).select("id", "w", "place")
+    counts = near.groupBy("id").agg(F.count("*").alias("found"))
+    copies = (repeated(times, "times").join(counts, "id", "left")
+              .withColumn("place", F.when(F.col("found") > 0, F.pmod(F.xxhash64("id", "copy", F.lit(seed)), F.col("found")).cast("int") + 1))
+              .join(near, ["id", "place"], "left"))
+    step = F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(1000)) / 1000.0
+    made = F.zip_with("v", F.coalesce("w", "v"), lambda a, b: a + (b - a) * F.col("step"))
+    return copies.withColumn("step", step).select(F.concat_ws("+", F.col("id").cast("string"), "copy").alias(identity), array_to_vector(made).alias(features), label)
+
+
+def oversampled(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(identity, features, label) with every class at the size of the largest: original rows, then rows between a row of
+    the class and a random one of its k nearest of the class, named ``<id>+<number>``. Names are strings."""
     sizes = df.groupBy(label).agg(F.count("*").alias("n")).collect()  # one row per class
     most = max((r["n"] for r in sizes), default=0)
-    out = df.select(features, label)
+    out = df.select(F.col(identity).cast("string").alias(identity), features, label)
     for value, n in ((r[label], r["n"]) for r in sizes if r["n"] < most):
         own = df.filter(F.col(label) == value)
-        near = neighbours(own, features, identity, k, seed=seed).select("id", "w", "place")
-        counts = near.groupBy("id").agg(F.count("*").alias("found"))
         need, more = divmod(most - n, n)
-        placed = hash_order(own.select(F.col(identity).alias("id"), vector_to_array(features).alias("v")), [], ["id"], seed)
-        times = F.lit(need) + (F.col("position") <= more).cast("int")
-        copies = (placed.withColumn("times", times).filter("times > 0").select("id", "v", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-                  .join(counts, "id", "left")
-                  .withColumn("place", F.when(F.col("found") > 0, F.pmod(F.xxhash64("id", "copy", F.lit(seed)), F.col("found")).cast("int") + 1))
-                  .join(near, ["id", "place"], "left"))
-        step = F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(1000)) / 1000.0
-        made = F.zip_with("v", F.coalesce("w", "v"), lambda a, b: a + (b - a) * F.col("step"))
-        out = out.unionByName(copies.withColumn("step", step).select(array_to_vector(made).alias(features), F.lit(value).alias(label)))
+        placed = hash_order(own.select(F.col(identity).alias("id"), vector_to_array(features).alias("v"), label), [], ["id"], seed)
+        times = placed.withColumn("times", F.lit(need) + (F.col("position") <= more).cast("int")).select("id", "v", label, "times")
+        out = out.unionByName(_between(own, times, features, label, identity, k, seed))
+    return out
+
+
+def oversample(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(features, label) of ``oversampled``."""
+    return oversampled(df, features, label, identity, k, seed).select(features, label)
+
+
+def allotted(df: DataFrame, weight: str, total: int, order: Sequence[str], into: str = "times") -> DataFrame:
+    """Adds whole numbers in proportion to ``weight`` that sum to ``total``: largest remainder, ties by ``order``; with no
+    weight at all, all rows count alike."""
+    whole = df.agg(F.sum(weight)).first()[0] or 0.0
+    share = F.col(weight) / whole if whole else F.lit(1.0) / max(df.count(), 1)
+    quota = stored(df.withColumn("_quota", share * total).withColumn(into, F.floor("_quota").cast("long")), "quotas")
+    left = total - (quota.agg(F.sum(into)).first()[0] or 0)
+    ranked = ordered_positions(quota, [(F.col(into) - F.col("_quota")), *order])
+    return ranked.withColumn(into, F.col(into) + (F.col("position") <= left).cast("long")).drop("_quota", "position")
+
+
+def adaptive(df: DataFrame, features: str, label: str, identity: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(identity, features, label) as ``oversampled`` gives it, but a row gets its new rows in proportion to the share of
+    other classes among its k nearest rows, in whole numbers by largest remainder."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n")).collect()  # one row per class
+    most = max((r["n"] for r in sizes), default=0)
+    foreign = stored(neighbours(df, features, identity, k, [label], seed=seed).withColumnRenamed(f"other_{label}", "_theirs")
+                     .join(df.select(F.col(identity).alias("id"), F.col(label).alias("_own")), "id").groupBy("id")
+                     .agg(F.avg((F.col("_theirs") != F.col("_own")).cast("double")).alias("foreign")), "foreign")
+    out = df.select(F.col(identity).cast("string").alias(identity), features, label)
+    for value, n in ((r[label], r["n"]) for r in sizes if r["n"] < most):
+        own = df.filter(F.col(label) == value)
+        weighed = own.select(F.col(identity).alias("id"), vector_to_array(features).alias("v"), label).join(foreign, "id", "left").na.fill(0.0, ["foreign"])
+        times = allotted(weighed, "foreign", most - n, ["id"]).select("id", "v", label, "times")
+        out = out.unionByName(_between(own, times, features, label, identity, k, seed))
     return out
 
 
@@ -176,13 +244,34 @@ def adaptive_weights(df: DataFrame, features: str, label: str, identity: str, mi
     return near.join(mine, "id", "left_semi").groupBy("id").agg(F.avg((F.col(f"other_{label}") != minority).cast("double")).alias("foreign_share"))
 
 
-def edited(df: DataFrame, features: str, label: str, identity: str, k: int = 3) -> DataFrame:
-    """Rows whose neighbours mostly agree with their label; rows without neighbours stay."""
+def edited(df: DataFrame, features: str, label: str, identity: str, k: int = 3, every: bool = False) -> DataFrame:
+    """Rows whose neighbours mostly (or, with ``every``, all) have their label; rows without neighbours stay."""
     near = neighbours(df, features, identity, k, [label]).join(df.select(F.col(identity).alias("id"), label), "id")
-    wrong = near.groupBy("id").agg(F.avg((F.col(f"other_{label}") != F.col(label)).cast("double")).alias("s")).filter("s > 0.5")
+    wrong = near.groupBy("id").agg(F.avg((F.col(f"other_{label}") != F.col(label)).cast("double")).alias("s")).filter("s > 0" if every else "s > 0.5")
     return df.join(wrong.select(F.col("id").alias(identity)), identity, "left_anti")
 
 
+def balanced_tables(df: DataFrame, features: str, label: str, identity: str, seed: int = 42) -> dict[str, DataFrame]:
+    """The table as it is, with interpolated rows, with density-weighted rows, and interpolated then edited, each stored as
+    (identity, features, label)."""
+    original = stored(df.select(F.col(identity).cast("string").alias(identity), features, label), "original")
+    smote = stored(oversampled(original, features, label, identity, seed=seed), "smote")
+    return {"original": original, "smote": smote, "adasyn": stored(adaptive(original, features, label, identity, seed=seed), "adasyn"),
+            "smote_enn": stored(edited(smote, features, label, identity, every=True), "smote-enn")}
+
+
+def choose_balance(tables: Mapping[str, DataFrame], estimator, test: DataFrame, label: str = "label") -> tuple[object, list[dict]]:
+    """The model re-fitted on the balanced table that gives the best accuracy on ``test`` (of equals the first; the table
+    without balancing is only taken if there is no other), and a record per method tried."""
+    tried = {}
+    for name, table in tables.items():
+        if name != "original":
+            right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+            tried[name] = {"method": name, "train_rows": table.count(), "accuracy": estimator.fit(table).transform(test).agg(right).first()[0]}
+    best = max(tried, key=lambda m: tried[m]["accuracy"] or 0.0) if tried else "original"
+    return estimator.fit(tables[best]), [{**r, "chosen": m == best} for m, r in tried.items()]
+
+
 def undersample(df: DataFrame, label: str, identity: str, seed: int = 42) -> DataFrame:
     """Every class cut to the size of the smallest one, by hash order."""
     ordered = hash_order(df, [label], [identity], seed)

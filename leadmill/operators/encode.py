@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill.functions.expr import cut_by_edges, equal_width_code
+from leadmill.operators.dictionary import with_facts
 from leadmill.operators.kpi import long_form
 from leadmill.operators.quantiles import bounded_quantiles, wide_quantiles, with_row
 
@@ -32,34 +33,19 @@ def group_rare(df: DataFrame, columns: Sequence[str], keep: int = 20, other: str
     return held.withColumns({f"{c}_grouped": one(c) for c in columns}).drop(*[f"{c}_top" for c in columns])
 
 
-def with_frequency(df: DataFrame, columns: Sequence[str], normalise: bool = False) -> DataFrame:
-    """Adds ``<column>_frequency`` (rows with the same value, 0 for null) and its share of the largest.
-
-    Count and join, so that a hot value is combined before the exchange; the
-    counts join as a broadcast while they are small and are split on skew beyond.
-    """
-    base = df  # every count reads the given frame, never the joined one
-    for c in columns:
-        counts = base.dropna(subset=[c]).groupBy(c).agg(F.count("*").alias(f"{c}_frequency"))
-        df = df.join(counts, c, "left").withColumn(f"{c}_frequency", F.coalesce(f"{c}_frequency", F.lit(0)))
-        if normalise:
-            most = counts.agg(F.max(f"{c}_frequency")).scalar()
-            df = df.withColumn(f"{c}_frequency_norm", F.coalesce(F.try_divide(f"{c}_frequency", most), F.lit(0.0)))
-    return df
+def with_frequency(df: DataFrame, columns: Sequence[str], normalise: Sequence[str] | bool = False) -> DataFrame:
+    """Adds ``<column>_frequency`` (rows with the same value, 0 for null) and, for all or the named columns, its share of
+    the largest as ``<column>_frequency_norm``."""
+    shares = list(columns) if normalise is True else list(normalise or [])
+    held = with_facts(df, columns, {"frequency": "n", "frequency_norm": "share"})
+    filled = {f"{c}_frequency": F.coalesce(f"{c}_frequency", F.lit(0)) for c in columns}
+    filled |= {f"{c}_frequency_norm": F.coalesce(f"{c}_frequency_norm", F.lit(0.0)) for c in shares}
+    return held.withColumns(filled).drop(*[f"{c}_frequency_norm" for c in columns if c not in shares])
 
 
 def label_codes(df: DataFrame, columns: Sequence[str], missing: str = "Unknown") -> DataFrame:
-    """Adds ``<column>_code``: position of the value in alphabetical order, nulls as ``missing``.
-
-    The order is taken over the distinct values only.
-    """
-    base = df
-    for c in columns:
-        text = F.coalesce(F.col(c).cast("string"), F.lit(missing))
-        values = base.select(text.alias("_v")).distinct()
-        codes = values.withColumn(f"{c}_code", F.row_number().over(Window.orderBy("_v")) - 1)
-        df = df.withColumn("_v", text).join(codes, "_v", "left").drop("_v")
-    return df
+    """Adds ``<column>_code``: position of the value in alphabetical order, nulls as ``missing``."""
+    return with_facts(df, columns, {"code": "code"}, missing) if columns else df
 
 
 def quantile_codes(df: DataFrame, specs: dict[str, int], missing: float | None = None, bounded: bool = True) -> DataFrame:

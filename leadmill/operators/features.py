@@ -177,8 +177,8 @@ def boosting_features(df: DataFrame, as_of: datetime) -> DataFrame:
         "industry_title": T.interaction("organization_industry", "title", "nan"),
     }
     df = df.withColumns(columns)
-    df = E.with_frequency(df, ["country", "state", "city", "campaign", "email_list", "upload_method"], normalise=True)
-    df = E.with_frequency(df, ["industry_title"]).drop("industry_title")
+    places = ["country", "state", "city", "campaign", "email_list", "upload_method"]
+    df = E.with_frequency(df, [*places, "industry_title"], normalise=places).drop("industry_title")
     return E.quantile_codes(df, {"daily_limit": 10, "organization_employees": 20, "esp_code": 5, "email_gap": 5}, -1)
 
 

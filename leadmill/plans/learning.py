@@ -151,6 +151,34 @@ def adaptive_and_edited(t: Tables) -> DataFrame:
     return weights.unionByName(kept)
 
 
+@query("ml_14_balanced_classes", on_contacts("""SELECT method, level AS label, CASE WHEN method = 'original' THEN n ELSE max(n) OVER (PARTITION BY method) END::BIGINT AS rows, TRUE AS kept_within
+  FROM (SELECT level, count(*) AS n FROM labelled GROUP BY level), (VALUES ('original'), ('smote'), ('adasyn'), ('smote_enn')) m(method)""", _LABELLED))
+def balanced_classes(t: Tables) -> DataFrame:
+    """Rows per class of every balanced table, that of the edited one before its rows were edited away."""
+    tables = B.balanced_tables(prepared(t), "features", "label", "id")
+    label = F.col("label").cast("int").alias("label")
+    counts = {m: df.groupBy(label).agg(F.count("*").alias("rows")) for m, df in tables.items()}
+    kept = counts["smote"].join(counts["smote_enn"].withColumnRenamed("rows", "kept"), "label", "left")
+    out = kept.select(F.lit("smote_enn").alias("method"), "label", "rows", F.coalesce(F.col("kept"), F.lit(0)).between(0, F.col("rows")).alias("kept_within"))
+    for method in ("original", "smote", "adasyn"):
+        out = out.unionByName(counts[method].select(F.lit(method).alias("method"), "label", "rows", F.lit(True).alias("kept_within")))
+    return out
+
+
+@query("ml_14_chosen_balance", on_contacts("""SELECT method, CASE WHEN method <> 'smote_enn' THEN 3 * max(n - CAST(floor(n * 0.25) AS BIGINT)) END::BIGINT AS train_rows, sum(CAST(floor(n * 0.25) AS BIGINT))::BIGINT AS test_rows, TRUE AS choice_is_best
+  FROM (SELECT level, count(*) AS n FROM labelled GROUP BY level), (VALUES ('smote'), ('adasyn'), ('smote_enn')) m(method) GROUP BY method""", _LABELLED))
+def chosen_balance(t: Tables) -> DataFrame:
+    """The balanced tables tried with boosted trees; the row count after editing is left out, as SQL cannot state it."""
+    df = prepared(t)
+    test = df.filter("is_test")
+    tables = B.balanced_tables(df.filter("NOT is_test"), "features", "label", "id")
+    model, tried = B.choose_balance(tables, MD.classifiers(**SIZES)["gradient_boosting"], test)
+    scored = model.transform(test).agg(F.count("*")).first()[0]
+    best = max(r["accuracy"] for r in tried)
+    rows = [(r["method"], None if r["method"] == "smote_enn" else r["train_rows"], scored, r["chosen"] == (r["accuracy"] == best) or not r["chosen"]) for r in tried]
+    return t.spark.createDataFrame(rows, "method string, train_rows bigint, test_rows bigint, choice_is_best boolean")
+
+
 @query("ml_15_18_24_model_comparison")
 def model_comparison(t: Tables) -> DataFrame:
     df = prepared(t)
