@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import feature as MF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leadmill import constants as K
 from leadmill.functions.expr import flag
 from leadmill.ml import balance as B
+from leadmill.ml import explain as EX
 from leadmill.ml import models as MD
 from leadmill.ml import prepare as P
 from leadmill.ml import select as SE
@@ -79,9 +80,27 @@ def tf_idf(t: Tables) -> DataFrame:
 
 @query("ml_06_column_transformer")
 def column_transformer(t: Tables) -> DataFrame:
+    """The whole vector of every contact: scaled numbers, one-hot categories and up to 300 weighted terms."""
     df = P.cap_categories(labelled(t), CATEGORIES, 30).na.fill("", ["headline"])
-    out = P.transformer(NUMBERS, CATEGORIES, "headline", terms=30).fit(df).transform(df)
-    return out.select("id", F.size(vector_to_array("features")).alias("width"))
+    out = P.transformer(NUMBERS, CATEGORIES, "headline", terms=300).fit(df).transform(df)
+    return out.select("id", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
+
+
+@query("ml_06_slots_filled", on_contacts("SELECT count(*) AS rows, count(*) AS one_value_each, count(*) AS unit_text, TRUE AS centred FROM contacts"))
+def slots_filled(t: Tables) -> DataFrame:
+    """Every category has one slot set, the terms have unit length or none, the scaled numbers the mean zero."""
+    df = P.cap_categories(labelled(t), CATEGORIES, 30).na.fill("", ["headline"])
+    stages = P.transformer(NUMBERS, CATEGORIES, "headline", terms=300).fit(df)
+    out = stages.transform(df)
+    whole, n = vector_to_array("features"), len(NUMBERS)
+    hot = sum(1 + len(labels) for labels in stages.stages[3].labelsArray)
+    ones = F.aggregate(F.slice("v", n + 1, hot), F.lit(0.0), lambda a, x: a + x)
+    length = F.aggregate(F.slice("v", n + hot + 1, 1000), F.lit(0.0), lambda a, x: a + x * x)
+    return out.select(whole.alias("v")).select("v", ones.alias("ones"), length.alias("length")).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("ones") == len(CATEGORIES)).alias("one_value_each"),
+        F.count_if((F.abs(F.col("length") - 1) < 1e-6) | (F.col("length") == 0)).alias("unit_text"),
+        *[F.abs(F.avg(F.get("v", F.lit(i)))).alias(f"m{i}") for i in range(n)]).select(
+        "rows", "one_value_each", "unit_text", (F.greatest(*[F.col(f"m{i}") for i in range(n)]) < 1e-6).alias("centred"))
 
 
 @query("ml_07_variance", on_contacts(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(var_samp({c}), 4) AS variance, var_samp({c}) > 0.01 AS kept FROM contacts" for c in NUMBERS)))
@@ -186,7 +205,8 @@ def model_comparison(t: Tables) -> DataFrame:
     tables = []
     for name, estimator in MD.classifiers(**SIZES).items():
         scored = estimator.fit(train).transform(test)
-        tables.append(MD.summary(MD.confusion(scored)).withColumn("model", F.lit(name)))
+        area = MD.weighted_area(MD.class_areas(scored.withColumn("_scores", vector_to_array("rawPrediction")), "label", "_scores"))
+        tables.append(MD.summary(MD.confusion(scored)).withColumn("model", F.lit(name)).withColumn("auc_weighted", area.scalar()))
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)
@@ -232,6 +252,17 @@ def grid_search(t: Tables) -> DataFrame:
     return rounded(t.spark.createDataFrame([tuple(r.values()) for r in tried], "phase int, setting string, f1 double, spread double"))
 
 
+SPACE = {"maxDepth": [2, 3, 5, 7], "stepSize": [0.05, 0.1, 0.2], "subsamplingRate": [0.8, 0.9, 1.0], "minInstancesPerNode": [1, 3, 5]}
+
+
+@query("ml_21_boosted_search")
+def boosted_search(t: Tables) -> DataFrame:
+    """All settings of a search over boosted trees for opened or not, with the rounds that early stopping left."""
+    df = prepared(t).filter("NOT is_test").withColumn("label", (F.col("label") > 0).cast("double"))
+    _, tried = MD.boosted_search(df, SPACE, first=4, rounds=40, k=2)
+    return rounded(t.spark.createDataFrame([tuple(r.values()) for r in tried], "phase int, setting string, rounds int, auc double, spread double"))
+
+
 _REPORT_SQL = """WITH m AS (SELECT quality AS label, CASE WHEN n_chars > 900 THEN 1 ELSE 0 END AS prediction, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1, 2),
 r AS (SELECT a.label, support, coalesce(hit / nullif(guessed, 0)::DOUBLE, 0) AS p, hit / support::DOUBLE AS r, hit FROM (SELECT label, sum(n)::BIGINT AS support, coalesce(sum(n) FILTER (WHERE label = prediction), 0)::BIGINT AS hit FROM m GROUP BY 1) a
   LEFT JOIN (SELECT prediction AS label, sum(n)::BIGINT AS guessed FROM m GROUP BY 1) g USING (label))"""
@@ -260,12 +291,70 @@ def auc(t: Tables) -> DataFrame:
     return rounded(MD.auc(t.labels.select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id"), "label", "score"))
 
 
+_STATUS = {"F": 0, "O": 1, "P": 2}
+_SCORES = ["o_totalprice", "-o_totalprice", "o_custkey % 50"]
+
+
+@query("ml_23_class_areas", "WITH long AS (" + " UNION ALL ".join(f"SELECT {c} AS class, o_orderstatus = '{s}' AS hit, CAST({_SCORES[c]} AS DOUBLE) AS s FROM orders" for s, c in _STATUS.items()) + """),
+ranked AS (SELECT class, hit, rank() OVER (PARTITION BY class ORDER BY s) + (count(*) OVER (PARTITION BY class, s) - 1) / 2.0 AS r FROM long),
+areas AS (SELECT class, count(*) FILTER (WHERE hit) AS rows, (sum(r) FILTER (WHERE hit) - count(*) FILTER (WHERE hit) * (count(*) FILTER (WHERE hit) + 1) / 2.0) / (count(*) FILTER (WHERE hit) * count(*) FILTER (WHERE NOT hit)) AS auc FROM ranked GROUP BY class)
+SELECT class, rows, round(auc, 6) AS auc, round(sum(auc * rows) OVER () / sum(rows) OVER (), 6) AS auc_weighted FROM areas""")
+def class_areas(t: Tables) -> DataFrame:
+    """Each order status against the rest, by one score per status, and their weighted mean."""
+    status = F.col("o_orderstatus")
+    label = F.when(status == "F", 0).when(status == "O", 1).when(status == "P", 2)
+    areas = MD.class_areas(t.orders.select(label.alias("label"), F.array(*[F.expr(f"CAST({s} AS DOUBLE)") for s in _SCORES]).alias("scores")), "label", "scores")
+    return rounded(areas.withColumn("auc_weighted", MD.weighted_area(areas).scalar()))
+
+
+@query("ml_26_permuted_columns", "WITH v AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity, l_extendedprice, l_discount FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) AS rows, count(DISTINCT id) AS ids, round(sum({c}), 2) AS total, round(max({c}), 4) AS largest, TRUE AS others_kept, TRUE AS unrelated FROM v" for c in ("l_quantity", "l_extendedprice", "l_discount")))
+def permuted_columns(t: Tables) -> DataFrame:
+    """A permuted column has the same values in other rows: it keeps its sum and loses its relation to itself."""
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    numbers = F.array(*[F.col(c).cast("double") for c in names])
+    rows = t.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), numbers.alias("v"), numbers.alias("was"))
+    moved = EX.permuted(rows, "v", "id", len(names))
+    own, before = F.get("v", F.col("column")), F.get("was", F.col("column"))
+    kept = F.forall(F.sequence(F.lit(0), F.lit(2)), lambda i: (i == F.col("column")) | (F.get("v", i) == F.get("was", i)))
+    return rounded(moved.groupBy(F.get(F.array(*map(F.lit, names)), F.col("column")).alias("feature")).agg(
+        F.count("*").alias("rows"), F.count_distinct("id").alias("ids"), F.round(F.sum(own), 2).alias("total"), F.max(own).alias("largest"), F.bool_and(kept).alias("others_kept"),
+        (F.abs(F.corr(own, before)) < 0.1).alias("unrelated")))
+
+
+@query("ml_26_permutation_importance")
+def permutation_importance(t: Tables) -> DataFrame:
+    """Accuracy that a forest loses with each feature permuted, over the test rows."""
+    df = prepared(t)
+    model = MD.classifiers(**SIZES)["random_forest"].fit(df.filter("NOT is_test"))
+    return rounded(EX.permutation_importance(model, df.filter("is_test"), NUMBERS))
+
+
 @query("ml_25_importance")
 def importance(t: Tables) -> DataFrame:
     model = MD.classifiers(**SIZES)["random_forest"].fit(prepared(t))
     return MD.importance(t.spark, NUMBERS, model.featureImportances.toArray())
 
 
+def _hot_sql(c: str) -> str:
+    return f"SELECT '{c}' AS \"column\", 'category' AS type, least(count(DISTINCT coalesce({c}, 'Unknown')), 31) + 1 AS slots, least(count(DISTINCT coalesce({c}, 'Unknown')), 31) AS named, TRUE AS in_range FROM contacts"
+
+
+@query("ml_25_32_slots", on_contacts(" UNION ALL ".join([f"SELECT '{c}' AS \"column\", 'number' AS type, 1 AS slots, 0 AS named, TRUE AS in_range" for c in NUMBERS] + [_hot_sql(c) for c in CATEGORIES])))
+def slot_importance(t: Tables) -> DataFrame:
+    """Importance per slot of a forest's vector, stored with the model, read back and summed per source column."""
+    df = P.cap_categories(labelled(t), CATEGORIES, 30)
+    preparation = P.transformer(NUMBERS, CATEGORIES).fit(df)
+    ready = preparation.transform(df)
+    forest = MD.classifiers(**SIZES)["random_forest"].fit(ready.select("label", "features"))
+    table = EX.importance_by_slot(EX.slots(preparation, ready), forest.featureImportances.toArray())
+    path = SK.fresh_folder(t.spark, "model")
+    MD.save(PipelineModel([*preparation.stages, forest]), path, table)
+    if MD.load(path).stages[-1].numFeatures != table.count():
+        raise ValueError("the stored model and its slots differ")
+    return MD.load_slots(t.spark, path).groupBy("column", "type").agg(F.count("*").alias("slots"), F.count("value").alias("named"), F.sum("importance").between(0, 1).alias("in_range"))
+
+
 @query("ml_26_contributions")
 def contributions(t: Tables) -> DataFrame:
     df = prepared(t)
