@@ -7,14 +7,13 @@ timer and survives lost executors.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from leadmill.operators import layers as L
 from leadmill.operators import sinks as SK
@@ -35,6 +34,11 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
+def on_disk(spark: SparkSession) -> None:
+    """State of the queries started from now on is kept on the executors' disks with a copy in the checkpoint, not in memory."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def run_available(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Processes all available input once and returns when it is done."""
     query = (df.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
@@ -84,11 +88,13 @@ def engagement_rate(events: DataFrame, window: str = "7 days", slide: str = "1 d
             .select(F.col("w.start").alias("start"), "opens", "events"))
 
 
-def first_contacts(events: DataFrame, key: str) -> DataFrame:
-    """The first record of each key, however long ago the key was seen before.
+def first_contacts(events: DataFrame, key: str, forget: str | None = None) -> DataFrame:
+    """The first record of each key.
 
-    The state holds one entry per key and never expires: a key that returns after any pause is not new again."""
-    return events.dropDuplicates([key])
+    Without ``forget`` however long ago the key was seen before: the state holds one entry per key and never expires, on
+    the executors' disks. With it a key leaves the state once the watermark has passed its first record by so long, and is new again."""
+    on_disk(events.sparkSession)
+    return events.withWatermark("ts", forget).dropDuplicatesWithinWatermark([key]) if forget else events.dropDuplicates([key])
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None) -> DataFrame:
@@ -99,29 +105,50 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None
 
 
 # --- alert cool-down -----------------------------------------------------------------
+class CoolDown(StatefulProcessor):
+    """Lets the first alert of a key through and then none within ``seconds``, in the order of event time.
+
+    Alerts may come in any order: each sets a timer at its time, the state store keeps the timers in order, and they fire
+    once the watermark has passed them. The only value kept is the time of the last alert that passed. A timer half a
+    second after the cool-down, where no alert can be, removes it again."""
+
+    def __init__(self, key: str, seconds: int):
+        self.key, self.seconds = key, seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.last = handle, handle.getValueState("last", "second bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        last = self.last.get()[0] if self.last.exists() else None
+        for chunk in rows:
+            for second in chunk["second"].unique().tolist():
+                if second * 1000 > passed and (last is None or second - last > self.seconds):
+                    self.handle.registerTimer(second * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        second, rest = divmod(expiredTimerInfo.getExpiryTimeInMs(), 1000)
+        last = self.last.get()[0] if self.last.exists() else None
+        if rest:
+            if last is not None and second - last >= self.seconds:
+                self.last.clear()
+        elif last is None or second - last > self.seconds:
+            self.last.update((second,))
+            self.handle.registerTimer((second + self.seconds) * 1000 + 500)
+            yield pd.DataFrame({self.key: [key[0]], "second": [second]})
+
+    def close(self) -> None:
+        pass
+
+
 def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
-    """Alerts let through per key, at most one within ``seconds``.
-
-    The state is one time per key and is dropped when the watermark is past the cool-down, since the next alert passes
-    anyway; within a batch the times of a key are handled as one array."""
-    def step(keys: tuple, batches, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        times = np.unique(np.concatenate([pdf["second"].to_numpy(np.int64) for pdf in batches]))
-        sent = []
-        while len(times):
-            times = times if last is None else times[np.searchsorted(times, last + seconds, "right"):]
-            if len(times):
-                last = int(times[0])
-                sent.append(last)
-        if last is not None:
-            state.update((last,))
-            state.setTimeoutTimestamp(max((last + seconds + 1) * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: [keys[0]] * len(sent), "second": pd.Series(sent, dtype="int64")})
+    """Alerts let through per key, at most one within ``seconds``, given once the watermark has passed them; alerts that come
+    more than ``late`` behind the newest are not counted.
 
+    A key costs one number and a timer per alert that may still pass, on the executors' disks; its alerts are read chunk
+    by chunk, so a key of any share of the alerts fits."""
+    on_disk(alerts.sparkSession)
     moments = alerts.withWatermark("ts", late).select(key, "ts", F.unix_seconds("ts").alias("second"))
     kind = dict(alerts.dtypes)[key]
-    return moments.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, second bigint", "last bigint", "append",
-                                                       GroupStateTimeout.EventTimeTimeout)
+    return moments.groupBy(key).transformWithStateInPandas(CoolDown(key, seconds), f"{key} {kind}, second bigint", "append", "eventTime")
