@@ -17,6 +17,7 @@ from leadmill.operators import kpi
 from leadmill.operators import layers as L
 from leadmill.operators import monitor as M
 from leadmill.operators import quality as Q
+from leadmill.operators import keyed as KY
 from leadmill.operators import sinks as SK
 from leadmill.plans.functions import (ACCOUNT_SQL, EMPLOYMENT_CTE, HOUR_SQL, ORGANIZATION_SQL, REVENUE_SQL, RESPONSE_SQL, SIZE_WORD_SQL, VALID_ORGANIZATION_CTE, _SERVICE_SQL,
                                       _any_sql, _calendar_sql, _flag_sql, _grouped_sql, _rhythm_sql, distance_sql)
@@ -480,9 +481,9 @@ def append(t: Tables) -> DataFrame:
 @query("snk_02_idempotent_append", "SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys FROM orders")
 def idempotent_append(t: Tables) -> DataFrame:
     path = SK.fresh_folder(t.spark, "orders")
-    for part in (t.orders.filter("o_orderkey % 2 = 0"), t.orders, t.orders):
-        SK.append_new(part, path, ["o_orderkey"])
-    return t.spark.read.parquet(path).agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("keys"))
+    for batch, part in (("even", t.orders.filter("o_orderkey % 2 = 0")), ("all", t.orders), ("all", t.orders), ("again", t.orders)):
+        KY.append_keyed(part, path, ["o_orderkey"], batch)
+    return KY.read_keyed(t.spark, path).agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("keys"))
 
 
 def _priced(t: Tables) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadmill import constants as K
 from leadmill.functions import dates as D
 from leadmill.functions import scores as S
+from leadmill.operators import keyed as KY
 from leadmill.operators import layers as L
 from leadmill.operators import sinks as SK
 from leadmill.plans.registry import AS_OF_SQL, query, sql_days
@@ -57,7 +58,7 @@ def incremental_silver(t: Tables) -> DataFrame:
     path, progress = _paths(t, "stream-silver")
     for restart in ("a", "b"):  # a second run from scratch finds every key in place
         jobs.incremental_silver(jobs.stream_table(t.spark, t.path, "events"), build, path, f"{progress}-{restart}")
-    return t.spark.read.parquet(path)
+    return KY.read_keyed(t.spark, path)
 
 
 @query("st_02_activity_windows", "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
@@ -78,14 +79,14 @@ def first_contacts(t: Tables) -> DataFrame:
 
 @query("st_04_gold_promotion", f"SELECT event_id AS id, {sql_days(AS_OF_SQL, 'ts')} AS lead_maturity_days FROM events WHERE ts <= {AS_OF_SQL} - INTERVAL 30 DAY AND value >= 30")
 def gold_promotion(t: Tables) -> DataFrame:
-    def step(df: DataFrame, _: int) -> None:
+    def step(df: DataFrame, n: int) -> None:
         silver = df.select(F.col("event_id").alias("id"), F.lit("x").alias("email"), F.lit(0).alias("engagement_level"),
                            F.col("ts").alias("timestamp_last_contact"), (F.col("value") / 100).alias("data_quality_score"))
-        jobs.promote(silver, path, K.AS_OF)
+        jobs.promote(silver, path, K.AS_OF, str(n))
 
     path, progress = _paths(t, "stream-gold")
     jobs.run_available(jobs.stream_table(t.spark, t.path, "events"), step, progress)
-    return t.spark.read.parquet(path).select("id", "lead_maturity_days")
+    return KY.read_keyed(t.spark, path).select("id", "lead_maturity_days")
 
 
 @query("st_05_alert_cool_down", """WITH RECURSIVE fired AS (SELECT DISTINCT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events WHERE event_type = 'error'),

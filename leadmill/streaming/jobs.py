@@ -7,6 +7,7 @@ timer and survives lost executors.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from leadmill.operators import keyed as KY
 from leadmill.operators import layers as L
-from leadmill.operators import sinks as SK
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,13 +50,15 @@ def run_available(df: DataFrame, batch: Callable[[DataFrame, int], None], checkp
 # --- incremental layers -------------------------------------------------------------
 def incremental_silver(events: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                        keys: Sequence[str] = ("id",)) -> None:
-    """Row-local features of new records, appended once per key: a replayed batch adds nothing."""
-    run_available(events, lambda df, _: SK.append_new(build(df), path, keys), checkpoint)
+    """Row-local features of new records, appended once per key to a keyed table: a replayed batch is not looked at again,
+    and one of another run adds nothing that is there."""
+    run = zlib.crc32(checkpoint.encode())
+    run_available(events, lambda df, n: KY.append_keyed(build(df), path, keys, f"{run}-{n}"), checkpoint)
 
 
-def promote(silver: DataFrame, path: str, as_of: datetime) -> None:
-    """Mature silver rows that gold lacks.  Maturity depends on the given time alone, so no state is kept."""
-    SK.append_new(L.gold_quality(L.mature(silver, as_of)), path, ["id"])
+def promote(silver: DataFrame, path: str, as_of: datetime, batch: str) -> None:
+    """Mature silver rows that the keyed gold table lacks.  Maturity depends on the given time alone, so no state is kept."""
+    KY.append_keyed(L.gold_quality(L.mature(silver, as_of)), path, ["id"], batch)
 
 
 # --- windows -----------------------------------------------------------------------
