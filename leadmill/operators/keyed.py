@@ -29,7 +29,7 @@ def _hash(keys: Sequence[str]) -> Column:
 
 
 def committed(spark: SparkSession, path: str) -> DataFrame | None:
-    """(batch, size): the batches that count, and the bits of their bitmaps."""
+    """(batch, size, added): the batches that count, the bits of their bitmaps and the rows they brought."""
     found = read_or_none(spark, f"{path}/batches")
     return None if found is None else found.withColumn("batch", F.col("batch").cast("string"))
 
@@ -58,14 +58,16 @@ def holding(spark: SparkSession, path: str, hashes: DataFrame) -> DataFrame | No
     return hit.filter(F.call_function("getbit", byte, (F.col("bit") % 8).cast("int")) == 1).select("prefix", "batch", "hash")
 
 
-def append_keyed(df: DataFrame, path: str, keys: Sequence[str], batch: str, order: Sequence[Column] = (), prefixes: int = PREFIXES) -> None:
-    """Appends the rows whose key the table lacks, one per key (of several the last in ``order``, by default a fixed one).
+def append_keyed(df: DataFrame, path: str, keys: Sequence[str], batch: str, order: Sequence[Column] = (), prefixes: int = PREFIXES) -> int:
+    """Appends the rows whose key the table lacks, one per key (of several the last in ``order``, by default a fixed one), and
+    gives their number, of a repeated batch that of its first run.
 
     ``batch`` names the input: a batch that was written before is not looked at again. ``prefixes`` must stay the same."""
     spark = df.sparkSession
     done = committed(spark, path)
-    if done is not None and done.filter(F.col("batch") == batch).count():
-        return
+    before = done.filter(F.col("batch") == batch).first() if done is not None else None
+    if before is not None:
+        return before["added"]
     rest = [F.col(c) for c in df.columns if c not in keys]
     fixed = [F.xxhash64(*rest), *rest] if rest else [F.lit(0)]
     once = latest_per_key(df, keys, order or fixed).withColumn("hash", _hash(keys)).withColumn("prefix", F.pmod("hash", F.lit(prefixes)).cast("int"))
@@ -89,5 +91,6 @@ def append_keyed(df: DataFrame, path: str, keys: Sequence[str], batch: str, orde
     place = F.pmod("hash", F.lit(size).cast("long"))
     bitmaps = named.groupBy("batch", "prefix", F.floor(place / PIECE).alias("piece")).agg(F.bitmap_construct_agg(place % PIECE).alias("bitmap"))
     bitmaps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/bits")
-    marker = spark.range(1).select(F.lit(size).cast("long").alias("size"), F.lit(batch).alias("batch"))
+    marker = spark.range(1).select(F.lit(size).cast("long").alias("size"), F.lit(count).cast("long").alias("added"), F.lit(batch).alias("batch"))
     marker.write.mode("append").partitionBy("batch").parquet(f"{path}/batches")
+    return count

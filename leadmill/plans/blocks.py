@@ -444,12 +444,37 @@ def three_phase_run(t: Tables) -> DataFrame:
         "id", "organization_employees", "seniority", "timestamp_created_hour", "country_seniority_interaction", "engagement_level")
 
 
+@query("f_19_model_ready", on_contacts(f"""SELECT level AS engagement_level, n - CAST(floor(n * 0.25) AS BIGINT) AS train_rows, CAST(floor(n * 0.25) AS BIGINT) AS test_rows,
+  least(50, 2 + (SELECT count(DISTINCT coalesce(seniority, {_MODE})) FROM contacts) + 1) AS features, TRUE AS same_width
+  FROM (SELECT CASE WHEN email_click_count > 0 THEN 2 WHEN email_open_count > 0 AND email_click_count = 0 THEN 1 ELSE 0 END AS level, count(*) AS n FROM contacts GROUP BY 1)"""))
+def model_ready(t: Tables) -> DataFrame:
+    """The third phase: selected features with label and split, counted per label."""
+    from pyspark.ml.functions import vector_to_array
+
+    from leadmill.operators.runs import model_ready, three_phase
+
+    df = t.contacts("id", "organization_employees", "seniority", "country", "timestamp_created", "email_open_count", "email_click_count")
+    ready = model_ready(three_phase(df, ["organization_employees"], ["seniority"]), ["organization_employees", "timestamp_created_hour"], ["seniority"], "engagement_level", "id")
+    width = F.size(vector_to_array("features"))
+    return ready.groupBy(F.col("engagement_level").cast("int").alias("engagement_level")).agg(
+        F.count_if(~F.col("is_test")).alias("train_rows"), F.count_if("is_test").alias("test_rows"), F.max(width).alias("features"), (F.min(width) == F.max(width)).alias("same_width"))
+
+
+_CREDITS = 2000
+
+
 @query("f_20_daily_run", on_contacts(f"""SELECT 'health' AS step, CAST(NULL AS BIGINT) AS rows, (epoch_us({AS_OF_SQL}) - epoch_us(max(timestamp_created))) / 3.6e9 <= 24 AS ok FROM contacts UNION ALL
-  SELECT 'gold', count(*), TRUE FROM silver WHERE timestamp_last_contact <= {AS_OF_SQL} - INTERVAL 30 DAY AND email IS NOT NULL AND data_quality_score >= 0.3 AND contact_key % 3 <> 0 UNION ALL
+  SELECT 'ingest', count(*), TRUE FROM contacts UNION ALL
+  SELECT 'enrich', least(50, greatest(0, {_CREDITS} - count(*) FILTER (WHERE enrichment_id IS NOT NULL AND date_trunc('month', enriched_at) = date_trunc('month', {AS_OF_SQL}))), count(*) FILTER (WHERE enrichment_id IS NULL)), TRUE FROM contacts UNION ALL
+  SELECT 'gold', count(*), TRUE FROM silver WHERE timestamp_last_contact <= {AS_OF_SQL} - INTERVAL 30 DAY AND email IS NOT NULL AND data_quality_score >= 0.3 UNION ALL
   SELECT 'retrain', NULL, (epoch_us({AS_OF_SQL}) - epoch_us(max(ts))) / 8.64e10 >= 7 FROM events WHERE event_type = 'signup'""", SILVER_CTE))
 def daily_run_steps(t: Tables) -> DataFrame:
+    """The ledger of one run that is started twice: the second start finds every step done."""
     from leadmill.operators.runs import daily_run
 
-    done = t.contacts("id", "contact_key").filter("contact_key % 3 = 0").select("id")
+    path = SK.fresh_folder(t.spark, "daily")
     registry = t.events.filter("event_type = 'signup'").select(F.col("ts").alias("created"))
-    return daily_run(t.contacts("id", "timestamp_created"), silver(t), done, registry, K.AS_OF)
+    leads = t.contacts("id", "timestamp_created", "enrichment_id", "enriched_at")
+    for _ in range(2):
+        out = daily_run(leads, silver(t), registry, K.AS_OF, path, "today", credits=_CREDITS)
+    return out.drop("run")
