@@ -1,214 +1,212 @@
-"""Cross-entropy difference: how much better a model of wanted text predicts a document than a model of all text.
+"""Cross-entropy difference: how much better a model of wanted text predicts a document than a model of any text.
 
-Both are bigram models over one shared vocabulary. A document's score is its mean loss per token under the target model
-less that under the background model, in nats; below zero it reads more like the target. The target here are documents
-labelled as of good quality and not toxic; the background are all documents. All counts cover the whole corpus.
+Both are bigram models over one shared vocabulary, the parts of a byte-level tokenizer, which spell every text, so that
+no word is unknown to either. The target are documents labelled as of good quality and not toxic. The background is
+matched to it: documents drawn by hash, with as many tokens as the target has, so that text which is neither more nor
+less like the target scores around zero. Both grow with the corpus, and nothing is cut.
 
-The vocabulary holds all words of the corpus, so counts of words and pairs are tables in the shared folder that grow
-with it. A pair's loss is ln(count of its first word + PRIOR) - ln(pair count + PRIOR * share of its second word): one
-part per word and one per pair. Both are joined to the documents by key; the ``HOT`` most frequent keys, which are
-bounded whatever the corpus, are broadcast and added up where the text is read, so no key brings many rows to one task.
-Words are named by 64-bit hashes.
+No document is scored by counts that it is part of: documents are dealt to two folds by the hash of their id, and each
+fold is scored by the models of the other.
+
+Counts of pairs are a table in the shared folder. The most frequent pairs, at most ``HOT`` whatever the corpus, are
+looked up where texts are read; all others are joined by key, so no key brings many rows to one task. Counts of single
+parts are as many as the vocabulary has.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.llm.common import stash
 from leadmill.llm.exact_dedup import member_positions, table_bits, with_possible
+from leadmill.llm.tokens import ByteLevel
 
-
-#: Names of words outside a limited vocabulary, and of the start of a text: mixed bits, so that pairs of them have names of their own.
-UNKNOWN, START = 0x5851F42D4C957F2D, 0x14057B7EF767814F
-#: A pair's probability is (count + PRIOR * single) / (count of the first + PRIOR).
+#: A pair's probability is (count + PRIOR * share of its second part) / (count of its first part + PRIOR).
 PRIOR = 64.0
-#: At most so many words, and so many pairs, are broadcast: those with at least 1/HOT of all tokens.
-HOT = 1 << 17
-#: Tokens whose pairs a task adds up at once, and words whose names a worker remembers before it starts anew.
-TOKENS, WORDS_KEPT = 1 << 20, 250_000
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
-
-
-class Names(dict):
-    """64-bit names of words; with ``known``, all others are one unknown word."""
-
-    def __init__(self, known: frozenset[bytes] | None = None):
-        self.known = known
-
-    def __missing__(self, word: bytes) -> int:
-        name = UNKNOWN
-        if self.known is None or word in self.known:
-            name = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        self[word] = name
-        return name
-
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all words of ``texts``: the name of the word before (or the start), the own name; and words per text."""
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        split = [words_of(text) for text in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        own = np.fromiter((name for words in split for name in map(self.__getitem__, words)), np.int64, int(sizes.sum()))
-        before = np.concatenate(([START], own))[:-1]
-        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-        return before, own, sizes
-
-
-def pair_names(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One name per pair, as ``PAIR`` gives it."""
-    w = second.view(np.uint64)
-    return first ^ ((w << np.uint64(21)) | (w >> np.uint64(43))).view(np.int64)
-
-
-PAIR = "first ^ (shiftleft(second, 21) | shiftrightunsigned(second, 43))"
-
-
-def known_words(docs: DataFrame, size: int) -> frozenset[bytes]:
-    """The ``size`` most frequent words of ``docs`` (text); of equals the first by code point."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-    top = (docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(size))
-    return frozenset(bytes(row[0]) for row in top.collect())
-
-
-def counted_pairs(docs: DataFrame, known: Broadcast | None) -> DataFrame:
-    """(first, second, n) of ``docs`` (text), added up per about ``TOKENS`` tokens of a task."""
-    def total(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        first, second = (np.concatenate(x) for x in zip(*parts))
-        _, at, n = np.unique(pair_names(first, second), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(first[at]), pa.array(second[at]), pa.array(n.astype(np.int64))], names=["first", "second", "n"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, parts, held = Names(known and known.value), [], 0
-        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
-            before, own, _ = names.of(batch.column(0).to_pylist())
-            parts.append((before, own))
-            held += len(own)
-            if held >= TOKENS:
-                yield total(parts)
-                parts, held = [], 0
-        if held:
-            yield total(parts)
-
-    return docs.select("text").mapInArrow(count, "first long, second long, n long")
-
-
-def models(wanted: DataFrame, rows: DataFrame, known: Broadcast | None) -> DataFrame:
-    """(key, n, a, b): what each word as first and each pair as a whole adds to the target loss and to the background
-    loss of a document that holds it, and its count in all documents."""
-    zero = F.lit(0).cast("long")
-    counted = (counted_pairs(rows, known).select("first", "second", zero.alias("t"), F.col("n").alias("u"))
-               .unionByName(counted_pairs(wanted, known).select("first", "second", F.col("n").alias("t"), zero.alias("u"))))
-    pairs = stash(counted.groupBy("first", "second").agg(F.sum("t").alias("t"), F.sum("u").alias("u")), "pairs")
-    sums = [F.sum(c).alias(c) for c in ("t", "u")]
-    words = stash(pairs.groupBy("second").agg(*sums, F.count("*").alias("kinds")), "words")
-    (tokens_t, tokens_u, size, kinds) = words.agg(F.sum("t"), F.sum("u"), F.count("*"), F.sum("kinds")).first()
-    size = len(known.value) + 2 if known else size + 2
-    share = words.select("second", "kinds", *[(PRIOR * (F.col(c) + 1) / F.lit((n or 0) + size)).alias(f"share_{c}") for c, n in (("t", tokens_t), ("u", tokens_u))])
-    # a word with many pairs is hot; there are at most HOT / 8 of them
-    hot = share.where(F.col("kinds") * (HOT // 8) >= (kinds or 0)).drop("kinds")
-    cold = share.where(F.col("kinds") * (HOT // 8) < (kinds or 0)).drop("kinds")
-    both = pairs.join(F.broadcast(hot), "second").unionByName(pairs.join(F.broadcast(hot.select("second")), "second", "left_anti").join(cold.hint("merge"), "second"))
-    loss = both.select(F.expr(PAIR).alias("key"), F.col("u").alias("n"), (-F.log(F.col("t") + F.col("share_t"))).alias("a"), (-F.log(F.col("u") + F.col("share_u"))).alias("b"))
-    first = (pairs.groupBy(F.col("first").alias("key")).agg(*sums)
-             .select("key", F.col("u").alias("n"), F.log(F.col("t") + F.lit(PRIOR)).alias("a"), F.log(F.col("u") + F.lit(PRIOR)).alias("b")))
-    return stash(loss.unionByName(first), "losses")
-
-
-def target_texts(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts of (doc_id, text) with a label of good quality that is not toxic, stored for two passes.
-
-    A Bloom table of the labelled ids, of bounded size, is broadcast first, so that of the corpus only texts that may be
-    labelled are exchanged."""
-    good = stash(labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-                 .select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "target-ids")
-    bits = table_bits(good.count())
-    short = F.xxhash64(F.col("doc_id").cast("long"))
-    seen = stash(member_positions(good.select(short.alias("short")), "short", bits), "target-bloom")
-    maybe = with_possible(rows.where("doc_id IS NOT NULL").withColumn("short", short), "short", seen, bits).where("possible")
-    return stash(maybe.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target-texts")
+#: Pairs with at least 1/HOT of all counted pairs are looked up in the tasks.
+HOT = 1 << 20
+#: Tokens whose pairs a task adds up at once, and distinct pairs that it holds.
+TOKENS, HELD = 1 << 20, 1 << 22
+SEED = 20240229
+#: The draw of a document for the background is a whole number below this.
+DRAWS = 1 << 30
+#: Texts that a worker holds the ids of at once.
+ROWS = 250
+#: Counts by model and fold.
+COUNTS = ["t0", "t1", "u0", "u1"]
+
+_ENCODERS: dict[str, ByteLevel] = {}
+
 
+def encoder(path: str) -> ByteLevel:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ByteLevel(path)
+    return _ENCODERS[path]
 
-def found(keys: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``keys`` in the sorted ``hot``, and which of them are there."""
-    at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
-    return at, hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
 
+def start_of(own: ByteLevel) -> int:
+    """The id that stands before a text: the one behind the vocabulary."""
+    return max(own.bytes) + 1
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             size: int | None = None, hot: int = HOT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, target_loss, background_loss, difference (per token, in nats).
 
-    Null and empty texts have no tokens and null losses; repeated rows are counted and scored each; without target rows
-    the target model is the even one; an empty table gives no rows; other columns are not read; texts of any length are
-    scored whole. ``size`` limits the vocabulary to the ``size`` - 2 most frequent words of the target; without it all
-    words of the corpus count."""
+def pairs_of(ids: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
+    """Names of all pairs of texts that lie end to end: the part before (or the start) and the part."""
+    before = np.concatenate(([start], ids))[:-1]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
+    return before << 32 | ids
+
+
+def fold_of(ident: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(SEED), ident), F.lit(2)).cast("int")
+
+
+def flagged(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text) with ``target``: labelled as good and not toxic. Of the corpus only rows that may be labelled, by a
+    Bloom table of bounded size, are exchanged."""
+    good = stash(labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
+                 .select(F.col("doc_id").cast("string").alias("named")).distinct(), "target-ids")
+    bits = table_bits(good.count())
+    named = F.col("doc_id").cast("string")
+    seen = stash(member_positions(good.select(F.xxhash64("named").alias("short")), "short", bits), "target-bloom")
+    known = with_possible(rows.where("doc_id IS NOT NULL").withColumn("short", F.xxhash64(named)), "short", seen, bits)
+    maybe = known.where("possible").withColumn("named", named).join(good.withColumn("target", F.lit(True)).hint("merge"), "named", "left")
+    rest = known.where("NOT possible").select("doc_id", "text").unionByName(rows.where("doc_id IS NULL")).withColumn("target", F.lit(False))
+    return maybe.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")).unionByName(rest)
+
+
+def tokenised(rows: DataFrame, path: str) -> DataFrame:
+    """(row, doc_id, target, fold, draw, n, ids): ids as little-endian unsigned 32-bit numbers."""
+    out = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("target", T.BooleanType()), T.StructField("n", T.LongType()),
+                        T.StructField("ids", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            ids = [np.array(own.ids(text or ""), np.uint32) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], names=out.names)
+
+    made = rows.select("doc_id", "target", "text").mapInArrow(run, out)
+    draw = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(DRAWS))
+    return stash(made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", fold_of(F.col("doc_id")).alias("fold"), draw.alias("draw"), "n", "ids"), "tokens")
+
+
+def counted(tokens: DataFrame, limit: float, path: str) -> DataFrame:
+    """(key, t0, t1, u0, u1): how often each pair occurs in target and background documents of either fold."""
+    def combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate(x) for x in zip(*parts))
+        own, place = np.unique(keys, return_inverse=True)
+        return own, np.stack([np.bincount(place, counts[:, c], len(own)) for c in range(4)], 1).astype(np.int64)
+
+    def batches_of(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, counts = combined(parts)
+        for at in range(0, len(keys), 1 << 16):
+            cut = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[cut]), *[pa.array(counts[cut, c]) for c in range(4)]], names=["key", *COUNTS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, parts, keys, kinds, size = start_of(encoder(path)), [], [], [], 0
+
+        def add() -> None:
+            nonlocal size
+            whole, of = np.concatenate(keys), np.concatenate(kinds)
+            own, place = np.unique(whole, return_inverse=True)
+            fold, target, drawn = of & 1, of & 2, of & 4
+            masks = [(fold == f) & (flag > 0) for flag in (target, drawn) for f in (0, 1)]
+            parts.append((own, np.stack([np.bincount(place[m], minlength=len(own)) for m in masks], 1)))
+            keys.clear()
+            kinds.clear()
+            size = 0
+
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            fold, target, drawn, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            ids = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
+            keys.append(pairs_of(ids, sizes, start))
+            kinds.append(np.repeat(fold.astype(np.int8) | target.astype(np.int8) << 1 | drawn.astype(np.int8) << 2, sizes))
+            size += len(ids)
+            if size >= TOKENS:
+                add()
+                if sum(len(p[0]) for p in parts) > HELD:
+                    parts = [combined(parts)]
+                    if len(parts[0][0]) > HELD // 2:
+                        yield from batches_of(parts)
+                        parts = []
+        if size:
+            add()
+        if parts:
+            yield from batches_of(parts)
+
+    drawn = F.col("draw") < F.lit(limit)
+    taken = tokens.where(F.col("target") | drawn).select("fold", "target", drawn.alias("drawn"), "n", "ids")
+    return stash(taken.mapInArrow(run, "key long, " + ", ".join(f"{c} long" for c in COUNTS)).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS]), "pairs")
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, target_loss, background_loss, difference (per token, in nats; below
+    zero a document reads more like the target than like other text).
+
+    Null and empty texts have no tokens and null losses; repeated rows are counted and scored each, rows of one id in one
+    fold; a model without documents is the even one; an empty table gives no rows; other columns are not read; texts of
+    any length are scored whole."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    wanted = target_texts(rows, labels)
-    context = docs.sparkSession.sparkContext
-    known = None if size is None else context.broadcast(known_words(wanted, size - 2))
-    losses = models(wanted, rows, known)
-    # the words' counts and the pairs' counts add up to all tokens each, so 2 * hot keys are the most there can be
-    limit = (losses.agg(F.sum("n")).first()[0] or 0) / 2 / hot
-    top = losses.where(F.col("n") >= limit).orderBy("key").toArrow()
-    shared = context.broadcast(tuple(top[c].to_numpy() for c in ("key", "a", "b")))
-    kind = docs.schema[id_col].dataType
-    out = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", kind), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
-                        T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType())])
-    step = 500
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, (hot_keys, hot_a, hot_b) = Names(known and known.value), shared.value
-        for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
-            before, own, sizes = names.of(batch.column(2).to_pylist())
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            a, b, cold = np.zeros(len(sizes)), np.zeros(len(sizes)), []
-            for keys in (before, pair_names(before, own)):
-                at, is_hot = found(keys, hot_keys)
-                a += np.bincount(of[is_hot], hot_a[at[is_hot]], len(sizes))
-                b += np.bincount(of[is_hot], hot_b[at[is_hot]], len(sizes))
-                cold.append((of[~is_hot], keys[~is_hot]))
-            idents = batch.column(0)
-            # one row with all tokens and what the hot keys add; its own number as key only spreads these rows
-            yield pa.RecordBatch.from_arrays([idents, batch.column(1), idents, pa.array(sizes), pa.array(a), pa.array(b)], names=out.names)
-            texts, keys = (np.concatenate(x) for x in zip(*cold))
-            # equal keys of a text count together
-            order = np.lexsort((keys, texts))
-            texts, keys = texts[order], keys[order]
-            new = np.flatnonzero(np.concatenate(([True], (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1])))) if len(keys) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(keys)))
-            for cut in range(0, len(new), 1 << 16):
-                part = new[cut:cut + (1 << 16)]
-                none = pa.nulls(len(part), batch.column(1).type)
-                empty = pa.nulls(len(part), pa.float64())
-                yield pa.RecordBatch.from_arrays([idents.take(pa.array(texts[part])), none, pa.array(keys[part]), pa.array(times[cut:cut + (1 << 16)]), empty, empty], names=out.names)
-
-    pieces = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(spread, out)
-    part = losses.select("key", F.col("a").alias("x"), F.col("b").alias("y")).hint("merge")
-    whole = F.col("a").isNotNull()
-    scored = (pieces.join(part, "key", "left").groupBy("row")
-              .agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum(F.when(whole, F.col("n"))).alias("n_tokens"),
-                   *[F.sum(F.when(whole, F.col(c)).otherwise(F.col("n") * F.col(x))).alias(c) for c, x in (("a", "x"), ("b", "y"))]))
-    mean = lambda c: F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens"))
-    return (scored.select("doc_id", "n_tokens", mean("a").alias("target_loss"), mean("b").alias("background_loss"))
+    tokens = tokenised(flagged(rows, labels), path)
+    size = start_of(encoder(path)) + 1
+    sums = tokens.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("target"), F.col("n"))).alias("target")).first()
+    pairs = counted(tokens, DRAWS * (sums["target"] or 0) / max(sums["all"] or 0, 1), path)
+
+    def singles(part: Column) -> np.ndarray:
+        """Counts per part of the vocabulary: by model and fold."""
+        found = pairs.groupBy(part.alias("id")).agg(*[F.sum(c).alias(c) for c in COUNTS]).toArrow()  # a row per part at most
+        out = np.zeros((4, size))
+        out[:, found["id"].to_numpy()] = [found[c].to_numpy() for c in COUNTS]
+        return out
+
+    firsts, seconds = singles(F.shiftright("key", 32)), singles(F.col("key").bitwiseAND(F.lit((1 << 32) - 1)))
+    shares = PRIOR * (seconds + 1) / (seconds.sum(1, keepdims=True) + size)
+    least = (pairs.agg(F.sum(F.col("t0") + F.col("t1") + F.col("u0") + F.col("u1"))).first()[0] or 0) / hot
+    total = F.col("t0") + F.col("t1") + F.col("u0") + F.col("u1")
+    top = pairs.where(total >= least).orderBy("key").toArrow()  # at most ``hot`` rows
+    sent = spark.sparkContext.broadcast((firsts, shares, top["key"].to_numpy(), np.stack([top[c].to_numpy() for c in COUNTS]).astype(np.int64)))
+    rare_type = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("times", "t", "u")]]))
+    out = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("a", "b")], T.StructField("rare", rare_type)])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, shares, keys, counts = sent.value
+        start = size - 1
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            sizes, n = batch.column(2).to_numpy(), batch.num_rows
+            own = pairs_of(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).astype(np.int64), sizes, start)
+            text = np.repeat(np.arange(n), sizes)
+            order = np.lexsort((own, text))
+            own, text = own[order], text[order]
+            new = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])))) if len(own) else np.zeros(0, np.int64)
+            own, text, times = own[new], text[new], np.diff(np.append(new, len(own)))
+            other = 1 - batch.column(1).to_numpy()[text]  # the models of the other fold
+            spot = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+            hit = keys[spot] == own if len(keys) else np.zeros(len(own), bool)
+            sums, prior = [], []
+            for model in (0, 2):
+                share = shares[model + other, own & 0xFFFFFFFF]
+                seen = np.where(hit, counts[model + other, spot], 0) if len(keys) else np.zeros(len(own))
+                loss = np.log(firsts[model + other, own >> 32] + PRIOR) - np.where(hit, np.log(seen + share), 0)
+                sums.append(np.bincount(text, times * loss, n))
+                prior.append(share)
+            rare = pa.StructArray.from_arrays([pa.array(own[~hit]), *[pa.array(x[~hit].astype(np.float64)) for x in (times, *prior)]], names=["key", "times", "t", "u"])
+            ends = np.concatenate(([0], np.cumsum(np.bincount(text[~hit], minlength=n))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(s) for s in sums], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)], names=out.names)
+
+    scored = stash(tokens.select("row", "fold", "n", "ids").mapInArrow(score, out), "scores")
+    asked = scored.select("row", F.inline("rare")).join(tokens.select("row", "fold"), "row")
+    seen = asked.join(pairs.where(total < least), "key", "left")
+    theirs = lambda m: F.coalesce(F.when(F.col("fold") == 0, F.col(f"{m}1")).otherwise(F.col(f"{m}0")), F.lit(0))
+    rest = seen.groupBy("row").agg(*[F.sum(-F.col("times") * F.log(theirs(m) + F.col(m))).alias(f"rare_{m}") for m in ("t", "u")])
+    mean = lambda own, more: F.when(F.col("n") > 0, (F.col(own) + F.coalesce(F.col(more), F.lit(0.0))) / F.col("n"))
+    whole = tokens.select("row", "doc_id", "n").join(scored.drop("rare"), "row").join(rest, "row", "left")
+    return (whole.select("doc_id", F.col("n").alias("n_tokens"), mean("a", "rare_t").alias("target_loss"), mean("b", "rare_u").alias("background_loss"))
             .withColumn("difference", F.col("target_loss") - F.col("background_loss")))

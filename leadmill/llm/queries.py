@@ -39,7 +39,7 @@ def op5_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
-    return cross_entropy.cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return cross_entropy.cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from leadmill.llm import cross_entropy, language_ppm, quality_rules, toxicity_chain
 from leadmill.llm.common import table as read
@@ -151,64 +153,88 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity_chain.toxicity(table(spark, []), labels).count() == 0
 
 
-def test_cross_entropy_by_hand(spark):
-    docs = [(1, "a b a"), (2, "a c"), (3, None), (4, "zzz B"), (1, "a b a")]
-    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, 1, 1)], "doc_id long, quality int, toxic int")
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(frame, labels, size=4).collect()}
-    numbers = {"a": 2, "b": 3}
-
-    def pairs(text):
-        own = [numbers.get(w, 0) for w in (text or "").lower().split()]
-        return list(zip([1, *own], own))
-
-    def loss(texts):
-        counts = Counter(p for t in texts for p in pairs(t))
-        total = sum(counts.values())
-        single = lambda w: (sum(c for p, c in counts.items() if p[1] == w) + 1) / (total + 4)
-        before = lambda h: sum(c for p, c in counts.items() if p[0] == h)
-        return lambda p: -math.log((counts[p] + cross_entropy.PRIOR * single(p[1])) / (before(p[0]) + cross_entropy.PRIOR))
-    target, usual = loss([t for i, t in docs if i == 1]), loss([t for _, t in docs])
-    for i, text in docs:
-        own = pairs(text)
-        assert got[i].n_tokens == len(own)
-        if own:
-            assert got[i].target_loss == pytest.approx(np.mean([target(p) for p in own]), rel=1e-5)
-            assert got[i].background_loss == pytest.approx(np.mean([usual(p) for p in own]), rel=1e-5)
-            assert got[i].difference == pytest.approx(got[i].target_loss - got[i].background_loss)
-        else:
-            assert got[i].target_loss is None and got[i].difference is None
-
+BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
-def test_cross_entropy_of_awkward_rows(spark):
-    rows, labels = awkward(), spark.createDataFrame([(0, 1, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    got = cross_entropy.cross_entropy_difference(table(spark, rows), labels, size=64).collect()
-    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
-    assert len(cross_entropy.cross_entropy_difference(table(spark, rows), labels.where("false")).collect()) == len(rows)
-    assert cross_entropy.cross_entropy_difference(table(spark, []), labels).count() == 0
 
+def losses_by_hand(spark, docs, labels):
+    """{row: (n_tokens, target_loss, background_loss)} by the rule as written, with plain counters."""
+    own, folded = cross_entropy.encoder(BYTE_PAIRS), {}
+    ids = sorted({i for i, _ in docs if i is not None})
+    frame = spark.createDataFrame([(i,) for i in [*ids, None]], "doc_id long")
+    for r in frame.select("doc_id", cross_entropy.fold_of(F.col("doc_id")).alias("f"), F.pmod(F.xxhash64(F.lit(cross_entropy.SEED + 1), "doc_id"), F.lit(cross_entropy.DRAWS)).alias("d")).collect():
+        folded[r.doc_id] = r.f, r.d
+    start, size = cross_entropy.start_of(own), cross_entropy.start_of(own) + 1
+    pairs = [list(zip([start, *x], x)) for x in (own.ids(t or "") for _, t in docs)]
+    wanted = {r.doc_id for r in labels.collect() if r.quality == 1 and not r.toxic and r.doc_id is not None}
+    target = [i in wanted for i, _ in docs]
+    rate = sum(len(p) for p, t in zip(pairs, target) if t) / max(1, sum(map(len, pairs)))
+    drawn = [folded[i][1] < cross_entropy.DRAWS * rate for i, _ in docs]
 
-def test_cross_entropy_counts_every_word(spark):
-    """5,000 words of equal count, far more than any fixed list: a rare wanted word and pair move the score."""
-    texts = [(n, " ".join(f"w{n * 10 + k}" for k in range(10))) for n in range(500)]
-    docs = [*texts, (500, "w0 w1 w2"), (501, "w4990 w4991 w4992"), (502, "w1 w0 never")]
-    labels = spark.createDataFrame([(n, 1, 0) for n in range(250)], "doc_id long, quality int, toxic int")
-    pairs = {i: list(zip(["<start>", *t.split()], t.split())) for i, t in docs}
-
-    def model(ids):
-        counts = Counter(p for i in ids for p in pairs[i])
+    def model(fold, taken):
+        counts = Counter(p for (i, _), own, t in zip(docs, pairs, taken) if t and folded[i][0] == fold for p in own)
         firsts, seconds = Counter(), Counter()
         for (h, w), c in counts.items():
             firsts[h] += c
             seconds[w] += c
-        size = len({w for own in pairs.values() for _, w in own}) + 2
         prior, total = cross_entropy.PRIOR, sum(counts.values())
         return lambda p: -math.log((counts[p] + prior * (seconds[p[1]] + 1) / (total + size)) / (firsts[p[0]] + prior))
-    target, usual = model(range(250)), model(pairs)
-    for hot in (cross_entropy.HOT, 4):
-        got = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(spark.createDataFrame(docs, "doc_id long, text string"), labels, hot=hot).collect()}
-        for i, own in pairs.items():
-            assert got[i].n_tokens == len(own)
-            assert got[i].target_loss == pytest.approx(np.mean([target(p) for p in own]), rel=1e-9)
-            assert got[i].background_loss == pytest.approx(np.mean([usual(p) for p in own]), rel=1e-9)
-        assert got[500].difference < got[501].difference - 0.05
+
+    models = [[model(f, taken) for f in (0, 1)] for taken in (target, drawn)]
+    return [(i, len(p), *[np.mean([m[1 - folded[i][0]](x) for x in p]) if p else None for m in models]) for (i, _), p in zip(docs, pairs)]
+
+
+def same_losses(got, want):
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], *[x or 0 for x in r[2:4]])
+    got, want = sorted((tuple(r)[:4] for r in got), key=key), sorted(want, key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    for g, w in zip(got, want):
+        assert g[2:] == pytest.approx(w[2:], rel=1e-9) if w[1] else g[2:] == (None, None)
+
+
+@pytest.mark.parametrize("hot", [cross_entropy.HOT, 4])
+def test_cross_entropy_by_hand(spark, hot):
+    """Awkward rows, repeats and very long texts beside plain counters; with few hot pairs nearly all are joined by key."""
+    docs = [(r[0], r[1]) for r in awkward()] + [(1, "a b a"), (900, "zzz B"), (1, "a b a")]
+    labels = spark.createDataFrame([(n, 1, 0) for n in range(0, 12, 2)] + [(1, 0, 0), (25, 1, None), (29, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, target string, n long")
+    got = cross_entropy.cross_entropy_difference(frame, labels, BYTE_PAIRS, hot=hot).collect()
+    same_losses(got, losses_by_hand(spark, docs, labels))
+    assert all(r.difference is None if not r.n_tokens else r.difference == pytest.approx(r.target_loss - r.background_loss) for r in got)
+
+
+def test_cross_entropy_without_target_or_rows(spark):
+    rows, labels = awkward(), spark.createDataFrame([(0, 1, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    even = cross_entropy.cross_entropy_difference(table(spark, rows), labels.where("false"), BYTE_PAIRS).collect()
+    assert len(even) == len(rows) and all(abs(r.difference) < 1e-9 for r in even if r.n_tokens)
+    assert cross_entropy.cross_entropy_difference(table(spark, []), labels, BYTE_PAIRS).count() == 0
+    named = spark.createDataFrame([("a", "x y z"), ("b", "x y"), (None, "q")], "doc_id string, text string")
+    own = spark.createDataFrame([("a", 1, 0)], "doc_id string, quality int, toxic int")
+    assert cross_entropy.cross_entropy_difference(named, own, BYTE_PAIRS).count() == 3
+
+
+def test_cross_entropy_tells_likeness_not_membership(spark):
+    """A third of the rows are of the wanted kind, and half of these are labelled: those without a label score like those
+    with one, far below the other kind, and a labelled row of the other kind is not below its like."""
+    rng = random.Random(4)
+    kinds = [[f"{a}{b}" for a in half for b in ("an", "el", "or", "ist", "um")] for half in ("bdfgk", "lmnprs")]
+    docs = [(n, " ".join(rng.choice(kinds[n % 3 != 0]) for _ in range(120))) for n in range(600)]
+    wanted = [n for n in range(0, 600, 3) if n % 2]
+    strays = list(range(1, 60, 6))
+    labels = spark.createDataFrame([(n, 1, 0) for n in [*wanted, *strays]], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.difference for r in cross_entropy.cross_entropy_difference(spark.createDataFrame(docs, "doc_id long, text string"), labels, BYTE_PAIRS).collect()}
+    mean = lambda own: float(np.mean([got[n] for n in own]))
+    inside, outside = mean(wanted), mean([n for n in range(0, 600, 3) if n % 2 == 0])
+    assert inside < 0 and outside < 0 and abs(inside - outside) < 0.05
+    others = [n for n in range(600) if n % 3 and n not in strays]
+    assert mean(others) > 0.1 and abs(mean(strays) - mean(others)) < 0.1
+
+
+def test_cross_entropy_on_given_rows(spark):
+    """Rows without a label are good and bad ones like the labelled: the median row of either is as near to the target, and
+    as many are below zero; rows of low quality are far off."""
+    documents, labels = read(spark, FOLDER, "documents"), read(spark, FOLDER, "labels")
+    got = cross_entropy.cross_entropy_difference(documents, labels, BYTE_PAIRS).join(labels, "doc_id", "left").toPandas()
+    got = got[got.n_tokens >= 50]
+    unknown, good, bad = got[got.quality.isna()].difference, got[(got.quality == 1) & (got.toxic != 1)].difference, got[got.quality == 0].difference
+    assert abs(unknown.median() - good.median()) < 0.1 and abs((unknown < 0).mean() - (good < 0).mean()) < 0.25
+    assert (unknown < 0).mean() > 0.5 and bad.median() > 1
