@@ -3,7 +3,8 @@
 Labelled page outcomes (bad or not) are counted per host, registered domain and suffix. The rate of a suffix is shrunk
 towards the rate of all pages, that of a domain towards its suffix and that of a host towards its domain, each through a
 beta-binomial prior whose strength is estimated from the spread of that level (method of moments). A host is blocked
-when the lower bound of its posterior bad rate reaches ``max_bad``; explicit rules come before that.
+when the lower bound of its posterior bad rate reaches ``max_bad``, or ``factor`` times the rate of all pages if that is
+less; explicit rules come before that.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 #: Suffixes of two labels under which names are registered; all others are taken to have one.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx",
                       "com.tr", "gov.uk", "net.au", "or.jp", "org.au", "org.uk")
-MAX_BAD = 0.5
+MAX_BAD, FACTOR = 0.5, 1.5
 Z = 1.645
+#: The path segment that names a document: digits, up to the segment's end or a file's ending.
+NUMBER = r"/(\d{1,18})(?:[/.]|$)"
 #: Bounds of the share of variance between the members of a level; 1 / share - 1 is the prior's weight in pages.
 LEAST_SPREAD, MOST_SPREAD = 0.001, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,8 +38,9 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def page_number(path: Column) -> Column:
-    """The first path segment that starts with digits, as a number: it names the document that the page was made of."""
-    return F.regexp_extract(path, r"/(\d{1,18})", 1).try_cast("bigint")
+    """The first path segment of digits alone, but for a file's ending, as a number: it names the document that the page was
+    made of."""
+    return F.regexp_extract(path, NUMBER, 1).try_cast("bigint")
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> tuple[Column, Column]:
@@ -75,7 +79,7 @@ def shrunk(level: DataFrame) -> DataFrame:
 
 
 def host_rates(hosts: DataFrame, z: float = Z) -> DataFrame:
-    """Adds rate and lower ``bound`` of the bad rate to stored (host, domain, suffix, pages, labelled, bad)."""
+    """Adds rate, lower ``bound`` of the bad rate and the rate of ``all`` pages to stored (host, domain, suffix, pages, labelled, bad)."""
     sums = [F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.count("*").alias("members")]
     domains = stash(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
     suffixes = stash(domains.groupBy("suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.count("*").alias("members")), "suffixes")
@@ -87,11 +91,11 @@ def host_rates(hosts: DataFrame, z: float = Z) -> DataFrame:
     facts = stash(middle.select("domain", F.col("rate").alias("mean"), F.col("members").alias("children")), "domain-rates")
     low = shrunk(stash(join_facts(hosts, facts, "domain", "children").drop("children"), "host-means"))
     deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("labelled") + F.col("weight") + 1))
-    return low.withColumn("bound", F.greatest(F.lit(0.0), F.col("rate") - F.lit(z) * deviation))
+    return low.withColumn("bound", F.greatest(F.lit(0.0), F.col("rate") - F.lit(z) * deviation)).withColumn("all", F.lit(mean))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               rules: Sequence[tuple[str, str, str]] = RULES, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
+               rules: Sequence[tuple[str, str, str]] = RULES, max_bad: float = MAX_BAD, factor: float = FACTOR, z: float = Z) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, labelled, bad, bad_bound.
 
     A page's outcome is the label of the document whose number its path holds: bad if of low quality or toxic. Null urls
@@ -103,15 +107,15 @@ def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0))
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("number")).agg(bad.cast("long").alias("was_bad"))
     rows = stash(parts.withColumn("number", page_number(F.col("path"))), "urls")
-    counted = (rows.groupBy("host", "number").agg(F.count("*").alias("pages")).join(known, "number", "left")
-               .groupBy("host").agg(F.sum("pages").alias("pages"),
-                                    F.coalesce(F.sum(F.when(F.col("was_bad").isNotNull(), F.col("pages"))), F.lit(0)).alias("labelled"),
-                                    F.coalesce(F.sum(F.col("was_bad") * F.col("pages")), F.lit(0)).alias("bad")))
+    numbered = rows.where("number IS NOT NULL").groupBy("host", "number").agg(F.count("*").alias("pages")).join(known.where("was_bad IS NOT NULL"), "number")
+    found = numbered.select("host", F.lit(0).cast("long").alias("pages"), F.col("pages").alias("labelled"), (F.col("was_bad") * F.col("pages")).alias("bad"))
+    every = rows.groupBy("host").agg(F.count("*").alias("pages")).select("host", "pages", *[F.lit(0).cast("long").alias(c) for c in ("labelled", "bad")])
+    counted = found.unionByName(every).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "bad")])
     domain, suffix = domain_and_suffix(F.col("host"))
     hosts = stash(counted.withColumns({"domain": domain, "suffix": suffix}), "hosts")
-    rated = stash(host_rates(hosts, z).select("host", "pages", "labelled", "bad", "bound"), "host-rates")
+    rated = stash(host_rates(hosts, z).select("host", "pages", "labelled", "bad", "bound", "all"), "host-rates")
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    own = F.when(F.col("bound") >= max_bad, "block").otherwise("allow")
+    own = F.when(F.col("bound") >= F.least(F.lit(max_bad), factor * F.col("all")), "block").otherwise("allow")
     return join_facts(rows.drop("number"), rated, "host", "pages").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(says, own).alias("verdict"), "labelled", "bad",
         F.round("bound", 6).alias("bad_bound"))
@@ -132,7 +136,7 @@ p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}'
 known AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END) AS bad
           FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 c AS (SELECT host, count(known.bad) AS n, coalesce(sum(known.bad), 0) AS k, regexp_replace(host, '^[^@]*@|:[0-9]*$', '', 'g') AS bare
-      FROM p LEFT JOIN known ON known.doc_id = TRY_CAST(regexp_extract(path, '/(\d{{1,18}})', 1) AS BIGINT) GROUP BY host),
+      FROM p LEFT JOIN known ON known.doc_id = TRY_CAST(regexp_extract(path, '{NUMBER}', 1) AS BIGINT) GROUP BY host),
 s AS (SELECT *, string_split(bare, '.') AS ls, regexp_matches(bare, '^[0-9.]+$|^\[') AS num FROM c),
 t AS (SELECT *, array_to_string(ls[-2:], '.') IN ({two}) AS two FROM s),
 h AS (SELECT host, n, k, CASE WHEN num THEN bare WHEN two THEN array_to_string(ls[-3:], '.') ELSE array_to_string(ls[-2:], '.') END AS domain,
@@ -143,7 +147,7 @@ d0 AS (SELECT h.domain, suffix, sum(h.n) AS n, sum(h.k) AS k, any_value(s1.rate)
 d1 AS ({level("d0")}),
 h0 AS (SELECT host, h.n, h.k, d1.rate AS mean FROM h JOIN d1 USING (domain)), h1 AS ({level("h0")}),
 b AS (SELECT host, n, k, greatest(0, rate - {Z} * sqrt(rate * (1 - rate) / (n + 1 / rho))) AS bound FROM h1)
-SELECT page_id, host, path, CASE {case(0)} END AS rule, coalesce(CASE {case(1)} END, CASE WHEN bound >= {MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict,
+SELECT page_id, host, path, CASE {case(0)} END AS rule, coalesce(CASE {case(1)} END, CASE WHEN bound >= least({MAX_BAD}, {FACTOR} * (SELECT mean FROM m)) THEN 'block' ELSE 'allow' END) AS verdict,
   CAST(n AS BIGINT) AS labelled, CAST(k AS BIGINT) AS bad, round(bound, 6) AS bad_bound FROM p JOIN b USING (host)"""
 
 

@@ -140,6 +140,25 @@ def test_domains(spark, host, domain, suffix):
     assert tuple(df.select(*host_reputation.domain_and_suffix(F.col("h"))).first()) == (domain, suffix)
 
 
+@pytest.mark.parametrize("path, number", [("/de/39547.html", 39547), ("/en/7", 7), ("/2024-news/5/", 5), ("/2024-news", None), ("/fr/176663/", 176663), ("/a1", None), ("", None)])
+def test_page_numbers(spark, path, number):
+    assert spark.createDataFrame([(path,)], "p string").select(host_reputation.page_number(F.col("p"))).first()[0] == number
+
+
+def test_bad_hosts_are_told_from_good_ones(spark):
+    """30 hosts at a bad rate of one in ten and 10 at six in ten, 40 labelled pages each, which no bound was set by: all but
+    one of the bad hosts at most pass, and no good one is blocked; hosts that do not differ are all let through."""
+    import random
+
+    rng = random.Random(11)
+    for rates, least, most in (([0.1] * 30 + [0.6] * 10, 9, 0), ([0.25] * 40, 0, 0)):
+        pages = [(h * 100 + n, f"http://h{h}.site{h}.{'com' if h % 2 else 'io'}/{h * 100 + n}") for h in range(40) for n in range(40)]
+        labels = [(i, int(rng.random() >= rates[i // 100]), 0) for i, _ in pages]
+        got = judged(spark, spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+        blocked = {int(r.host[1:].split(".")[0]) for r in got.where("verdict = 'block'").select("host").distinct().collect()}
+        assert sum(h >= 30 for h in blocked if len(set(rates)) > 1) >= least and sum(h < 30 or len(set(rates)) == 1 for h in blocked) <= most
+
+
 def awkward_hosts(spark):
     """A bad host of a good domain, a host without labels in a bad domain, nulls and repeats."""
     rows = [(n, f"http://spam.good.com/en/{n}") for n in range(60)] + [(100 + n, f"https://www{n % 5}.good.com/de/x/{100 + n}?a") for n in range(80)]
