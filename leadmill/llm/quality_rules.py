@@ -5,7 +5,8 @@ Line rules, each on a line with at least one word:
 * punctuation: it must end in a terminal mark (closing quotes and brackets aside) or have one after every 25th word on
   average, and in a line of 8 words or more no more than half of the words may have one;
 * navigation: at most a tenth as many separators and symbols as words;
-* boilerplate: none of the fixed phrases of licences, cookie notices and site furniture.
+* boilerplate: in a line of at most 30 words, none of the fixed phrases of licences, cookie notices and site furniture;
+  a longer line is prose that may mention them.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ MAX_REPEATED = 50
 MAX_LOST = 50
 MANY_MARKS = 8
 PROSE_WORDS = 25
+PHRASE_WORDS = 30
 #: Texts that a worker holds results of at once.
 ROWS = 250
 
@@ -54,7 +56,7 @@ def line_fails(line: str) -> tuple[str | None, int]:
         return "punctuation", n
     if 10 * sum(line.count(c) for c in SYMBOLS + SEPARATORS) > n:
         return "navigation", n
-    if _PHRASES.search(line.lower()):
+    if n <= PHRASE_WORDS and _PHRASES.search(line.lower()):
         return "boilerplate", n
     return None, n
 
@@ -125,7 +127,7 @@ def _sql() -> str:
           AND {PROSE_WORDS} * {count(ends, "l")} < {words})
       OR ({words} >= {MANY_MARKS} AND 2 * {count(ends, "l")} > {words})
       OR 10 * {count("[#*$%&|<>»›•·]", "l")} > {words}
-      OR regexp_matches(lower(l), '{"|".join(PHRASES)}'))"""
+      OR ({words} <= {PHRASE_WORDS} AND regexp_matches(lower(l), '{"|".join(PHRASES)}')))"""
     return f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '{word}') AS ws FROM t),

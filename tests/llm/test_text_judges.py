@@ -55,6 +55,16 @@ def test_line_rules():
     assert rule("Home | News | Sport | more.") == "navigation" and rule("All Rights Reserved.") == "boilerplate"
 
 
+def test_a_phrase_in_prose_fails_no_line(spark):
+    long = "The town asked for its privacy policy, and so on. " + "Then people walked home along the river and talked. " * 40
+    assert quality_rules.line_fails(long)[0] is None and quality_rules.line_fails("Read our privacy policy.")[0] == "boilerplate"
+    text = "The town wrote its terms of use. " + " ".join(f"word{n}" + "." * (n % 9 == 0) for n in range(90)) + "."
+    docs = spark.createDataFrame([(1, text), (2, "Short terms of use.\n" + text)], "doc_id long, text string")
+    got = {r.doc_id: (r.kept, r.lost_words) for r in quality_rules.line_clean(docs).collect()}
+    want = sql(quality_rules.JUDGED_SQL, documents=docs.toPandas())
+    assert got == {1: (True, 0), 2: (True, 4)} == {int(r.doc_id): (bool(r.kept), int(r.lost_words)) for r in want.itertuples()}
+
+
 def test_clean_keeps_clashing_columns(spark):
     docs = table(spark, awkward())
     out = quality_rules.line_clean(docs)
