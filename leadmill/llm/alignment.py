@@ -33,9 +33,9 @@ FAN = 16
 #: Pairs with at least this share of all counted pairs are common, so there are at most as many common ones.
 COMMON = 1 << 17
 #: Texts of which a worker holds the results at once.
-ROWS = 125
+ROWS = 250
 #: Words that a worker remembers before it starts anew.
-WORDS_KEPT = 120_000
+WORDS_KEPT = 250_000
 #: Spaces where a text may not be cut: before white space, or at an end.
 LOOSE = re.compile(r" \s").search
 #: Where windows of long texts may start: a space between two letters.
