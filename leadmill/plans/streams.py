@@ -57,7 +57,7 @@ def incremental_silver(t: Tables) -> DataFrame:
 
     path, progress = _paths(t, "stream-silver")
     for restart in ("a", "b"):  # a second run from scratch finds every key in place
-        jobs.incremental_silver(jobs.stream_table(t.spark, t.path, "events"), build, path, f"{progress}-{restart}")
+        jobs.incremental_keyed(jobs.stream_table(t.spark, t.path, "events"), build, path, f"{progress}-{restart}")
     return KY.read_keyed(t.spark, path)
 
 
@@ -97,7 +97,7 @@ def alert_cool_down(t: Tables) -> DataFrame:
     """Alerts land in three parts; the job starts again for each and lets through what one pass over all would."""
     path, progress = _paths(t, "stream-alerts")
     alerts = t.events.filter("event_type = 'error'").select("user_id", "ts")
-    in_batches(t, alerts, lambda df: jobs.run_available(jobs.cool_down(df, "user_id", 86400), lambda part, n: part.write.mode("overwrite").parquet(f"{path}/batch={n}"), progress))
+    in_batches(t, alerts, lambda df: jobs.run_available(jobs.timed_cool_down(df, "user_id", 86400), lambda part, n: part.write.mode("overwrite").parquet(f"{path}/batch={n}"), progress))
     return real(t.spark.read.schema("user_id bigint, second bigint").parquet(path).select("user_id", "second"))
 
 

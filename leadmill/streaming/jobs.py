@@ -11,13 +11,16 @@ import zlib
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from leadmill.operators import keyed as KY
 from leadmill.operators import layers as L
+from leadmill.operators import sinks as SK
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,8 +53,14 @@ def run_available(df: DataFrame, batch: Callable[[DataFrame, int], None], checkp
 # --- incremental layers -------------------------------------------------------------
 def incremental_silver(events: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                        keys: Sequence[str] = ("id",)) -> None:
-    """Row-local features of new records, appended once per key to a keyed table: a replayed batch is not looked at again,
-    and one of another run adds nothing that is there."""
+    """Row-local features of new records, appended once per key to a plain table: a replayed batch adds nothing."""
+    run_available(events, lambda df, _: SK.append_new(build(df), path, keys), checkpoint)
+
+
+def incremental_keyed(events: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                      keys: Sequence[str] = ("id",)) -> None:
+    """The same into a keyed table: a replayed batch is not looked at again, and one of another run reads only the folders
+    that may hold its keys."""
     run = zlib.crc32(checkpoint.encode())
     run_available(events, lambda df, n: KY.append_keyed(build(df), path, keys, f"{run}-{n}"), checkpoint)
 
@@ -145,7 +154,7 @@ class CoolDown(StatefulProcessor):
         pass
 
 
-def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
+def timed_cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
     """Alerts let through per key, at most one within ``seconds``, given once the watermark has passed them; alerts that come
     more than ``late`` behind the newest are not counted.
 
@@ -155,3 +164,32 @@ def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 d
     moments = alerts.withWatermark("ts", late).select(key, "ts", F.unix_seconds("ts").alias("second"))
     kind = dict(alerts.dtypes)[key]
     return moments.groupBy(key).transformWithStateInPandas(CoolDown(key, seconds), f"{key} {kind}, second bigint", "append", "eventTime")
+
+
+def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
+    """Alerts let through per key, at most one within ``seconds``.
+
+    Alerts are judged in the batch they come in, which answers at once but holds the distinct seconds of a key and batch
+    in memory and wants batches in order; ``timed_cool_down`` does without either. The state is one time per key and is
+    dropped when the watermark is past the cool-down, since the next alert passes anyway."""
+    def step(keys: tuple, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get[0] if state.exists else None
+        times = np.unique(np.concatenate([pdf["second"].to_numpy(np.int64) for pdf in batches]))
+        sent = []
+        while len(times):
+            times = times if last is None else times[np.searchsorted(times, last + seconds, "right"):]
+            if len(times):
+                last = int(times[0])
+                sent.append(last)
+        if last is not None:
+            state.update((last,))
+            state.setTimeoutTimestamp(max((last + seconds + 1) * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [keys[0]] * len(sent), "second": pd.Series(sent, dtype="int64")})
+
+    moments = alerts.withWatermark("ts", late).select(key, "ts", F.unix_seconds("ts").alias("second"))
+    kind = dict(alerts.dtypes)[key]
+    return moments.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, second bigint", "last bigint", "append",
+                                                       GroupStateTimeout.EventTimeTimeout)

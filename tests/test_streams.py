@@ -39,7 +39,7 @@ def test_cool_down_over_restarts(spark, seed):
     for part in (rows[:300], rows[300:500], rows[500:], [(-1, 10_000_000)]):
         land(spark, part, folder)
         stream = spark.readStream.schema("user_id long, ts timestamp").parquet(folder)
-        jobs.run_available(jobs.cool_down(stream, "user_id", 5000, "6 hours"), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), progress)
+        jobs.run_available(jobs.timed_cool_down(stream, "user_id", 5000, "6 hours"), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), progress)
     got = [(r["user_id"], r["second"] - at) for r in spark.read.schema("user_id long, second long, batch long").parquet(out).collect() if r["user_id"] >= 0]
     assert sorted(got) == through(rows, 5000)
 
