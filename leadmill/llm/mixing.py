@@ -57,11 +57,14 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     own = row_key(docs) if keys else []
     slim = stash(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), *own,
                              F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("shuffled"),
-                             F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")).alias("source_key")), "sizes")
+                             F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")).alias("source_key"),
+                             F.monotonically_increasing_id().alias("row")), "sizes")
     sources = targets(slim.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")),
                       weights, share, cap).drop("source", "weight")
-    places = running_totals(slim.withColumn("one", F.lit(1).cast("long")), "source_key", ["size", "shuffled", "doc_id"], "one", "place")
-    joined = join_facts(stash(places.drop("one", "shuffled"), "places"), stash(sources, "sources"), "source_key", "source_rows")
+    # Equal rows go by their stored number, so that the copies of one row also spread over many ranges.
+    order = ["size", "shuffled", "doc_id", *(["row_key_a", "row_key_b"] if keys else []), "row"]
+    places = running_totals(slim.withColumn("one", F.lit(1).cast("long")), "source_key", order, "one", "place")
+    joined = join_facts(stash(places.drop("one", "shuffled", "row"), "places"), stash(sources, "sources"), "source_key", "source_rows")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = F.pmod(F.xxhash64(F.lit(seed), "source_key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor(F.col("offset") + (F.col("place") + 1) * F.col("rate")) - F.floor(F.col("offset") + F.col("place") * F.col("rate"))

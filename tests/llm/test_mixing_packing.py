@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from leadmill.llm import mixing, packing
-from tests.llm.fixtures import awkward, table
+from tests.llm.fixtures import awkward, table, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,6 +72,19 @@ def test_plan(spark):
     assert sorted(plan, key=key) == sorted(again, key=key)
 
 
+def test_copies_of_one_row(spark):
+    """A row that makes up most of its source is taken as often as its size asks, whatever range its copies fall into."""
+    rows = [(n, words(random.Random(n), 5 + n % 9), "en", "s0", 1) for n in range(60)] + [(99, "a b c d e f g", "en", "s0", 1)] * 900
+    docs = table(spark, rows)
+    plans = [mixing.mix_plan(d, keys=k).select("doc_id", "size", "target", "copies").collect() for d, k in ((docs, False), (docs.repartition(9), True))]
+    for plan in plans:
+        taken = sum(r.copies * r.size for r in plan)
+        assert len(plan) == len(rows) and abs(taken - plan[0].target) <= 13 and max(r.copies for r in plan) <= 2
+    count = lambda plan: Counter(r.copies for r in plan if r.doc_id == 99)
+    assert count(plans[0]) == count(plans[1])
+    assert mixing.mix(docs).where("doc_id = 99").count() == sum(r.copies for r in plans[0] if r.doc_id == 99)
+
+
 def test_mix_gives_whole_rows(spark):
     docs = table(spark, awkward())
     plan, mixed = mixing.mix_plan(docs), mixing.mix(docs)
