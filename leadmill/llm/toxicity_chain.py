@@ -122,17 +122,18 @@ def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, mo
     known = known.withColumn("spot", F.xxhash64("doc_id"))
     take = lambda kind, n: known.where(kind).orderBy("spot", "doc_id").limit(n)
     chosen = take("toxic = 1", most_toxic).unionByName(take("toxic <> 1", most_other)).select("doc_id", "toxic")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).dropna(subset=["doc_id"])
+    # Ids meet as text, so that numbers and names both do; of a repeated id Spark keeps the row of the smallest words.
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")).dropna(subset=["doc_id"])
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [b" ".join(sorted(words_of(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found, pa.binary()), batch.column(2)], names=["doc_id", "words", "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], names=["doc_id", "words", "toxic"])
 
-    joined = rows.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
-    got = joined.mapInArrow(words, "doc_id long, words binary, toxic int").toArrow().to_pylist()
-    first = {r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"]), reverse=True)}  # repeated ids count once
-    got = sorted(first.values(), key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
+    chosen = chosen.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    joined = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(words, "doc_id string, words binary, toxic int")
+    once = joined.groupBy("doc_id").agg(F.min("words").alias("words"), F.max("toxic").alias("toxic"))
+    got = sorted(once.toArrow().to_pylist(), key=lambda r: (zlib.crc32(r["doc_id"].encode()), r["doc_id"]))
     return [set(r["words"].split()) for r in got], [r["toxic"] == 1 for r in got]
 
 

@@ -163,6 +163,32 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity_chain.toxicity(table(spark, []), labels).count() == 0
 
 
+def test_toxicity_sample_takes_a_repeated_id_once(spark):
+    """A sampled id with most of the rows comes to the driver as one row; ids may be names."""
+    rows = [("a", "idiot scum")] * 500 + [("a", "awful")] + [("b", "kind words"), ("c", None), (None, "idiot")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([("a", 1), ("b", 0), ("c", 0), ("d", 1)], "doc_id string, toxic int")
+    texts, toxic = toxicity_chain.sample_of(docs, labels, "doc_id", "text", 10, 10)
+    assert sorted(zip(map(sorted, texts), toxic)) == [([], False), ([b"awful"], True), ([b"kind", b"words"], False)]
+    assert toxicity_chain.toxicity(docs, labels).count() == len(rows)
+
+
+def test_toxicity_scores_as_the_chain_by_hand(spark):
+    """Every category is a logistic model over a text's features and the categories before it."""
+    rng = random.Random(4)
+    texts = [{f"w{rng.randrange(40)}".encode() for _ in range(12)} | ({b"moron", b"vermin"} if n % 4 == 0 else set()) for n in range(200)]
+    chain = toxicity_chain.Chain(texts, [n % 4 == 0 for n in range(200)])
+    said = ["You moron, vermin!", "w1 w2 w3", "", None, "moron " * 1000]
+    got = chain.score(said)
+    for text, row in zip(said, got):
+        found = [chain.numbers[w] for w in toxicity_chain.features_of(toxicity_chain.words_of(text)) if w in chain.numbers]
+        before: list[float] = []
+        for w in chain.weights:
+            z = sum(w[c] for c in found) + sum(a * b for a, b in zip(before, w[len(chain.numbers):])) + w[-1]
+            before.append(1 / (1 + math.exp(-z)))
+        assert row == pytest.approx(before, abs=1e-9)
+
+
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
 
