@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 
 #: Pages that the network is trained on, chosen by hash; as many made-up layouts are added.
 SAMPLE = 400
+#: Pages of more bytes are not learnt from, so that the sample's size is bounded; they are extracted like all others.
+SAMPLE_BYTES = 1 << 18
 EPOCHS = 15
 HIDDEN = 16
 PATH_SIZE, WORD_SIZE, NUMBERS = 256, 64, 6
@@ -322,9 +324,10 @@ def turned(sizes: np.ndarray, steps: int) -> np.ndarray:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE, epochs: int = EPOCHS, seed: int = 7) -> Labeller:
-    """A labeller from at most ``sample`` pages, those with the smallest hashes, and as many made-up ones."""
+    """A labeller from at most ``sample`` pages, those with the smallest hashes among pages of at most SAMPLE_BYTES, and as
+    many made-up ones."""
     spot = F.xxhash64(F.lit(seed), F.col(id_col), F.length(html_col))
-    got = pages.where(F.col(html_col).isNotNull()).select(spot.alias("spot"), F.col(html_col).alias("html")).orderBy("spot").limit(sample)
+    got = pages.where(F.octet_length(html_col) <= SAMPLE_BYTES).select(spot.alias("spot"), F.col(html_col).alias("html")).orderBy("spot").limit(sample)
     real = [blocks for row in got.toArrow().column("html").to_pylist() if (blocks := read_blocks(row))]
     marked = [[(b, silver(b[0])) for b in blocks] for blocks in real]
     marked = [page for page in marked if any(good for _, good in page)]
