@@ -105,7 +105,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
     host, path = url_parts(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0))
-    known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("number")).agg(bad.cast("long").alias("was_bad"))
+    known = labels.withColumn("number", F.col("doc_id").try_cast("long")).where("number is not null").groupBy("number").agg(bad.cast("long").alias("was_bad"))
     rows = stash(parts.withColumn("number", page_number(F.col("path"))), "urls")
     numbered = rows.where("number IS NOT NULL").groupBy("host", "number").agg(F.count("*").alias("pages")).join(known.where("was_bad IS NOT NULL"), "number")
     found = numbered.select("host", F.lit(0).cast("long").alias("pages"), F.col("pages").alias("labelled"), (F.col("was_bad") * F.col("pages")).alias("bad"))
