@@ -9,20 +9,22 @@ fingerprints that agree in three positions of one half of the bytes. Five shared
 half, so every pair with five meets in at least one of these eight kinds of list, and lists stay short.
 
 Equal fingerprints are one class before any of this. A list of more than ``long_list`` different fingerprints is not
-paired up: its members are joined through common neighbours instead, which costs a fixed number of rows per member.
-Both ways find the same components.
+paired up: its members go on to finer lists, which agree in two of the other five bytes as well. A pair with five shared
+bytes has two more in common besides the list's three, so it meets in one of these ten. Only members of a five-byte list
+that is still long are joined through common neighbours in its 24 free bits, which costs a fixed number of rows per
+member. All ways find the same components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,8 @@ SHARED = 8 - BITS
 LONG_LIST = 1024
 #: Which bytes (0 is the lowest) each kind of list agrees in.
 LISTS = [p for half in (range(4), range(4, 8)) for p in combinations(half, 3)]
+#: Which bytes the finer lists agree in.
+FINER = list(combinations(range(8), SHARED))
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -72,15 +76,26 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", keep: list[str] |
     return docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("hashed_text")).mapInArrow(run, schema)
 
 
+def list_number(kind: int, places: Iterable[int]) -> Column:
+    """The number of the list that ``bits`` falls into: the kind, then the bytes at ``places``."""
+    value = F.lit(kind).cast("long")
+    for p in places:
+        value = F.shiftleft(value, 8).bitwiseOR(F.shiftrightunsigned("bits", 8 * p).bitwiseAND(F.lit(255)))
+    return value
+
+
 def index(prints: DataFrame) -> DataFrame:
-    """(list, bits): each fingerprint in its eight lists. The list number holds the kind and the three bytes."""
-    kinds = []
-    for kind, places in enumerate(LISTS):
-        value = F.lit(kind).cast("long")
-        for p in places:
-            value = F.shiftleft(value, 8).bitwiseOR(F.shiftrightunsigned("bits", 8 * p).bitwiseAND(F.lit(255)))
-        kinds.append(value)
-    return prints.select("bits", F.explode(F.array(*kinds)).alias("list"))
+    """(list, bits): each fingerprint in its eight lists."""
+    return prints.select("bits", F.explode(F.array(*[list_number(kind, places) for kind, places in enumerate(LISTS)])).alias("list"))
+
+
+def finer_index(entries: DataFrame) -> DataFrame:
+    """(list, bits) of three-byte lists as entries of the ten five-byte lists that hold the list's three positions."""
+    finer = F.lit(None)
+    for kind, three in enumerate(LISTS):
+        own = F.array(*[list_number(n, five) for n, five in enumerate(FINER) if set(three) <= set(five)])
+        finer = F.when(F.shiftright("list", 24) == kind, own).otherwise(finer)
+    return entries.select("bits", F.explode(finer).alias("list")).distinct()
 
 
 def shared_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -108,14 +123,14 @@ def short_list_links(lists: DataFrame) -> DataFrame:
 
 
 def long_list_links(entries: DataFrame) -> DataFrame:
-    """Links for (list, bits) entries of long lists, a fixed number of rows per entry.
+    """Links for (list, bits) entries of long five-byte lists, a fixed number of rows per entry.
 
     Members at distance three or less have a common neighbour: one of them at distance one or less from it (near), the
     other at two or less. All near members of a neighbour are linked, as are its others to any near one; others without
-    a near member are not. Only the 40 bits that a list leaves free are varied."""
+    a near member are not. Only the 24 bits that a list leaves free are varied."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         masks = {}
-        for kind, places in enumerate(LISTS):
+        for kind, places in enumerate(FINER):
             free = [np.uint64(1) << np.uint64(n) for n in range(64) if n // 8 not in places]
             near = np.array([np.uint64(0), *free], np.uint64)
             masks[kind] = np.concatenate([near, np.array([a | b for a, b in combinations(free, 2)], np.uint64)]), len(near)
@@ -123,7 +138,7 @@ def long_list_links(entries: DataFrame) -> DataFrame:
             for at in range(0, len(frame), 100):
                 part, made = frame.iloc[at:at + 100], []
                 for where, bits in zip(part["list"].tolist(), part["bits"].to_numpy(np.int64).view(np.uint64)):
-                    mask, near = masks[where >> 24]
+                    mask, near = masks[where >> 8 * SHARED]
                     made.append(pd.DataFrame({"hub": (bits ^ mask).view(np.int64), "bits": np.full(len(mask), bits).view(np.int64),
                                               "near": np.arange(len(mask)) < near, "list": where}))
                 yield pd.concat(made)
@@ -133,14 +148,20 @@ def long_list_links(entries: DataFrame) -> DataFrame:
     return hubs.join(grouped, ["list", "hub"]).select(F.col("bits").alias("u"), "v").where("u <> v").distinct()
 
 
-def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
-    """Links (u, v) between different fingerprints of ``prints`` (bits, all different) that give its components."""
-    entries = stash(index(prints), "index")
+def by_length(entries: DataFrame, long_list: int) -> tuple[DataFrame, DataFrame]:
+    """Stored ``entries`` as the members of each short list, and as the entries of long ones."""
     sizes = entries.groupBy("list").count()
     long = stash(sizes.where(F.col("count") > long_list), "long-lists").select("list")
     short = (entries.join(long, "list", "left_anti").groupBy("list").agg(F.collect_list("bits").alias("members"))
              .where(F.size("members") > 1))
-    return short_list_links(short).unionByName(long_list_links(entries.join(long, "list", "left_semi").select("list", "bits"))).distinct()
+    return short, entries.join(long, "list", "left_semi").select("list", "bits")
+
+
+def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
+    """Links (u, v) between different fingerprints of ``prints`` (bits, all different) that give its components."""
+    short, long = by_length(stash(index(prints), "index"), long_list)
+    finer, longest = by_length(stash(finer_index(long), "finer-index"), long_list)
+    return short_list_links(short).unionByName(short_list_links(finer)).unionByName(long_list_links(longest)).distinct()
 
 
 def groups(rows: DataFrame, long_list: int = LONG_LIST) -> DataFrame:

@@ -87,6 +87,31 @@ def test_links_give_the_components_of_all_pairs(spark, long_list):
         assert {tuple(sorted(p)) for p in found} == {tuple(sorted(p)) for p in pairs}
 
 
+def test_links_of_lists_that_stay_long(spark):
+    """All fingerprints agree in five bytes, so that every finer list of these stays long."""
+    rng = random.Random(8)
+    prints = sorted({0x1234567890 << 24 | rng.choice([0, 0xABCDEF, 0x0F0F0F]) ^ sum(1 << rng.randrange(24) for _ in range(rng.randint(0, 5))) & 0xFFFFFF for _ in range(300)})
+    pairs = [(a, b) for n, a in enumerate(prints) for b in prints[:n] if (a ^ b).bit_count() <= 3]
+    frame = spark.createDataFrame([(p,) for p in prints], "bits long")
+    for long_list in (20, 120):
+        found = [tuple(r) for r in simhash_index.links(frame, long_list).collect()]
+        assert all((a ^ b).bit_count() <= 3 for a, b in found)
+        assert roots_of(prints, found) == roots_of(prints, pairs) and len(pairs) > 300
+
+
+def test_pairs_with_five_shared_bytes_meet_in_finer_lists(spark):
+    rng = random.Random(9)
+    a = rng.getrandbits(62)
+    near = [a ^ sum(rng.randrange(1, 256) << 8 * p for p in rng.sample(range(7), rng.randint(1, 3))) for _ in range(40)]
+    tally = simhash_index.shared_bytes(np.array(near, np.int64), np.int64(a))
+    assert tally.tolist() == [sum(x >> 8 * p & 255 == a >> 8 * p & 255 for p in range(8)) for x in near]
+    rows = simhash_index.finer_index(simhash_index.index(spark.createDataFrame([(p,) for p in {a, *near}], "bits long"))).collect()
+    lists = defaultdict(set)
+    for r in rows:
+        lists[r.bits].add(r.list)
+    assert all(lists[a] & lists[x] for x in near) and max(Counter(map(tuple, rows)).values()) == 1
+
+
 def test_components_of_a_chain_and_stars(spark):
     edges = [(n, n + 1) for n in range(100)] + [(200, n) for n in range(201, 240)] + [(300, 301), (301, 300), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
