@@ -7,7 +7,7 @@ from datetime import datetime
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill import constants as K
@@ -242,26 +242,39 @@ def schema_status(diff: DataFrame, needed: float = 0.8) -> DataFrame:
         .otherwise("FAILED"))
 
 
+def tree_samples(df: DataFrame, column: str, identity: str, trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
+    """(tree, identity, v): the rows that each tree is grown from, at least ``sample`` and less than twice as many, all of them
+    where the table has less.
+
+    The ``trees * sample`` rows of the smallest hashes are taken, a number that does not depend on the table, and dealt
+    out in a second hash order, one row to each tree in turn. Tables with less rows are dealt out several times. No row
+    is twice in a tree, and equal rows, however many, count one by one.
+    """
+    rows = df.select(F.col(column).cast("double").alias("v"), F.col(identity).alias("i")).filter("v IS NOT NULL")
+    taken = rows.orderBy(F.xxhash64("i", "v", F.lit(seed)), "i", "v").limit(trees * sample)
+    decks = max(1, min(rows.count(), trees * sample) // sample)
+    rounds = -(-trees // decks)
+    dealt = taken.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    place = F.row_number().over(Window.partitionBy("r").orderBy(F.xxhash64("i", "v", "r", F.lit(seed + 1)), "i", "v"))
+    tree = (F.col("r") * decks + (place - 1) % decks).cast("int")
+    return dealt.select(tree.alias("tree"), F.col("i").alias(identity), "v").filter(F.col("tree") < trees)
+
+
 def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100, sample: int = 256,
                      seed: int = 42) -> DataFrame:
     """Isolation score of every row for one column; near one means easy to separate.
 
-    Every tree is grown from about ``sample`` rows, chosen by hash, in its own
+    Every tree is grown from the rows that ``tree_samples`` deals it, in its own
     task.  The grown forest is a bounded model (the number of leaves depends on
-    the settings, not on the table) that is handed to the scoring tasks.
+    the settings, not on the table) that is handed to the scoring tasks.  A column
+    without values gives no scores.
     """
-    # disjoint samples of about the wanted size; small tables are dealt out several times
-    total = df.filter(F.col(column).isNotNull()).count()
-    decks = max(1, total // sample)
-    rounds = -(-trees // decks)
-
     def harmonic(n: int) -> float:
         return 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        chosen = pdf.sort_values(["h", "v"])["v"].to_numpy(dtype=float)[:2 * sample]  # by hash, whatever order rows arrive in
-        values = np.sort(chosen)
+        values = np.sort(pdf["v"].to_numpy(dtype=float))
         rng = np.random.default_rng(seed + tree)
         limit = int(np.ceil(np.log2(max(len(values), 2))))
         out, stack = [], [(values, 0, -np.inf, np.inf)]
@@ -275,14 +288,12 @@ def isolation_scores(df: DataFrame, column: str, identity: str, trees: int = 100
             stack.append((part[part >= at], depth + 1, at, hi))
         return pd.DataFrame(out, columns=["tree", "size", "lo", "hi", "path"])
 
-    picked = (df.select(F.col(column).cast("double").alias("v"), F.col(identity).alias("i"),
-                        F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("r"))
-              .filter("v IS NOT NULL")
-              .withColumn("tree", (F.col("r") * decks + F.pmod(F.xxhash64("i", "r", F.lit(seed)), F.lit(decks))).cast("int"))
-              .filter(F.col("tree") < trees).select("v", "tree", F.xxhash64("i", F.lit(seed)).alias("h")))
-    leaves = picked.groupBy("tree").applyInPandas(grow, "tree int, size int, lo double, hi double, path double")
+    dealt = tree_samples(df, column, identity, trees, sample, seed).select("tree", "v")
+    leaves = dealt.groupBy("tree").applyInPandas(grow, "tree int, size int, lo double, hi double, path double")
     # the model: at most trees * 2 * sample leaves, merged into one ascending step function
     forest = leaves.toPandas()
+    if forest.empty:
+        return df.withColumn("isolation_score", F.lit(None).cast("double"))
     steps = np.unique(forest["lo"].to_numpy())
     total_path = np.zeros(len(steps))
     for lo, hi, path in forest[["lo", "hi", "path"]].itertuples(index=False):

@@ -316,6 +316,16 @@ def sample(t: Tables) -> DataFrame:
     return t.events.orderBy(F.xxhash64("event_id", F.lit(42)), "event_id").limit(1000)
 
 
+@query("smp_01_sample_of_table", """SELECT least(count(*), 1000) AS rows, least(count(*), 1000) AS ids, least(count(*), 1000) AS in_table, 0 AS changed FROM events""")
+def sample_of_table(t: Tables) -> DataFrame:
+    """The sample's rows are different rows of the table, and the same ones from a table that is dealt out otherwise."""
+    first = sample(t).select("event_id", "event_type")
+    other = t.events.repartition(13, "event_type").orderBy(F.xxhash64("event_id", F.lit(42)), "event_id").limit(1000).select("event_id", F.lit(1).alias("again"))
+    found = first.join(other, "event_id", "full").join(t.events.select("event_id", F.lit(1).alias("known")), "event_id", "left")
+    return found.agg(F.count("event_type").alias("rows"), F.count_distinct("event_id").alias("ids"), F.count("known").alias("in_table"),
+                     F.count_if(F.col("event_type").isNull() | F.col("again").isNull()).alias("changed"))
+
+
 @query("smp_02_stratified_split", on_contacts("""SELECT level, count(*) AS rows, CAST(floor(count(*) * 0.25) AS BIGINT) AS test_rows FROM (
   SELECT CASE WHEN email_click_count > 0 OR email_reply_count > 0 THEN 2 WHEN email_open_count > 0 THEN 1 ELSE 0 END AS level FROM contacts) GROUP BY 1"""))
 def stratified_split(t: Tables) -> DataFrame:

@@ -55,6 +55,18 @@ def imputed_scaled(t: Tables) -> DataFrame:
     return vector.select("id", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
 
 
+@query("ml_01_robust_centres", on_contacts(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS rows, TRUE AS median_zero, TRUE AS spread_one FROM contacts" for c in NUMBERS)))
+def robust_centres(t: Tables) -> DataFrame:
+    """Every robustly scaled number has the median zero and, unless its quartiles are equal, the distance one between them."""
+    df = labelled(t)
+    scaled = P.transformer(NUMBERS, robust=True).fit(df).transform(df).select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    quarters = F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75))))
+    per = scaled.groupBy("slot").agg(F.count("*").alias("rows"), quarters.alias("q"))
+    wide = F.get("q", F.lit(2)) - F.get("q", F.lit(0))
+    return per.select(F.get(F.array(*map(F.lit, NUMBERS)), F.col("slot")).alias("column"), "rows", (F.abs(F.get("q", F.lit(1))) < 0.05).alias("median_zero"),
+                      ((F.abs(wide - 1) < 0.05) | (wide == 0)).alias("spread_one"))
+
+
 @query("ml_02_standardised", "SELECT l_orderkey, l_linenumber, round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev(l_quantity) FROM lineitem), 5) AS quantity FROM lineitem")
 def standardised(t: Tables) -> DataFrame:
     df = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
@@ -70,6 +82,23 @@ def one_hot(t: Tables) -> DataFrame:
     return out.select("id", vector_to_array("features").alias("features"))
 
 
+@query("ml_03_slot_counts", on_contacts(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", coalesce({c}, 'Unknown') AS value, count(*) AS rows FROM contacts GROUP BY 2" for c in CATEGORIES)))
+def slot_counts(t: Tables) -> DataFrame:
+    """How many rows set each slot of the one-hot vector, under the name that the fitted stages give the slot."""
+    df = P.cap_categories(labelled(t), CATEGORIES, 30)
+    stages = P.transformer(categories=CATEGORIES).fit(df)
+    out = stages.transform(df)
+    filled = out.select(F.posexplode(vector_to_array("features")).alias("slot", "x")).where("x <> 0").groupBy("slot").agg(F.sum("x").cast("long").alias("rows"))
+    return EX.slots(stages, out).join(filled, "slot").select("column", "value", "rows")
+
+
+@query("ml_05_unit_texts", "SELECT count(*) AS rows, count(*) AS unit_or_empty, TRUE AS terms_in_range FROM documents")
+def unit_texts(t: Tables) -> DataFrame:
+    found = tf_idf(t)
+    return found.agg(F.count("*").alias("rows"), F.count_if((F.abs(F.col("norm") - 1) < 1e-3) | ((F.col("norm") == 0) & (F.col("terms") == 0))).alias("unit_or_empty"),
+                     F.bool_and(F.col("terms").between(0, 300)).alias("terms_in_range"))
+
+
 @query("ml_05_tf_idf")
 def tf_idf(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
@@ -137,6 +166,31 @@ def select_best(t: Tables) -> DataFrame:
     return SE.select_best(df, 3).transform(df).select("id", vector_to_array("selected").alias("selected"))
 
 
+_FILLED = "filled AS (SELECT level, " + ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM contacts))::DOUBLE AS {c}" for c in NUMBERS) + " FROM labelled)"
+
+
+@query("ml_10_best_names", on_contacts("SELECT \"column\" FROM (" + " UNION ALL ".join(f"""SELECT '{c}' AS "column", {n} AS place, (sum(n * m * m) - sum(n) * pow(sum(n * m) / sum(n), 2)) / (count(*) - 1) / (sum((n - 1) * s2) / (sum(n) - count(*))) AS f
+  FROM (SELECT level, count(*) AS n, avg({c}) AS m, var_samp({c}) AS s2 FROM filled GROUP BY level)""" for n, c in enumerate(NUMBERS)) + ") WHERE NOT isnan(f) ORDER BY f DESC, place LIMIT 3", f"{_LABELLED}, {_FILLED}"))
+def best_names(t: Tables) -> DataFrame:
+    """The columns that the selector of the three best keeps of the imputed numbers."""
+    chosen = SE.select_best(prepared(t), 3).selectedFeatures
+    return t.spark.createDataFrame([(NUMBERS[n],) for n in chosen], "column string")
+
+
+@query("ml_11_component_shares", on_contacts("SELECT count(*) AS rows, TRUE AS share_reached, TRUE AS none_too_many, TRUE AS unrelated FROM contacts"))
+def component_shares(t: Tables) -> DataFrame:
+    """The kept components hold 95 % of the variance of the numbers, would not without the last one, and are unrelated."""
+    df = prepared(t)
+    out = SE.principal_components(df, "features", len(NUMBERS)).select(vector_to_array("features").alias("v"), F.col("components").alias("c"))
+    kept = len(out.first()["c"])
+    spread = lambda name, i: F.var_samp(F.get(name, F.lit(i)))
+    own = [spread("c", i) for i in range(kept)]
+    pairs = [F.abs(F.coalesce(F.corr(F.get("c", F.lit(i)), F.get("c", F.lit(j))), F.lit(0.0))) for i in range(kept) for j in range(i)]
+    whole, held, last = sum(spread("v", i) for i in range(len(NUMBERS))), sum(own), own[-1]
+    return out.agg(F.count("*").alias("rows"), (held / whole >= 0.95 - 1e-9).alias("share_reached"), ((held - last) / whole < 0.95).alias("none_too_many"),
+                   (F.greatest(F.lit(0.0), F.lit(0.0), *pairs) < 1e-6).alias("unrelated"))
+
+
 @query("ml_11_components")
 def components(t: Tables) -> DataFrame:
     out = SE.principal_components(prepared(t), "features", len(NUMBERS))
@@ -371,6 +425,14 @@ def batch_scoring(t: Tables) -> DataFrame:
     return rounded(MD.score(df, MD.load(path), "v1", ["id"]))
 
 
+@query("ml_27_scores_in_range", on_contacts("SELECT count(*) AS rows, count(DISTINCT id) AS ids, count(*) AS known_class, count(*) AS confident, count(*) AS consistent FROM contacts"))
+def scores_in_range(t: Tables) -> DataFrame:
+    """Every row is scored once; the confidence is that of the likeliest of three classes, the score that of the highest."""
+    p, c = F.col("predicted_score"), F.col("confidence_level")
+    return batch_scoring(t).agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids"), F.count_if(F.col("predicted_class").between(0, 2)).alias("known_class"),
+                                F.count_if(c.between(0.333, 1)).alias("confident"), F.count_if(F.when(F.col("predicted_class") == 2, p == c).otherwise(p <= c)).alias("consistent"))
+
+
 @query("ml_28_direct_scoring", on_contacts("SELECT count(*) AS rows, count(DISTINCT id) AS ids, count(*) AS in_range, 3 AS classes FROM contacts WHERE enrichment_status IS NOT DISTINCT FROM 'completed'"))
 def direct_scoring(t: Tables) -> DataFrame:
     """Raw enriched leads, whose engagement is not known and counts as zero, scored by a saved preparation and model."""

@@ -194,6 +194,15 @@ def isolation_forest(t: Tables) -> DataFrame:
     return scored.withColumn("is_outlier", F.col("isolation_score") > 0.5)
 
 
+@query("dq_06_tree_samples", """WITH n AS (SELECT least(count(value), 25600) AS n FROM events), d AS (SELECT n, greatest(n // 256, 1) AS decks FROM n)
+  SELECT 100 AS trees, n // decks AS smallest, (n + decks - 1) // decks AS largest, 0 AS repeated FROM d""")
+def tree_samples(t: Tables) -> DataFrame:
+    """How many rows the trees are grown from, and how many a tree has twice."""
+    dealt = Q.tree_samples(t.events.select("event_id", "value"), "value", "event_id")
+    sizes = dealt.groupBy("tree").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids"))
+    return sizes.agg(F.count("*").alias("trees"), F.min("rows").alias("smallest"), F.max("rows").alias("largest"), F.sum(F.col("rows") - F.col("ids")).alias("repeated"))
+
+
 @query("dq_07_outlier_report", _fence_cte(LINE) + " UNION ALL ".join(
     f"""SELECT *, CASE WHEN zscore_outliers < iqr_outliers THEN 'zscore' ELSE 'iqr' END AS method FROM (
   SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} < {c}_lo OR {c} > {c}_hi) AS iqr_outliers,

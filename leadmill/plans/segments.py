@@ -173,11 +173,12 @@ def volume_performance(t: Tables) -> DataFrame:
         F.count("*").alias("rows"), F.count("email_open_count").alias("volume"),
         F.coalesce(F.sum("email_open_count"), F.lit(0)).alias("total_opens"),
         half_even(F.avg("email_open_count"), 3).alias("avg_opens"))
-    # codes rank as numbers, names as text
+    # codes rank as numbers, names as text; only dimensions with a limit are ranked, so that tasks drop all others early
     order = Window.partitionBy("dimension").orderBy(
         F.desc("rows"), F.col("value").try_cast("bigint").asc_nulls_last(), "value")
-    return (table.withColumn("place", F.row_number().over(order))
-            .filter(F.col("dimension").isin(every) | (F.col("place") <= 10)).drop("rows", "place"))
+    top = (table.filter(F.col("dimension").isin(largest)).withColumn("place", F.row_number().over(order))
+           .filter(F.col("place") <= 10).drop("place"))
+    return table.filter(F.col("dimension").isin(every)).unionByName(top).drop("rows")
 
 
 _METHOD = """SELECT upload_method, count(email_open_count) AS contacts,

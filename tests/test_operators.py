@@ -208,3 +208,19 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         SK.shared_folder(Session())
+
+
+def test_isolation_samples_are_bounded_and_outliers_stand_out(spark):
+    """An id that most rows share fills no tree beyond its size, and the score falls towards the middle of the values."""
+    rows = [(7, float(n % 50)) for n in range(30_000)] + [(100 + n, 25.0 + n % 3) for n in range(4_000)] + [(9_000, 4_000.0), (9_001, None)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    for part in (df, df.limit(700), df.where("x > 100")):
+        n = part.where("x is not null").count()
+        sizes = [r["count"] for r in Q.tree_samples(part, "x", "id").groupBy("tree").count().collect()]
+        decks = max(1, min(n, 25_600) // 256)
+        assert len(sizes) == 100 and min(sizes) == min(n, 25_600) // decks and max(sizes) == -(-min(n, 25_600) // decks)
+    every = [tuple(r) for r in Q.tree_samples(df, "x", "id", trees=4, sample=100).collect()]
+    assert sorted(every) == sorted(tuple(r) for r in Q.tree_samples(df.repartition(11), "x", "id", trees=4, sample=100).collect())
+    score = {r.id: r.isolation_score for r in Q.isolation_scores(df, "x", "id").where("id <> 7").collect()}
+    assert score[9_000] > max(s for i, s in score.items() if i < 9_000) and score[9_001] is None
+    assert Q.isolation_scores(df.where("x is null"), "x", "id").first()["isolation_score"] is None
