@@ -184,3 +184,22 @@ def test_hosts_match_sql_and_shrink(spark):
     assert says["spam.good.com"] == {"block"} and says["www1.good.com"] == {"allow"} and says["h1.bad.io"] == says["new.bad.io"] == {"block"}
     assert set(judged(spark, pages, labels.where("false")).toPandas().verdict) == {"allow"}
     assert judged(spark, pages.where("false"), labels).count() == 0
+
+
+def test_label_ids_that_are_no_numbers_name_no_page(spark):
+    pages = spark.createDataFrame([(n, f"https://h{n % 3}.test/{n}") for n in range(30)], "page_id long, url string")
+    labels = [(str(n), n % 2, 0) for n in range(30)]
+    named = spark.createDataFrame(labels + [("x7", 0, 1), ("", 0, 1), (None, 0, 1)], "doc_id string, quality int, toxic int")
+    numbers = spark.createDataFrame([(int(i), q, t) for i, q, t in labels], "doc_id long, quality int, toxic int")
+    rows = [sorted(map(tuple, host_reputation.judge_urls(pages, table).collect())) for table in (named, numbers)]
+    assert rows[0] == rows[1] and len(rows[0]) == 30
+
+
+def test_pages_beyond_the_bound_are_extracted_but_not_learnt_from(spark, monkeypatch):
+    rows = [(n, "<article><p>" + "word " * 20 * (n + 1) + "</p></article>") for n in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    monkeypatch.setattr(html_blocks, "SAMPLE_BYTES", 300)
+    few = html_blocks.fit(pages, sample=4, epochs=1)
+    alone = html_blocks.fit(pages.where("length(html) <= 300"), sample=4, epochs=1)
+    assert all((few.w[k] == alone.w[k]).all() for k in ("o", "c"))
+    assert html_blocks.extract(pages, few).count() == len(rows)
