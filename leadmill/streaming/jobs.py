@@ -15,7 +15,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from leadmill.operators import keyed as KY
@@ -117,53 +116,75 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None
 
 
 # --- alert cool-down -----------------------------------------------------------------
-class CoolDown(StatefulProcessor):
-    """Lets the first alert of a key through and then none within ``seconds``, in the order of event time.
-
-    Alerts may come in any order: each sets a timer at its time, the state store keeps the timers in order, and they fire
-    once the watermark has passed them. The only value kept is the time of the last alert that passed. A timer half a
-    second after the cool-down, where no alert can be, removes it again."""
-
-    def __init__(self, key: str, seconds: int):
-        self.key, self.seconds = key, seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.last = handle, handle.getValueState("last", "second bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        last = self.last.get()[0] if self.last.exists() else None
-        for chunk in rows:
-            for second in chunk["second"].unique().tolist():
-                if second * 1000 > passed and (last is None or second - last > self.seconds):
-                    self.handle.registerTimer(second * 1000)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        second, rest = divmod(expiredTimerInfo.getExpiryTimeInMs(), 1000)
-        last = self.last.get()[0] if self.last.exists() else None
-        if rest:
-            if last is not None and second - last >= self.seconds:
-                self.last.clear()
-        elif last is None or second - last > self.seconds:
-            self.last.update((second,))
-            self.handle.registerTimer((second + self.seconds) * 1000 + 500)
-            yield pd.DataFrame({self.key: [key[0]], "second": [second]})
-
-    def close(self) -> None:
-        pass
+#: Groups that the keys are dealt to by hash; a checkpoint wants the same number again.
+GROUPS = 1024
+#: Alerts that are gathered before repeats are taken out.
+GATHERED = 1 << 20
+
+
+def let_through(of: np.ndarray, second: np.ndarray, last: np.ndarray, seconds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, second) of the alerts that pass, all keys at a time; ``of`` and ``second`` are in order, ``last`` has a place
+    per key and is brought up to date. A turn finds the next alert of every key that has one."""
+    low, high = (np.searchsorted(of, np.arange(len(last)), side) for side in ("left", "right"))
+    least = int(second.min()) if len(second) else 0
+    span = int(second.max()) - least + 2 if len(second) else 1
+    place, keys, sent = of * span + (second - least), np.flatnonzero(high > low), []
+    while len(keys):
+        after = np.clip(last[keys] + seconds + 1 - least, 0, span - 1)
+        at = np.searchsorted(place, keys * span + after)
+        found = at < high[keys]
+        keys, at = keys[found], at[found]
+        last[keys] = second[at]
+        sent.append((keys, second[at]))
+    return tuple(np.concatenate(x) for x in zip(*sent)) if sent else (np.zeros(0, np.int64),) * 2
 
 
 def timed_cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:
     """Alerts let through per key, at most one within ``seconds``, given once the watermark has passed them; alerts that come
     more than ``late`` behind the newest are not counted.
 
-    A key costs one number and a timer per alert that may still pass, on the executors' disks; its alerts are read chunk
-    by chunk, so a key of any share of the alerts fits."""
+    Keys are judged many at a time, ``GROUPS`` groups of them, as calls by key cost more than the work. A key's state, on
+    the executors' disks, is the last alert that passed, until the cool-down is over, and the distinct seconds that wait
+    for the watermark; repeats go chunk by chunk, so the size follows the time that waits, not the alerts."""
     on_disk(alerts.sparkSession)
-    moments = alerts.withWatermark("ts", late).select(key, "ts", F.unix_seconds("ts").alias("second"))
-    kind = dict(alerts.dtypes)[key]
-    return moments.groupBy(key).transformWithStateInPandas(CoolDown(key, seconds), f"{key} {kind}, second bigint", "append", "eventTime")
+    never = np.iinfo(np.int64).min // 2
+
+    def step(_, batches, state: GroupState):
+        names, last, of, second = state.get if state.exists else ([], b"", b"", b"")
+        last, of, second = (np.frombuffer(x, np.int64).copy() for x in (last, of, second))
+        place, passed = {name: n for n, name in enumerate(names)}, state.getCurrentWatermarkMs()
+        parts = [(of, second)]
+        for pdf in () if state.hasTimedOut else batches:
+            pdf = pdf.dropna(subset=["second"])
+            own = pdf["second"].to_numpy(np.int64)
+            codes, found = pd.factorize(pdf["name"].to_numpy(object)[own * 1000 > passed], use_na_sentinel=False)
+            found = [None if pd.isna(x) else x for x in found]
+            at = np.array([place.setdefault(name, len(place)) for name in found], np.int64)
+            parts.append((at[codes], own[own * 1000 > passed]))
+            if sum(len(x) for x, _ in parts[1:]) > GATHERED + len(parts[0][0]):
+                parts = [tuple(np.unique(np.concatenate(parts, axis=1), axis=1))]
+        of, second = np.unique(np.concatenate(parts, axis=1), axis=1)
+        last = np.concatenate([last, np.full(len(place) - len(last), never)])
+        due = second * 1000 <= passed
+        keys, sent = let_through(of[due], second[due], last, seconds)
+        of, second, names = of[~due], second[~due], list(place)
+        kept = np.flatnonzero((np.bincount(of, minlength=len(names)) > 0) | ((last > never) & ((last + seconds) * 1000 >= passed)))
+        if len(kept):
+            new = np.zeros(len(names), np.int64)
+            new[kept] = np.arange(len(kept))
+            state.update(([names[n] for n in kept], last[kept].tobytes(), new[of].tobytes(), second.tobytes()))
+            moment = min([int(second.min())] if len(second) else [int(last[kept].max()) + seconds + 1])
+            state.setTimeoutTimestamp(max(moment * 1000, passed + 1))
+        elif state.exists:
+            state.remove()
+        if len(sent):
+            yield pd.DataFrame({"name": pd.Series([names[n] for n in keys], dtype=object), "second": sent})
+
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int").alias("_group")
+    moments = alerts.withWatermark("ts", late).select(group, F.col(key).cast("string").alias("name"), "ts", F.unix_seconds("ts").alias("second"))
+    out = moments.groupBy("_group").applyInPandasWithState(step, "name string, second bigint", "names array<string>, last binary, of binary, waiting binary", "append",
+                                                          GroupStateTimeout.EventTimeTimeout)
+    return out.select(F.col("name").cast(dict(alerts.dtypes)[key]).alias(key), "second")
 
 
 def cool_down(alerts: DataFrame, key: str, seconds: int = 3600, late: str = "1 day") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import tempfile
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -55,3 +56,22 @@ def test_first_contacts_may_be_forgotten(spark):
             jobs.run_available(jobs.first_contacts(stream, "user_id", forget), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), progress)
         outs[name] = sorted(r["user_id"] for r in spark.read.schema("user_id long, ts timestamp, batch long").parquet(out).collect())
     assert outs == {"ever": [1, 2, 3], "hour": [1, 1, 2, 2, 3, 3]}
+
+
+def test_many_keys_cool_down_at_a_time(spark):
+    """20,000 keys of few alerts beside one of many: a job of a timer per alert took more than a minute for them."""
+    rng = random.Random(5)
+    rows = [(n, rng.randrange(300_000)) for n in range(1, 20_001) for _ in range(3)] + [(0, s) for s in range(0, 200_000, 3)]
+    folder, out, progress = (tempfile.mkdtemp(prefix=f"{n}-") for n in ("landed", "out", "progress"))
+    at, started = int(START.timestamp()), time.monotonic()
+    for part in (rows, [(-1, 10_000_000)]):
+        land(spark, part, folder)
+        stream = spark.readStream.schema("user_id long, ts timestamp").parquet(folder)
+        jobs.run_available(jobs.timed_cool_down(stream, "user_id", 86_400), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), progress)
+    took = time.monotonic() - started
+    got = [(r["user_id"], r["second"] - at) for r in spark.read.schema("user_id long, second long, batch long").parquet(out).collect() if r["user_id"] >= 0]
+    own = {}
+    for user, second in rows:
+        own.setdefault(user, []).append((user, second))
+    assert sorted(got) == sorted(x for mine in own.values() for x in through(mine, 86_400))
+    assert took < 60
