@@ -58,6 +58,25 @@ def holding(spark: SparkSession, path: str, hashes: DataFrame) -> DataFrame | No
     return hit.filter(F.call_function("getbit", byte, (F.col("bit") % 8).cast("int")) == 1).select("prefix", "batch", "hash")
 
 
+def held_keys(df: DataFrame, path: str, keys: Sequence[str], prefixes: int) -> DataFrame | None:
+    """The keys of ``df`` that the table holds, stored; only keys and their hashes are exchanged, and of the table only the
+    folders are read in which a bit says that a key may be."""
+    spark = df.sparkSession
+    if committed(spark, path) is None:
+        return None
+    asked, kept = fresh_folder(spark, "asked"), fresh_folder(spark, "held")
+    own = df.select(*keys).withColumn("hash", _hash(keys)).withColumn("prefix", F.pmod("hash", F.lit(prefixes)).cast("int"))
+    own.write.option("compression", "zstd").parquet(asked)
+    own = spark.read.schema(own.schema).parquet(asked)
+    maybe = holding(spark, path, own.select("prefix", "hash").distinct())
+    folders = [f"{path}/rows/batch={r['batch']}/prefix={r['prefix']}" for r in maybe.select("batch", "prefix").distinct().collect()] if maybe is not None else []  # folders, not rows
+    if not folders:
+        return None
+    held = spark.read.option("basePath", f"{path}/rows").parquet(*folders).select(*keys)
+    held.join(own.select(*keys), list(keys), "left_semi").write.option("compression", "zstd").parquet(kept)
+    return spark.read.schema(held.schema).parquet(kept)
+
+
 def append_keyed(df: DataFrame, path: str, keys: Sequence[str], batch: str, order: Sequence[Column] = (), prefixes: int = PREFIXES) -> int:
     """Appends the rows whose key the table lacks, one per key (of several the last in ``order``, by default a fixed one), and
     gives their number, of a repeated batch that of its first run.
@@ -70,17 +89,12 @@ def append_keyed(df: DataFrame, path: str, keys: Sequence[str], batch: str, orde
         return before["added"]
     rest = [F.col(c) for c in df.columns if c not in keys]
     fixed = [F.xxhash64(*rest), *rest] if rest else [F.lit(0)]
-    once = latest_per_key(df, keys, order or fixed).withColumn("hash", _hash(keys)).withColumn("prefix", F.pmod("hash", F.lit(prefixes)).cast("int"))
+    known = held_keys(df, path, keys, prefixes)
+    once = latest_per_key(df if known is None else new_rows(df, known, keys), keys, order or fixed)
+    once = once.withColumn("hash", _hash(keys)).withColumn("prefix", F.pmod("hash", F.lit(prefixes)).cast("int"))
     staged = fresh_folder(spark, "keyed")
-    once.write.parquet(staged)
+    once.write.option("compression", "zstd").parquet(staged)
     once = spark.read.schema(once.schema).parquet(staged)
-    maybe = holding(spark, path, once.select("prefix", "hash"))
-    if maybe is not None:
-        folders = [f"{path}/rows/batch={r['batch']}/prefix={r['prefix']}" for r in maybe.select("batch", "prefix").distinct().collect()]  # folders, not rows
-        if folders:
-            held = spark.read.option("basePath", f"{path}/rows").parquet(*folders).select(*keys)
-            suspects = once.join(maybe.select("hash").distinct(), "hash", "left_semi")
-            once = once.join(maybe.select("hash").distinct(), "hash", "left_anti").unionByName(new_rows(suspects, held, keys))
     for part in ("rows", "bits"):  # what a run left that stopped before its marker
         remove_folder(spark, f"{path}/{part}/batch={batch}")
     count = once.count()

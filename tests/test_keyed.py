@@ -57,3 +57,13 @@ def test_empty_and_null_keys(spark, keys):
     KY.append_keyed(rows(spark, 0, 5, "a"), path, keys, "2")
     KY.append_keyed(rows(spark, 3, 9, "b"), path, keys, "3")
     assert KY.read_keyed(spark, path).count() == (9 if keys == ["key"] else 11)
+
+
+def test_rows_that_are_held_are_not_staged(spark, monkeypatch):
+    """Of a batch that brings little, only the new rows are written aside; others go no further than their keys."""
+    path, made = tempfile.mkdtemp(prefix="keyed-"), {}
+    fresh = KY.fresh_folder
+    KY.append_keyed(rows(spark, 0, 5000, "a"), path, ["key"], "a")
+    monkeypatch.setattr(KY, "fresh_folder", lambda s, name: made.setdefault(name, fresh(s, name)))
+    assert KY.append_keyed(rows(spark, 0, 5003, "b"), path, ["key"], "b") == 3
+    assert spark.read.parquet(made["keyed"]).count() == 3 and spark.read.parquet(made["asked"]).columns == ["key", "hash", "prefix"]
