@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml import feature as MF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,17 @@ from leadmill.operators.encode import group_rare
 from leadmill.operators.quantiles import hash_order
 
 
+#: Rows of a part of the tables that models are fitted on.
+PART_ROWS = 1 << 16
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int = PART_ROWS) -> DataFrame:
+    """``df`` dealt by hash to parts of about ``rows`` rows: a stored table of few bytes is read in few parts, however many
+    rows it has, and a fit has no more tasks than that. One part's worth of rows is left as it is. ``df`` should be stored."""
+    parts = -(-df.count() // rows)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def split(df: DataFrame, label: str, identity: Sequence[str], test_share: float = 0.25, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: exactly ``floor(share * n)`` rows of every label, chosen by hash."""
     ordered = hash_order(df, [label], identity, seed)
@@ -51,10 +62,31 @@ def category_stages(columns: Sequence[str]) -> list:
             MF.OneHotEncoder(inputCols=index, outputCols=hot, handleInvalid="keep")]
 
 
+class Vocabulary(Estimator):
+    """The vocabulary of a ``CountVectorizer``: of the terms in at least ``min_df`` documents and in no larger share of them
+    than ``max_df``, the ``size`` most frequent, ties by the term. It is counted by shuffles, so no document is held."""
+
+    def __init__(self, tokens: str, output: str, size: int, min_df: float, max_df: float):
+        super().__init__()
+        self.tokens, self.output, self.size, self.min_df, self.max_df = tokens, output, size, min_df, max_df
+
+    def _fit(self, dataset: DataFrame) -> MF.CountVectorizerModel:
+        most = self.max_df * dataset.count()
+
+        def seen(tokens, times: int, documents: int):
+            return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(times).alias("n"), F.lit(documents).alias("documents")))
+
+        every = dataset.select(F.inline(F.concat(seen(F.col(self.tokens), 1, 0), seen(F.array_distinct(self.tokens), 0, 1))))
+        counts = every.groupBy("term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+        kept = counts.filter((F.col("documents") >= self.min_df) & (F.col("documents") <= most))
+        terms = [r["term"] for r in kept.orderBy(F.desc("n"), "term").limit(self.size).collect()]  # at most ``size`` terms
+        return MF.CountVectorizerModel.from_vocabulary(terms, self.tokens, self.output)
+
+
 def text_stages(column: str, terms: int = 300, min_df: float = 2.0, max_df: float = 0.95) -> list:
     """TF-IDF over single words and word pairs; output column ``text_vector`` of unit length."""
     def counted(tokens: str, name: str, size: int) -> list:
-        return [MF.CountVectorizer(inputCol=tokens, outputCol=f"{name}_tf", vocabSize=size, minDF=min_df, maxDF=max_df),
+        return [Vocabulary(tokens, f"{name}_tf", size, min_df, max_df),
                 MF.IDF(inputCol=f"{name}_tf", outputCol=f"{name}_idf")]
 
     return [MF.RegexTokenizer(inputCol=column, outputCol="words", pattern=r"(?U)\W+", toLowercase=True, minTokenLength=2),
