@@ -9,6 +9,7 @@ and queries alike, so that no group grows with the table, however uneven or larg
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadmill.ml.prepare import spread
 from leadmill.operators.dictionary import ordered_positions, stored
 from leadmill.operators.quantiles import hash_order
 
 #: Points of a cell; with more than ``CELLS`` times as many, a cell has more blocks instead.
-BLOCK, CELLS = 1 << 13, 1 << 15
+BLOCK, CELLS = 1 << 10, 1 << 16
 #: Sampled points per cell that the tree is fitted on.
 SAMPLED = 8
 #: A vector with at least this share of the rows is hot, so there are at most as many hot ones.
@@ -261,15 +263,19 @@ def balanced_tables(df: DataFrame, features: str, label: str, identity: str, see
 
 
 def choose_balance(tables: Mapping[str, DataFrame], estimator, test: DataFrame, label: str = "label") -> tuple[object, list[dict]]:
-    """The model re-fitted on the balanced table that gives the best accuracy on ``test`` (of equals the first; the table
-    without balancing is only taken if there is no other), and a record per method tried."""
-    tried = {}
-    for name, table in tables.items():
-        if name != "original":
-            right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
-            tried[name] = {"method": name, "train_rows": table.count(), "accuracy": estimator.fit(table).transform(test).agg(right).first()[0]}
-    best = max(tried, key=lambda m: tried[m]["accuracy"] or 0.0) if tried else "original"
-    return estimator.fit(tables[best]), [{**r, "chosen": m == best} for m, r in tried.items()]
+    """The model fitted on the balanced table that gives the best accuracy on ``test`` (of equals the first; the table
+    without balancing is only taken if there is no other), and a record per method tried. The tables are tried at a time."""
+    right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+
+    def fitted(name: str) -> tuple:
+        model = estimator.fit(spread(tables[name], tables[name].columns[:1]))
+        return model, {"method": name, "train_rows": tables[name].count(), "accuracy": model.transform(test).agg(right).first()[0]}
+
+    names = [name for name in tables if name != "original"] or ["original"]
+    with ThreadPoolExecutor(len(names)) as pool:
+        found = dict(zip(names, pool.map(fitted, names)))
+    best = max(names, key=lambda m: found[m][1]["accuracy"] or 0.0)
+    return found[best][0], [{**r, "chosen": m == best} for m, (_, r) in found.items() if m != "original"]
 
 
 def undersample(df: DataFrame, label: str, identity: str, seed: int = 42) -> DataFrame:
