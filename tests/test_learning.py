@@ -168,3 +168,33 @@ def test_neighbours_in_blocks(spark):
         gap[i] = np.inf
         want = np.lexsort([np.arange(len(v)), gap])[:4]
         assert got[got.id == i].sort_values("place").other.tolist() == want.tolist()
+
+
+def test_nothing_is_fitted_twice(spark):
+    """Three folds of two settings, of which one comes again in the second phase, and three balanced tables: a fit for each."""
+    from pyspark.ml.classification import LogisticRegression
+
+    fits = []
+
+    class Counted(LogisticRegression):
+        def _fit(self, dataset):
+            fits.append(1)
+            return super()._fit(dataset)
+
+    _, _, df = rows(spark, 300, 3)
+    folded = df.withColumn("fold", (F.col("id") % 3).cast("int"))
+    _, tried = MD.phased_search(folded, Counted(maxIter=3), [{"regParam": [0.0, 5.0]}, {"fitIntercept": [True, False]}])
+    assert len(tried) == 4 and len(fits) == 9
+    fits.clear()
+    MD.comparison(folded, {"a": Counted(maxIter=3), "b": Counted(maxIter=2)})
+    assert len(fits) == 6
+    fits.clear()
+    B.choose_balance({"original": df, "x": df, "y": df}, Counted(maxIter=3), df)
+    assert len(fits) == 2
+
+
+def test_tables_to_fit_on_are_dealt_by_rows(spark):
+    from leadmill.ml import prepare as P
+
+    df = spark.range(1000).coalesce(1)
+    assert P.spread(df, ["id"], 100).rdd.getNumPartitions() == 10 and P.spread(df, ["id"], 1000).rdd.getNumPartitions() == 1
