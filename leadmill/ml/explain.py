@@ -17,14 +17,15 @@ def permuted(df: DataFrame, values: str, identity: str, width: int, repeats: int
     ``turn`` and the columns of ``df``.
 
     A row takes the value of the row that has its place in another order by hash, one order per column and repeat, so each
-    value is given to exactly one row, and all columns are permuted in one exchange however many rows there are."""
+    value is given to exactly one row. Only the values go by column and repeat; the rows meet them in one exchange, and are
+    never broadcast, as the size of a stored table says little of its size in memory."""
     columns, turns = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (width, repeats))
     placed = stored(hash_order(df, [], [identity], seed).drop("group_rows"), "placed")
-    every = placed.withColumn("column", columns).withColumn("turn", turns)
+    every = placed.select(identity, values).withColumn("column", columns).withColumn("turn", turns)
     donors = hash_order(every.select(identity, "column", "turn", F.get(values, F.col("column")).alias("_given")),
                         ["column", "turn"], [identity, "column", "turn"], seed + 1).select("column", "turn", "position", "_given")
     given = F.transform(values, lambda x, i: F.when(i == F.col("column"), F.col("_given")).otherwise(x))
-    return every.join(donors, ["column", "turn", "position"]).withColumn(values, given).drop("_given", "position")
+    return placed.hint("merge").join(donors, "position").select(*df.columns, "column", "turn", "_given").withColumn(values, given).drop("_given")
 
 
 def permutation_importance(model, df: DataFrame, names: Sequence[str], features: str = "features", label: str = "label", identity: str = "id",

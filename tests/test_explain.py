@@ -94,3 +94,22 @@ def test_boosting_stops_early_and_searches_in_phases(spark):
     top = max(tried, key=lambda t: t["auc"])
     assert best.getMaxIter() == max(t["rounds"] for t in tried if t["auc"] == top["auc"]) or best.getMaxIter() == top["rounds"]
     assert f"maxDepth={best.getMaxDepth()}" in top["setting"] and top["auc"] > 0.9
+
+
+def test_permuted_rows_are_never_broadcast(spark):
+    """However small the stored table is, the rows by column and repeat meet in a sorted join."""
+    df = spark.range(200).select("id", F.array(F.col("id") * 1.0, F.col("id") % 7 * 1.0).alias("v"))
+    plan = EX.permuted(df, "v", "id", 2)._jdf.queryExecution().sparkPlan().toString()
+    assert next(line for line in plan.splitlines() if "Join" in line).split("SortMergeJoin")[0].strip(" :+-") == ""
+
+
+def test_vocabulary_is_that_of_the_counting_estimator(spark):
+    from pyspark.ml.feature import CountVectorizer
+
+    rng = np.random.default_rng(3)
+    docs = [[f"w{x}" for x in rng.zipf(1.5, rng.integers(0, 30)) if x < 400] + ["everywhere"] for _ in range(300)]
+    df = spark.createDataFrame([(d,) for d in docs], "t array<string>")
+    mine = P.Vocabulary("t", "v", 40, 2.0, 0.95).fit(df)
+    theirs = CountVectorizer(inputCol="t", outputCol="v", vocabSize=40, minDF=2.0, maxDF=0.95).fit(df)
+    assert mine.vocabulary == theirs.vocabulary and mine.transform(df).collect() == theirs.transform(df).collect()
+    assert not P.Vocabulary("t", "v", 40, 2.0, 0.95).fit(df.limit(0)).vocabulary
