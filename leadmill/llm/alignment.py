@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +33,12 @@ RANGE = 1 << 16
 FAN = 16
 #: Pairs with at least this share of all counted pairs are common, so there are at most as many common ones.
 COMMON = 1 << 17
-#: Texts of which a worker holds the results at once.
+#: Texts of which a worker holds the results at once; fewer if they have more bytes, or more pairs, than these.
 ROWS = 250
-#: Words that a worker remembers before it starts anew.
+ROWS_BYTES, ROWS_PAIRS = 1 << 21, 1 << 18
+#: Words that a worker remembers before it starts anew, and the bytes they may take, about ``WORD_COST`` each beside what they hold.
 WORDS_KEPT = 250_000
+WORDS_BYTES, WORD_COST = 96 << 20, 256
 #: Spaces where a text may not be cut: before white space, or at an end.
 LOOSE = re.compile(r" \s").search
 #: Where windows of long texts may start: a space between two letters.
@@ -97,6 +100,11 @@ class Aligner:
         self.width = np.array([len(s) for s in self.spelt], np.int64)
         #: Of a word with a space before it: groups, pairs, tokens of the first vocabulary; None if its bytes do not come back.
         self.known: dict[str, tuple | None] = {}
+        self.known_bytes = 0
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.known_bytes = 0
 
     def tokens(self, text: str, start: int = 0) -> Tokens | None:
         """Tokens of the space and ``text`` that begin at byte ``start``; None if their bytes are not those of the text."""
@@ -154,6 +162,7 @@ class Aligner:
         if found is None:
             if len(words) == 1:
                 self.known[words[0]] = None
+                self.known_bytes += WORD_COST + len(words[0].encode())
             for word in words if len(words) > 1 else ():
                 self.learn([word])
             return
@@ -161,6 +170,7 @@ class Aligner:
         stops = np.cumsum([1 + len(word.encode()) for word in words])
         n_a, n_b, links = (np.searchsorted(x, stops, "right") for x in (found.ends_a, found.ends_b, ends))
         texts, own, counts, known = written[n_a + n_b - 1].tolist(), pairs.tobytes(), np.diff(n_a, prepend=0).tolist(), self.known
+        self.known_bytes += WORD_COST * len(words) + int(stops[-1]) + len(groups) + len(own)
         text = link = 0
         for word, to_text, to_link, count in zip(words, texts, (8 * links).tolist(), counts):
             known[word] = (groups[text:to_text], own[link:to_link], count)
@@ -168,8 +178,8 @@ class Aligner:
 
     def documents(self, texts: Sequence[str | None]) -> list[tuple[bytes, np.ndarray, np.ndarray] | None]:
         """The groups, pairs and counts of each text; None if it has no tokens that give its bytes back."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
+        if len(self.known) > WORDS_KEPT or self.known_bytes > WORDS_BYTES:
+            self.forget()
         loose = [not self.cuttable or not text or bool(LOOSE(text)) or text[0] == " " or text[-1] == " " for text in texts]
         split = [None if apart else text.split(" ") for text, apart in zip(texts, loose)]
         new = set().union(*filter(None, split)).difference(self.known)
@@ -201,6 +211,22 @@ def aligner(paths: tuple[str, str]) -> Aligner:
     return _ALIGNERS[paths]
 
 
+def forget_words() -> None:
+    """Workers are used again by later stages, which do not need the words."""
+    for own in _ALIGNERS.values():
+        own.forget()
+
+
+def _portions(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of ``batch``: at most ``ROWS``, and of ``sizes`` no more than ``most`` in all, but one row at least."""
+    ends, at = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right"))
+        to = min(at + ROWS, max(at + 1, full), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _field(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind)
 
@@ -241,7 +267,7 @@ def _short(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """Documents of one range, aligned where they are read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = aligner(paths), TaskContext.get().partitionId() << 33
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+        for batch in (part for whole in batches for part in _portions(whole, pc.binary_length(whole.column(1)), ROWS_BYTES)):
             rows = pa.array(np.arange(row, row + batch.num_rows))
             row += batch.num_rows
             yield _documents(rows, batch.column(0), own.documents(batch.column(1).to_pylist()))
@@ -303,37 +329,37 @@ def _fragments(windows: DataFrame, paths: tuple[str, str], size: int) -> DataFra
 
 
 def _tree(fragments: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """One fragment per document: ``FAN`` neighbouring ranges are joined at a time, level by level."""
-    out = fragments.schema
+    """Documents of their fragments: ``FAN`` neighbouring ranges are joined at a time, level by level. The last level
+    finishes what it has joined, since a second step in its tasks would take a second Python worker beside each."""
+    kind = fragments.schema
+    ident = kind["doc_id"].dataType
 
-    def join(table: pa.Table) -> pa.Table:
+    def joined(table: pa.Table) -> tuple[dict, pa.Array, bool, Fragment]:
         own, rows = aligner(paths), sorted(table.to_pylist(), key=lambda r: r["at"])
         whole = _read(rows[0])
         for row in rows[1:]:
             whole = own.join(whole, _read(row))
-        of = rows[0]["range"] // FAN
-        return pa.Table.from_batches([_write([(rows[0]["row"], of, rows[0]["at"], all(r["sound"] for r in rows), whole)],
-                                             table.column("doc_id").combine_chunks().slice(0, 1), out)])
+        return rows[0], table.column("doc_id").combine_chunks().slice(0, 1), all(r["sound"] for r in rows), whole
+
+    def level(table: pa.Table) -> pa.Table:
+        first, idents, sound, whole = joined(table)
+        return pa.Table.from_batches([_write([(first["row"], first["range"] // FAN, first["at"], sound, whole)], idents, kind)])
+
+    def last(table: pa.Table) -> pa.Table:
+        first, idents, sound, whole = joined(table)
+        found = aligner(paths).finish(whole) if sound else None
+        return pa.Table.from_batches([_documents(pa.array([first["row"]], pa.int64()), idents, [found])])
 
     top = fragments.agg(F.max("range")).first()[0] or 0
-    while True:
-        fragments = fragments.groupBy("row", F.floor(F.col("range") / FAN)).applyInArrow(join, out)
+    while top >= FAN:
+        fragments = fragments.groupBy("row", F.floor(F.col("range") / FAN)).applyInArrow(level, kind)
         top //= FAN
-        if not top:
-            return fragments
+    return fragments.groupBy("row").applyInArrow(last, _document_type(ident))
 
 
 def _long(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFrame:
     """Documents of many ranges: windows and their fragments in many tasks, then the tree."""
-    whole = _tree(stash(_fragments(stash(_windows(docs, paths, size), "windows"), paths, size), "fragments"), paths)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(paths)
-        for batch in (whole.slice(n, 1) for whole in batches for n in range(whole.num_rows)):
-            row = batch.to_pylist()[0]
-            yield _documents(batch.column(0), batch.column(1), [own.finish(_read(row)) if row["sound"] else None])
-
-    return whole.mapInArrow(run, _document_type(docs.schema["doc_id"].dataType))
+    return _tree(stash(_fragments(stash(_windows(docs, paths, size), "windows"), paths, size), "fragments"), paths)
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", size: int = RANGE) -> DataFrame:
@@ -366,7 +392,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, carry: Sequence[Column] | N
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = sent.value
-        for batch in batches:
+        forget_words()
+        for batch in (part for whole in batches for part in _portions(whole, whole.column(1).value_lengths(), ROWS_PAIRS)):
             own, links = (batch.column(c).flatten().to_numpy() for c in (1, 2))
             starts = np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy())]).astype(np.int64)
             spot = np.minimum(np.searchsorted(pairs, own), max(len(pairs) - 1, 0))

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -97,6 +99,50 @@ def test_joining_is_associative():
         assert groups == want[0] and (pairs == want[1]).all() and (counts == want[2]).all()
 
 
+def test_one_python_worker_per_task(spark):
+    """No step in Python feeds another one in the same task, each of which would hold both vocabularies."""
+    rows = [(1, "short text", "en", "s", 1), (2, "a long text " * 300, "en", "s", 1)]
+    df = alignment.aligned(table(spark, rows, clashes=False), *PATHS, size=50)
+    nodes = [(m.end(), m.string[m.end():]) for m in (re.match(r"[ :+|-]*", line) for line in df._jdf.queryExecution().executedPlan().toString().splitlines())]
+    above, steps = [], 0
+    for depth, name in nodes:
+        above = [x for x in above if x[0] < depth]
+        if name.startswith("Exchange"):
+            above.append((depth, False))
+        if re.match("MapInArrow|FlatMapGroupsInArrow", name):
+            steps += 1
+            assert not (above and above[-1][1]), name
+            above.append((depth, True))
+    assert steps > 2
+
+
+def test_remembered_words_are_bounded_by_bytes(pair, monkeypatch):
+    own, rng = alignment.aligner(PATHS), random.Random(5)
+    own.known.clear()
+    monkeypatch.setattr(alignment, "WORDS_BYTES", 1 << 16, raising=False)
+    for _ in range(20):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(2000)) for _ in range(5))
+        groups, pairs, counts = own.documents([text])[0]
+        want = pair(text)
+        assert groups[:-1].decode() == want[0] and Counter((int(p) >> 32, int(p) & (1 << 32) - 1) for p in pairs) == want[1] and counts.tolist() == list(want[2:])
+    assert sum(len(word) + len(x[0]) + len(x[1]) for word, x in own.known.items()) < 1 << 18
+    own.forget()
+    assert not own.known and not own.known_bytes
+
+
+def test_portions_are_bounded():
+    batch = pa.record_batch({"n": list(range(1000))})
+    for sizes, most in (([1] * 1000, 100), ([0] * 1000, 5), ([50, None, 3, 9] * 250, 10), ([7] * 1000, 1 << 30)):
+        parts = list(alignment._portions(batch, pa.array(sizes, pa.int32()), most))
+        assert pa.Table.from_batches(parts).column("n").to_pylist() == list(range(1000))
+        at = 0
+        for part in parts:
+            own = [x or 0 for x in sizes[at:at + part.num_rows]]
+            assert len(own) <= alignment.ROWS and (len(own) == 1 or sum(own) <= most)
+            at += len(own)
+    assert not list(alignment._portions(batch.slice(0, 0), pa.array([], pa.int32()), 5))
+
+
 def test_query(spark, pair):
     folder = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
