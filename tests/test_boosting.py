@@ -73,3 +73,21 @@ def test_all_classes_are_grown_in_one_pass(spark):
         assert len(sc.statusTracker().getJobIdsForGroup("boosting")) <= 5 * 3 + 12
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_forests_go_before_others(spark):
+    df = rows(spark, 60, sc_parts := spark.sparkContext.defaultParallelism)
+    assert df.rdd.getNumPartitions() == sc_parts
+    running, most, order = [], [], []
+
+    def work(model, n):
+        running.append(n)
+        most.append(len(running))
+        order.append(model)
+        running.remove(n)
+        return n
+
+    forest, other = MC.RandomForestClassifier(), MC.LogisticRegression()
+    assert MD.in_turn([(other, 0), (forest, 1), (other, 2), (forest, 3)], work, df, 4) == [0, 1, 2, 3]
+    assert order[:2] == [forest, forest] and most[:2] == [1, 1]
+    assert MD.classifiers()["random_forest"].getCacheNodeIds()
